@@ -27,12 +27,19 @@ def build_session(app_name: str = "rolemart", **overrides: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``; a temp folder only where it is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="rolemart-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Only a local session may go without: driver and executors are then one process, and a
+    temporary folder serves both.
+    """
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if configured:
+        return configured
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="rolemart-"))
+    return context.getCheckpointDir()
 
 
 def new_scratch(spark: SparkSession, label: str) -> str:
