@@ -19,6 +19,19 @@ CHECK_MOMENT = "2024-01-30 15:30:00"
 MONTHS = RunWindow("1995-01-01", "2001-08-31")
 
 
+# Column types of the driver's tables in use; declared, so that no job has to look them up.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 class Logs:
     """Logs, lookups and user-level summaries of one scale factor."""
 
@@ -26,7 +39,7 @@ class Logs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.sf_dir}/{table}.parquet")
 
     @cached_property
     def events(self) -> DataFrame:

@@ -8,6 +8,7 @@ from harness.logs import LEDGER_AS_OF, Logs
 from harness.registry import query
 from rolemart.functions import dates, money, nested, text
 from rolemart.operators.details import explode_details
+from rolemart.operators.lookups import join_lookup
 
 
 @query(
@@ -144,7 +145,8 @@ def _(t: Logs):
     "FROM order_payments AS p LEFT JOIN rates AS r ON r.currency = p.currency AND r.currency_time = strftime(p.date, '%Y-%m')",
 )
 def _(t: Logs):
-    rated = t.order_payments.withColumn("currency_time", dates.month_text(F.col("date"))).join(t.home_rates, "currency_time", "left")
+    dated = t.order_payments.withColumn("currency_time", dates.month_text(F.col("date")))
+    rated = join_lookup(dated, t.home_rates, ["currency_time"])
     return rated.select("role_id", "event_time", money.minor_to_home(F.col("money"), F.col("exchange_rate")).alias("money_rmb"))
 
 

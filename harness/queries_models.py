@@ -512,7 +512,7 @@ def _(t: Logs):
     """,
 )
 def _(t: Logs):
-    report = ledger.token_monthly(t.order_payments, t.token_log, t.home_rates, t.prices, GAME, LEDGER_AS_OF)
+    report = ledger.token_monthly(t.order_payments, t.token_log, t.home_rates, GAME, LEDGER_AS_OF)
     return conform(report, TABLES["dws_token_monthly"]).orderBy("cal_month")
 
 

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
-from harness.logs import CHECK_MOMENT, DAYS, GAME, LEDGER_AS_OF, Logs
+from harness.logs import CHECK_MOMENT, DAYS, GAME, Logs
 from harness.registry import query
-from rolemart.functions.dates import month_of, month_text, months_between
+from rolemart.functions.dates import month_of, month_text
 from rolemart.functions.text import bucket_floor
 from rolemart.operators.compare import difference_by_key, difference_of_totals, duplicates
 from rolemart.operators.details import (
-    active_spine, attach_details, collect_details, explode_details, latest_non_null, newest_row_value,
+    active_spine, collect_details, explode_details, latest_non_null, newest_row_value,
 )
 from rolemart.operators.grids import axis_grid, fill_days, running_total
+from rolemart.operators.lookups import join_lookup
 from rolemart.operators.months import carry_forward, with_previous_month
-from rolemart.operators.users import lifecycle_days, user_metrics, with_user_attrs, without_test_accounts
-from rolemart.plans import checks, holdings, ledger, upstream
+from rolemart.operators.users import user_metrics, with_user_attrs, without_test_accounts
+from rolemart.plans import checks
 from rolemart.session import settle
 
 # ---- projections and filters
@@ -119,7 +120,7 @@ def _(t: Logs):
     "AND event_time < date_trunc('hour', TIMESTAMP '2024-01-30 15:30:00')",
 )
 def _(t: Logs):
-    return checks._until_hour(t.base_log, CHECK_MOMENT, "event_time").select("role_id", "event_time")
+    return checks.until_hour(t.base_log, CHECK_MOMENT, "event_time").select("role_id", "event_time")
 
 
 # ---- joins
@@ -226,7 +227,7 @@ def _(t: Logs):
 )
 def _(t: Logs):
     dated = t.order_payments.withColumn("currency_time", month_text(F.col("event_time")))
-    return dated.join(t.home_rates, "currency_time", "left").select("role_id", "event_time", "money", "exchange_rate")
+    return join_lookup(dated, t.home_rates, ["currency_time"]).select("role_id", "event_time", "money", "exchange_rate")
 
 
 @query(
@@ -235,7 +236,9 @@ def _(t: Logs):
     "FROM order_payments AS p LEFT JOIN prices AS c USING (payment_itemid)",
 )
 def _(t: Logs):
-    return t.order_payments.join(t.prices, "payment_itemid", "left").select("role_id", "event_time", "payment_itemid", "token_num")
+    return join_lookup(t.order_payments, t.prices, ["payment_itemid"]).select(
+        "role_id", "event_time", "payment_itemid", "token_num"
+    )
 
 
 @query(

@@ -107,7 +107,8 @@ def derive_running_total(daily: DataFrame, derive: DataFrame, as_of: str) -> Dat
     )
 
 
-def _until_hour(df: DataFrame, moment: str, column: str) -> DataFrame:
+def until_hour(df: DataFrame, moment: str, column: str) -> DataFrame:
+    """Rows of yesterday and today before the hour that ``moment`` falls in (24-hour clock)."""
     hour = datetime.fromisoformat(moment).replace(minute=0, second=0, microsecond=0)
     today = hour.date().isoformat()
     days = df.where(F.col("part_date").between(_shift(today, -1), today))
@@ -117,7 +118,7 @@ def _until_hour(df: DataFrame, moment: str, column: str) -> DataFrame:
 def hourly_users(base_log: DataFrame, hourly: DataFrame, moment: str) -> DataFrame:
     """7.1 Active users from yesterday up to the current hour."""
     sides = [
-        _until_hour(df, moment, column).where(F.col("role_id").isNotNull()).select("role_id").distinct()
+        until_hour(df, moment, column).where(F.col("role_id").isNotNull()).select("role_id").distinct()
         .agg(F.count(F.lit(1)).alias("value"))
         for df, column in ((base_log, "event_time"), (hourly, "hour"))
     ]
@@ -127,7 +128,7 @@ def hourly_users(base_log: DataFrame, hourly: DataFrame, moment: str) -> DataFra
 def hourly_money_by_user(payment_log: DataFrame, hourly: DataFrame, moment: str) -> DataFrame:
     """7.2 Payments per user from yesterday up to the current hour."""
     sides = [
-        _total(_until_hour(df, moment, column), "money", ("role_id",))
+        _total(until_hour(df, moment, column), "money", ("role_id",))
         for df, column in ((payment_log, "event_time"), (hourly, "hour"))
     ]
     return difference_by_key(*sides, ["role_id"], "value")

@@ -9,45 +9,53 @@ from rolemart.functions.dates import month_of, month_text, months_from_to
 from rolemart.functions.money import LEDGER, minor_to_home, unit_price
 from rolemart.functions.text import part_of
 from rolemart.operators.details import newest_row_value
+from rolemart.operators.lookups import join_lookup
 from rolemart.operators.months import with_previous_month
 from rolemart.sources.logs import since
+from rolemart.sources.lookups import token_price
 
 
-def token_payments(payment_log: DataFrame, rates: DataFrame, prices: DataFrame, game: Game) -> DataFrame:
+def token_payments(payment_log: DataFrame, rates: DataFrame, game: Game) -> DataFrame:
     """Token purchases in home currency: web orders name the token count, app orders are priced by item.
 
     One scan serves both channels; a web order of an app item counts in both.
     """
     web = F.col("pay_source") == game.web_pay_source
-    app = F.col("token_num").isNotNull()
+    listed = token_price(F.col("payment_itemid"), game)
     tokens = F.array_compact(
         F.array(
             F.when(web, F.struct(part_of(F.col("payment_itemid"), ";", 2).cast("bigint").alias("tokens"))),
-            F.when(app, F.struct(F.col("token_num").alias("tokens"))),
+            F.when(listed.isNotNull(), F.struct(listed.alias("tokens"))),
         )
     )
-    priced = payment_log.join(prices, "payment_itemid", "left").withColumn("_sold", tokens)
     rated = (
-        priced.where(F.size("_sold") > 0)
+        payment_log.withColumn("_sold", tokens).where(F.size("_sold") > 0)
         .withColumn("currency_time", month_text(F.col("event_time")))
-        .join(rates, "currency_time", "left")
     )
-    return rated.select(
+    return join_lookup(rated, rates, ["currency_time"]).select(
         "date", "role_id", minor_to_home(F.col("money"), F.col("exchange_rate")).alias("money_rmb"), F.inline("_sold")
     )
 
 
 def token_days(token_log: DataFrame, game: Game) -> DataFrame:
-    """Tokens gained and spent per user and event day, with the balance of the partition day's last row."""
+    """Tokens gained and spent per user and event day, with the balance of the partition day's last row.
+
+    The log is reduced once, to user, partition day and event day. The event day that holds
+    a partition day's newest row takes its balance; a day closing two partitions has two rows.
+    """
     kept = token_log.where((F.col("item_id") == game.token_item_id) & (F.col("reason") != game.excluded_reason))
-    flow = kept.groupBy("role_id", "date").agg(
+    days = kept.groupBy("role_id", "part_date", "date").agg(
         F.sum(F.when(F.col("event_type") == "gain", F.col("item_num"))).alias("token_get"),
         F.sum(F.when(F.col("event_type") == "cost", F.col("item_num"))).alias("token_cost"),
+        F.max("event_time").alias("newest"),
+        newest_row_value("item_end", "event_time").alias("balance"),
+    )
+    closes = F.col("newest") == F.max("newest").over(Window.partitionBy("role_id", "part_date"))
+    closing = F.collect_list(F.when(F.col("closes"), F.struct(F.col("balance").alias("token_remain"))))
+    per_day = days.withColumn("closes", closes).groupBy("role_id", "date").agg(
+        F.sum("token_get").alias("token_get"), F.sum("token_cost").alias("token_cost"), closing.alias("closing")
     )
-    closing = kept.groupBy("role_id", "part_date").agg(
-        F.to_date(F.max("event_time")).alias("date"), newest_row_value("item_end", "event_time").alias("token_remain")
-    ).drop("part_date")
-    return flow.join(closing, ["role_id", "date"], "left")
+    return per_day.select("role_id", "date", "token_get", "token_cost", F.inline_outer("closing"))
 
 
 def user_months(payments: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -102,12 +110,11 @@ def token_monthly(
     payment_log: DataFrame,
     token_log: DataFrame,
     rates: DataFrame,
-    prices: DataFrame,
     game: Game,
     as_of: str,
 ) -> DataFrame:
     """The ledger. ``diff`` is what gains, spending and balances leave unexplained."""
-    paid = token_payments(since(payment_log, game.ledger_start, as_of), rates, prices, game)
+    paid = token_payments(since(payment_log, game.ledger_start, as_of), rates, game)
     tokens = token_days(since(token_log, game.ledger_start, as_of), game)
     totals = month_totals(user_months(paid, tokens), as_of)
     ledger = with_previous_month(totals, "cal_month", "token_remain", "token_remain_lastmonth")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rolemart.config import TRAILING_DAYS, Game, RunWindow
 from rolemart.plans import distribution, holdings, kpi, ledger, snapshots, upstream
 from rolemart.sources.logs import in_window
-from rolemart.sources.lookups import currency_rates, token_price_list
+from rolemart.sources.lookups import currency_rates
 from rolemart.sources.sinks import read_table, write_table
 from rolemart.sources.tables import TABLES, conform
 
@@ -64,7 +64,7 @@ def _derive(wh: Warehouse, w: RunWindow) -> DataFrame:
 def _token_monthly(wh: Warehouse, w: RunWindow) -> DataFrame:
     return ledger.token_monthly(
         wh.log("payment_log"), wh.log("token_log"), currency_rates(wh.log("currency_rate"), wh.game.currency),
-        token_price_list(wh.spark, wh.game), wh.game, w.end_date,
+        wh.game, w.end_date,
     )
 
 

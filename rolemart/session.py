@@ -12,6 +12,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # call-site capture on every column costs a round trip to the JVM
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Large jobs start wide; AQE merges what turns out small.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     # user-level joins may reuse a role_id partitioning for (role_id, part_date) keys

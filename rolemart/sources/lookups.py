@@ -1,13 +1,12 @@
 """Lookup tables: uploaded CSV dimensions, monthly currency rates, the token price list.
 
-None of them is broadcast by hand. A CSV or parquet lookup and the price list have a size
-Spark knows, so it broadcasts them below ``spark.sql.autoBroadcastJoinThreshold`` and
-shuffles (with skew handling) above it.
+None of them is broadcast unseen: rates are counted first (``join_lookup``), the price list
+is a literal, and for the others Spark compares the size it knows with its own threshold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rolemart.config import Game
 
@@ -46,7 +45,7 @@ def read_dimension(spark: SparkSession, path: str, name: str) -> DataFrame:
     )
 
 
-def calendar_day(text):
+def calendar_day(text: Column) -> Column:
     """Day of an uploaded calendar; months and days may come without a leading zero."""
     return text.cast("date")
 
@@ -64,5 +63,17 @@ def currency_rates(rates: DataFrame, currency: str) -> DataFrame:
 
 
 def token_price_list(spark: SparkSession, game: Game) -> DataFrame:
-    """Tokens granted per payment item."""
-    return spark.createDataFrame(list(game.token_packs), "payment_itemid string, token_num bigint")
+    """Tokens granted per payment item, as rows."""
+    rows = F.array(
+        *[
+            F.struct(F.lit(item).alias("payment_itemid"), F.lit(tokens).cast("bigint").alias("token_num"))
+            for item, tokens in game.token_packs
+        ]
+    )
+    return spark.range(1).select(F.inline(rows))
+
+
+def token_price(payment_itemid: Column, game: Game) -> Column:
+    """The same list as a lookup inside the scan; NULL for items that are not on it."""
+    listed = [F.lit(v) for item, tokens in game.token_packs for v in (item, tokens)]
+    return F.element_at(F.create_map(*listed), payment_itemid).cast("bigint")
