@@ -30,7 +30,7 @@ def token_payments(payment_log: DataFrame, rates: DataFrame, game: Game) -> Data
     )
     rated = (
         payment_log.withColumn("_sold", tokens).where(F.size("_sold") > 0)
-        .withColumn("currency_time", month_text(F.col("event_time")))
+        .select("date", "role_id", "money", "_sold", month_text(F.col("event_time")).alias("currency_time"))
     )
     return join_lookup(rated, rates, ["currency_time"]).select(
         "date", "role_id", minor_to_home(F.col("money"), F.col("exchange_rate")).alias("money_rmb"), F.inline("_sold")

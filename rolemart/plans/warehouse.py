@@ -17,8 +17,13 @@ from rolemart.sources.tables import TABLES, conform
 class Warehouse:
     """``<root>/<game>_r`` holds the raw logs, ``<root>/<game>_w`` the tables built from them."""
 
-    def __init__(self, spark: SparkSession, root: str, game: Game) -> None:
+    def __init__(
+        self, spark: SparkSession, root: str, game: Game, *, carry_history: bool = False, latest_items_only: bool = False
+    ) -> None:
+        """``carry_history`` continues the running number of new users across runs of the daily KPIs;
+        ``latest_items_only`` stores one item balance per user instead of one per snapshot day."""
         self.spark, self.game = spark, game
+        self.carry_history, self.latest_items_only = carry_history, latest_items_only
         self._raw, self._mart = f"{root}/{game.raw_schema}", f"{root}/{game.mart_schema}"
 
     def path(self, model: str) -> str:
@@ -68,6 +73,13 @@ def _token_monthly(wh: Warehouse, w: RunWindow) -> DataFrame:
     )
 
 
+def _kpi_daily(wh: Warehouse, w: RunWindow) -> DataFrame:
+    history = wh.table("ads_kpi_daily") if wh.carry_history else None
+    return kpi.kpi_daily(
+        wh.table("dws_user_daily"), wh.table("dws_user_daily_derive"), wh.table("dws_user_info"), w, history
+    )
+
+
 def _recent(w: RunWindow) -> RunWindow:
     return RunWindow.trailing(w.end_date, TRAILING_DAYS)
 
@@ -86,9 +98,7 @@ MODELS: dict[str, Callable[[Warehouse, RunWindow], DataFrame]] = {
     "dws_flag_snapshot": _snapshot(snapshots.flag_snapshot, "herosnap_log"),
     "dws_artifact_snapshot": _snapshot(snapshots.artifact_snapshot, "herosnap_log"),
     "dws_token_monthly": _token_monthly,
-    "ads_kpi_daily": lambda wh, w: kpi.kpi_daily(
-        wh.table("dws_user_daily"), wh.table("dws_user_daily_derive"), wh.table("dws_user_info"), w
-    ),
+    "ads_kpi_daily": _kpi_daily,
     "ads_kpi_daily_hf": lambda wh, w: kpi.kpi_daily_intraday(
         wh.table("dws_user_hourly"), wh.table("dws_user_daily_derive"), wh.table("dws_user_info"), _recent(w)
     ),
@@ -99,7 +109,7 @@ MODELS: dict[str, Callable[[Warehouse, RunWindow], DataFrame]] = {
     ),
     "ads_core_daily": lambda wh, w: distribution.core_daily(wh.table("dws_core_snapshot"), wh.table("dws_user_info"), w),
     "ads_item": lambda wh, w: distribution.item_daily(wh.table("dws_item_snapshot"), wh.table("dws_user_info"), w),
-    "ads_item_end": lambda wh, w: holdings.item_end(wh.table("dws_item_snapshot"), wh.game),
+    "ads_item_end": lambda wh, w: holdings.item_end(wh.table("dws_item_snapshot"), wh.game, wh.latest_items_only),
     "ads_summon": lambda wh, w: distribution.summon_daily(wh.table("dws_summon_snapshot"), wh.table("dws_user_info"), w),
     "ads_hero": lambda wh, w: holdings.hero_best(wh.table("dws_hero_snapshot")),
     "ads_flag": lambda wh, w: holdings.flag_best(wh.table("dws_flag_snapshot")),
