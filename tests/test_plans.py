@@ -27,7 +27,7 @@ def test_distinct_counts_do_not_copy_rows(spark, name):
     assert "Expand" not in plan_of(spark, name)
 
 
-@pytest.mark.parametrize("name", ["dws_token_monthly", "win_lag", "win_lag_default", "ads_kpi_monthly", "ads_kpi_daily"])
+@pytest.mark.parametrize("name", ["dws_token_monthly", "win_lag", "win_lag_default", "ads_kpi_daily", "dws_user_daily_derive"])
 def test_windows_do_not_gather_everything_in_one_task(spark, name):
     lines = plan_of(spark, name).splitlines()
     for at, line in enumerate(lines):
