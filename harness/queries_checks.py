@@ -16,9 +16,10 @@ def _totals(expected: str, actual: str, difference: str = "abs(expected - actual
 
 
 def _by_key(
-    key: str, expected: str, actual: str, *, join: str = "LEFT", signed: bool = False, only_mismatch: bool = False, cast: str = ""
+    key: str, expected: str, actual: str, *, join: str = "LEFT", signed: bool = False, only_mismatch: bool = False, cast: str = "",
+    missing_is_zero: bool = True,
 ) -> str:
-    gap = "coalesce(expected, 0) - coalesce(actual, 0)"
+    gap = "coalesce(expected, 0) - coalesce(actual, 0)" if missing_is_zero else "expected - actual"
     gap = gap if signed else f"abs({gap})"
     gap = f"CAST({gap} AS {cast})" if cast else gap
     tail = " WHERE coalesce(expected, 0) <> coalesce(actual, 0)" if only_mismatch else ""
@@ -158,6 +159,7 @@ for _name, _type, _detail, _side in (
         "part_date",
         f"SELECT part_date, count(DISTINCT role_id) FROM daily WHERE {_RECENT} GROUP BY part_date",
         f"SELECT part_date, count(DISTINCT role_id) FROM base_log WHERE {_RECENT} GROUP BY part_date",
+        missing_is_zero=False,
     ),
 )
 def _(t: Logs):
@@ -167,9 +169,9 @@ def _(t: Logs):
 for _name, _detail, _side, _value in (
     ("chk_10_1", "coregain_detail", "gain", "core_add"), ("chk_11_1", "corecost_detail", "cost", "core_cost"),
 ):
-    def _core_total(t: Logs, detail=_detail, value=_value):
+    def _core_total(t: Logs, detail=_detail, value=_value, zero=_name == "chk_10_1"):
         report = upstream.core_by_reason(t.core, t.all_info, detail, value)
-        return checks.core_by_reason_total(t.core, report, t.test_accounts, detail, value, CHECK_DAY)
+        return checks.core_by_reason_total(t.core, report, t.test_accounts, detail, value, CHECK_DAY, zero)
 
     query(
         _name,
@@ -179,6 +181,7 @@ for _name, _detail, _side, _value in (
             f"WHERE {_RECENT} AND {_side} IS NOT NULL GROUP BY part_date",
             f"SELECT c.part_date, CAST(sum(c.{_side}) AS BIGINT) FROM core_reason AS c LEFT JOIN all_info AS i USING (role_id) "
             f"WHERE i.is_test IS NULL AND c.{_RECENT} AND c.{_side} IS NOT NULL GROUP BY c.part_date",
+            missing_is_zero=_name == "chk_10_1",
         ),
     )(_core_total)
 
@@ -197,6 +200,9 @@ _FIRST_DAYS = (
 )
 
 for _suffix, _only in (("", True), ("_all", False)):
+    _DAYS = _CLOSED if _only else _RECENT
+    _LAST_INSTALL = "2024-01-30" if _only else "2024-01-31"
+
     def _retention(t: Logs, only=_only):
         return checks.retention_base(t.daily, upstream.retention_daily(t.daily, t.all_info), CHECK_DAY, only)
 
@@ -210,7 +216,7 @@ for _suffix, _only in (("", True), ("_all", False)):
     def _hour_users(t: Logs, only=_only):
         return checks.hourly_report_users(t.daily, t.kpi_hourly, CHECK_DAY, only)
 
-    query("chk_15_1" + _suffix, _by_key("part_date", _REAL_DAU.format(_CLOSED), _BASE_DAU.format(_CLOSED), only_mismatch=_only))(_hour_users)
+    query("chk_15_1" + _suffix, _by_key("part_date", _REAL_DAU.format(_DAYS), _BASE_DAU.format(_DAYS), only_mismatch=_only, missing_is_zero=_only))(_hour_users)
 
     def _hour_money(t: Logs, only=_only):
         return checks.hourly_report_money(t.daily, t.kpi_hourly, "money_hourly", CHECK_DAY, only)
@@ -219,10 +225,10 @@ for _suffix, _only in (("", True), ("_all", False)):
         "chk_15_2" + _suffix,
         _by_key(
             "part_date",
-            f"SELECT part_date, CAST(sum(money) AS {_D4}) FROM daily WHERE is_test IS NULL AND {_CLOSED} GROUP BY part_date",
+            f"SELECT part_date, CAST(sum(money) AS {_D4}) FROM daily WHERE is_test IS NULL AND {_DAYS} GROUP BY part_date",
             f"SELECT h.part_date, CAST(sum(h.money) AS {_D4}) FROM hourly AS h LEFT JOIN all_info AS i USING (role_id) "
-            f"WHERE i.is_test IS NULL AND h.{_CLOSED.replace('AND part_date', 'AND h.part_date')} GROUP BY h.part_date",
-            only_mismatch=_only, cast=_D4,
+            f"WHERE i.is_test IS NULL AND h.{_DAYS.replace('AND part_date', 'AND h.part_date')} GROUP BY h.part_date",
+            only_mismatch=_only, cast=_D4, missing_is_zero=_only,
         ),
     )(_hour_money)
 
@@ -234,10 +240,10 @@ for _suffix, _only in (("", True), ("_all", False)):
         _by_key(
             "part_date",
             "SELECT strftime(install_date, '%Y-%m-%d'), count(DISTINCT role_id) FROM all_info WHERE is_test IS NULL "
-            "AND install_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY install_date",
+            f"AND install_date BETWEEN DATE '2024-01-01' AND DATE '{_LAST_INSTALL}' GROUP BY install_date",
             "SELECT strftime(b.date, '%Y-%m-%d'), count(DISTINCT b.role_id) FROM base_log AS b JOIN all_info AS i USING (role_id) "
-            "WHERE i.is_test IS NULL AND b.date = i.install_date AND b.date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY b.date",
-            only_mismatch=_only,
+            f"WHERE i.is_test IS NULL AND b.date = i.install_date AND b.date BETWEEN DATE '2024-01-01' AND DATE '{_LAST_INSTALL}' GROUP BY b.date",
+            only_mismatch=_only, missing_is_zero=_only,
         ),
     )(_hour_installs)
 

@@ -34,11 +34,17 @@ def difference_by_key(
     how: str = "left",
     signed: bool = False,
     only_mismatch: bool = False,
+    missing_is_zero: bool = True,
 ) -> DataFrame:
-    """Expected and actual value per key with their difference; a missing side counts as 0."""
+    """Expected and actual value per key with their difference.
+
+    A missing side counts as 0, or leaves the difference NULL where ``missing_is_zero`` is off.
+    """
     left = expected.select(*keys, F.col(value).alias("expected"))
     right = actual.select(*keys, F.col(value).alias("actual"))
     joined = left.join(right, list(keys), how)
-    gap = F.coalesce("expected", F.lit(0)) - F.coalesce("actual", F.lit(0))
+    gap = F.col("expected") - F.col("actual")
+    if missing_is_zero:
+        gap = F.coalesce("expected", F.lit(0)) - F.coalesce("actual", F.lit(0))
     report = joined.withColumn("difference", gap if signed else F.abs(gap))
     return report.where(F.col("difference") != 0) if only_mismatch else report

@@ -2,6 +2,10 @@
 
 ``as_of`` is the day (or moment) the check runs; checks of closed days look at the day
 before it or at the days since ``CHECK_DAYS`` before it.
+
+Checks with ``only_mismatch`` exist in two forms: games either see the mismatching days
+only, or all days; in the second form the hourly checks include the running day, and a day
+missing from the report shows no difference at all.
 """
 
 from __future__ import annotations
@@ -149,19 +153,28 @@ def active_users(daily: DataFrame, active: DataFrame, as_of: str) -> DataFrame:
     """9.1 Daily active users of the recent days."""
     return difference_by_key(
         _users(_recent(daily, as_of), ["part_date"]), _total(_recent(active, as_of), "dau", ("part_date",)),
-        ["part_date"], "value",
+        ["part_date"], "value", missing_is_zero=False,
     )
 
 
 def core_by_reason_total(
-    core: DataFrame, by_reason: DataFrame, test_accounts: DataFrame, detail: str, value: str, as_of: str
+    core: DataFrame,
+    by_reason: DataFrame,
+    test_accounts: DataFrame,
+    detail: str,
+    value: str,
+    as_of: str,
+    missing_is_zero: bool = True,
 ) -> DataFrame:
-    """10.1 and 11.1 Core currency per recent day without test accounts, snapshot against report."""
+    """10.1 and 11.1 Core currency per recent day without test accounts, snapshot against report.
+
+    For spending (11.1) a day missing from the report has no difference.
+    """
     real = without_test_accounts(_recent(core, as_of), test_accounts)
     stored = real.select("part_date", F.explode(detail).alias("reason", "amount"))
     return difference_by_key(
         _total(stored, "amount", ("part_date",)), _total(_recent(by_reason, as_of), value, ("part_date",)),
-        ["part_date"], "value",
+        ["part_date"], "value", missing_is_zero=missing_is_zero,
     )
 
 
@@ -215,9 +228,9 @@ def kpi_users_cumulative(daily: DataFrame, kpi: DataFrame, as_of: str) -> DataFr
 def hourly_report_users(daily: DataFrame, hourly_report: DataFrame, as_of: str, only_mismatch: bool = True) -> DataFrame:
     """15.1 Daily active users of closed days, hourly report summed."""
     return difference_by_key(
-        _users(_real_users(_recent(daily, as_of, today=False)), ["part_date"]),
-        _total(_recent(hourly_report, as_of, today=False), "dau", ("part_date",)),
-        ["part_date"], "value", only_mismatch=only_mismatch,
+        _users(_real_users(_recent(daily, as_of, today=not only_mismatch)), ["part_date"]),
+        _total(_recent(hourly_report, as_of, today=not only_mismatch), "dau", ("part_date",)),
+        ["part_date"], "value", only_mismatch=only_mismatch, missing_is_zero=only_mismatch,
     )
 
 
@@ -227,17 +240,17 @@ def hourly_report_money(
     """15.2 and 16.1 Money of closed days, hourly report summed."""
     by_day = ("part_date",)
     return difference_by_key(
-        _total(_real_users(_recent(daily, as_of, today=False)), "money", by_day),
-        _total(_recent(hourly_report, as_of, today=False), value, by_day),
-        ["part_date"], "value", only_mismatch=only_mismatch,
+        _total(_real_users(_recent(daily, as_of, today=not only_mismatch)), "money", by_day),
+        _total(_recent(hourly_report, as_of, today=not only_mismatch), value, by_day),
+        ["part_date"], "value", only_mismatch=only_mismatch, missing_is_zero=only_mismatch,
     )
 
 
 def hourly_report_installs(info: DataFrame, hourly_report: DataFrame, as_of: str, only_mismatch: bool = True) -> DataFrame:
     """15.3 Installs of closed days, hourly report summed."""
-    installs = _installs(info, as_of, today=False).withColumn("part_date", day_text(F.col("install_date")))
+    installs = _installs(info, as_of, today=not only_mismatch).withColumn("part_date", day_text(F.col("install_date")))
     return difference_by_key(
         _users(installs, ["part_date"]),
-        _total(_recent(hourly_report, as_of, today=False), "new_users", ("part_date",)),
-        ["part_date"], "value", only_mismatch=only_mismatch,
+        _total(_recent(hourly_report, as_of, today=not only_mismatch), "new_users", ("part_date",)),
+        ["part_date"], "value", only_mismatch=only_mismatch, missing_is_zero=only_mismatch,
     )

@@ -40,7 +40,7 @@ CHECKS: dict[str, Check] = {
     ),
     "11.1": lambda wh, day, now, only: checks.core_by_reason_total(
         wh.table("dws_core_snapshot"), wh.table("ads_core_costreason"), wh.log("test_accounts"), "corecost_detail",
-        "core_cost", day,
+        "core_cost", day, missing_is_zero=False,
     ),
     "12.1": lambda wh, day, now, only: checks.retention_base(
         wh.table("dws_user_daily"), wh.table("ads_retention_daily"), day, only

@@ -143,6 +143,7 @@ def test_comparisons(frame):
     assert rows_of(difference_by_key(left, right, ["k"], "value")) == [(1, 5, 5, 0), (2, None, None, 0), (3, 4, 9, 5)]
     assert rows_of(difference_by_key(left, right, ["k"], "value", signed=True, only_mismatch=True)) == [(3, 4, 9, -5)]
     assert rows_of(difference_by_key(left, right, ["k"], "value", how="full", only_mismatch=True)) == [(3, 4, 9, 5), (4, None, 1, 1)]
+    assert rows_of(difference_by_key(left, right, ["k"], "value", missing_is_zero=False)) == [(1, 5, 5, 0), (2, None, None, None), (3, 4, 9, 5)]
     totals = difference_of_totals(left.agg(F.sum("value").alias("value")), right.agg(F.sum("value").alias("value")), "value")
     assert rows_of(totals) == [(9, 15, 6)]
     assert rows_of(duplicates(frame("k int", (1,), (1,), (2,)), ["k"])) == [(1, 2)]
