@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rolemart.config import Game
+from rolemart.config import Game, RunWindow
 from rolemart.functions.dates import days_between, hour_of
 from rolemart.functions.money import LEDGER
 from rolemart.operators.grids import running_total
@@ -166,21 +166,26 @@ def core_by_reason(core: DataFrame, info: DataFrame, detail: str, value: str) ->
     return rows.groupBy("part_date", "reason").agg(F.sum(value).alias(value))
 
 
-def retention_daily(daily: DataFrame, info: DataFrame) -> DataFrame:
+def retention_daily(daily: DataFrame, info: DataFrame, window: RunWindow | None = None) -> DataFrame:
     """Users active on a day who are active again ``retention_day`` days later (0: the day's active users).
 
-    A user's history is the set of days they were active. Users with the same set are
+    ``window`` limits the days counted from; every later day in ``daily`` still counts as a
+    return. A user's history is the set of days they were active. Users with the same set are
     counted together first, so the day pairs are formed once per set and not per user.
     """
+    if window is not None:
+        daily = daily.where(F.col("part_date") >= window.start_date)
     history = (
-        with_user_attrs(daily, info, [])
+        with_user_attrs(daily.select("role_id", "part_date"), info, [])
         .where(F.col("role_id").isNotNull())
         .groupBy("role_id").agg(F.array_sort(F.collect_set(F.to_date("part_date"))).alias("days"))
         .groupBy("days").agg(F.count(F.lit(1)).alias("users"))
     )
+    starts = history.select("days", "users", F.posexplode("days").alias("nth", "day"))
+    if window is not None:
+        starts = starts.where(F.col("day") <= F.lit(window.end_date).cast("date"))
     return (
-        history.select("days", "users", F.posexplode("days").alias("nth", "day"))
-        .select("users", "day", F.explode(F.slice("days", F.col("nth") + 1, F.size("days"))).alias("later"))
+        starts.select("users", "day", F.explode(F.slice("days", F.col("nth") + 1, F.size("days"))).alias("later"))
         .groupBy(
             F.col("day").cast("string").alias("part_date"),
             days_between(F.col("day"), F.col("later")).cast("bigint").alias("retention_day"),

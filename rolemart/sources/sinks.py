@@ -40,7 +40,9 @@ def overwrite_range(df: DataFrame, table: Table, path: str, window: RunWindow) -
 
     Partitions with new rows are replaced when the job commits. A partition of the range
     that got no new rows still holds only its old files afterwards, and is then removed;
-    dynamic overwrite alone would leave it.
+    dynamic overwrite alone would leave it. A row whose partition lies outside the window (a
+    late event of the month before, say) belongs to the run over that partition, which sees
+    all of it; written here it would replace the partition by a fraction.
     """
     spark = df.sparkSession
     low, high = window.start_date, window.end_date

@@ -199,6 +199,9 @@ def test_retention_counts_pairs_of_active_days(frame):
                 want[(d.isoformat(), (later - d).days)] += 1
     got = {(r.part_date, r.retention_day): r.dau for r in upstream.retention_daily(daily, info).collect()}
     assert got == dict(want)
+    window = RunWindow("2024-01-03", "2024-01-05")
+    part = {(r.part_date, r.retention_day): r.dau for r in upstream.retention_daily(daily, info, window).collect()}
+    assert part == {k: n for k, n in want.items() if "2024-01-03" <= k[0] <= "2024-01-05"}
 
 
 def _month(d):

@@ -24,8 +24,11 @@ LATE = ("item_log", "summon_log", "herosnap_log", "upgraderare_log", "upgradeher
 def stored(spark, tmp_path_factory):
     root, t = str(tmp_path_factory.mktemp("wh")), Logs(spark, SF_DIR)
     raw = f"{root}/{GAME.raw_schema}"
-    for name in ("base_log", *LOGS, *LATE, "token_log"):
-        getattr(t, name).write.partitionBy("part_date").parquet(f"{raw}/{name}")
+    for name in ("base_log", *LOGS, *LATE):
+        getattr(t, name).coalesce(1).write.partitionBy("part_date").parquet(f"{raw}/{name}")
+    months = F.concat(F.substring("part_date", 1, 7), F.lit("-01"))
+    tokens = t.token_log.withColumns({"part_date": months, "date": F.to_date(months)})
+    tokens.coalesce(1).write.partitionBy("part_date").parquet(f"{raw}/token_log")
     t.test_accounts.write.parquet(f"{raw}/test_accounts")
     t.rates.write.parquet(f"{raw}/currency_rate")
     wh = Warehouse(spark, root, GAME)
@@ -54,6 +57,9 @@ def test_partition_filter_reaches_the_scan(stored):
 
     plan = in_window(stored.table("dws_user_daily"), DAYS)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part_date" in plan and "(part_date" in plan.split("PartitionFilters")[1]
+    log = in_window(stored.log("base_log"), RunWindow("2024-01-05", "2024-01-06"))
+    assert log.schema["part_date"].dataType.simpleString() == "string"
+    assert "2024-01-05" in log._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_derive_in_two_runs_equals_one_run(spark, stored, tmp_path):
