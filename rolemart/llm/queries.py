@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemart.llm import packing
+from rolemart.llm import decontaminate, packing, secrets
 from rolemart.llm.registry import query, table
 
 
@@ -18,3 +18,30 @@ def tokenizer_path() -> str:
 @query("op10_pack_min_bin_slack")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def _joined(spans: Column, name: str) -> Column:
+    parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(parts, ",").alias(name)
+
+
+@query("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.with_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), "found").drop("text")
+    base = F.filter("found", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+
+    def count(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, secrets.BASE_KINDS), F.sha2(_joined(base, "base"), 256).alias("base_sha256"), _joined(F.col("found"), "spans")
+    )
+
+
+@query("op7_prefix_filtered_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark"), "leak").select("doc_id", "leak")
+    hit = F.aggregate("leak.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "leak.n_words", hit.alias("n_hit"), F.size("leak.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
