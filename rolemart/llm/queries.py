@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemart.llm import decontaminate, packing, secrets
+from rolemart.llm import decontaminate, packing, quality, secrets
 from rolemart.llm.registry import query, table
 
 
@@ -45,3 +45,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = F.aggregate("leak.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "leak.n_words", hit.alias("n_hit"), F.size("leak.items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def held_out() -> Column:
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out())
+
+
+@query("op1_bradley_terry_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.with_quality(docs, training_labels(spark, sf_dir), "score")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
