@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemart.llm import decontaminate, packing, quality, secrets
+from rolemart.llm import decontaminate, lines, packing, quality, secrets
 from rolemart.llm.registry import query, table
 
 
@@ -60,3 +60,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.with_quality(docs, training_labels(spark, sf_dir), "score")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op6_line_first_cleaning")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = lines.with_line_verdict(table(spark, sf_dir, "documents").select("doc_id", "text"), "v")
+    return judged.select("doc_id", *(f"v.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
