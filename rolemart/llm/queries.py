@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemart.llm import decontaminate, lines, packing, quality, secrets
+from rolemart.llm import decontaminate, lines, packing, pii, quality, secrets
 from rolemart.llm.registry import query, table
 
 
@@ -66,3 +66,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = lines.with_line_verdict(table(spark, sf_dir, "documents").select("doc_id", "text"), "v")
     return judged.select("doc_id", *(f"v.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
+
+
+@query("op9_weak_supervision_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), "found").drop("text")
+    base = F.filter("found", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.BASE_KINDS), F.sha2(_joined(base, "base"), 256).alias("base_sha256"), _joined(F.col("found"), "spans")
+    )
