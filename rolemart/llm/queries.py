@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemart.llm import decontaminate, lines, packing, pii, quality, secrets
+from rolemart.llm import decontaminate, lines, packing, pii, quality, secrets, warc
 from rolemart.llm.registry import query, table
 
 
@@ -79,3 +79,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *map(count, pii.BASE_KINDS), F.sha2(_joined(base, "base"), 256).alias("base_sha256"), _joined(F.col("found"), "spans")
     )
+
+
+@query("op4_index_first_warc")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    index = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
