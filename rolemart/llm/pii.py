@@ -12,7 +12,6 @@ driver. Finding and deciding happen within a document's row, without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rolemart.llm.common import spare, text_of
+from rolemart.llm.native import let, running
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "spoken_email", "local_phone", "iban", "ssn")
@@ -61,27 +61,6 @@ _AGAINST = {
 }
 
 
-def _let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then(value)`` with the value computed once: a lambda variable is not computed again at each use."""
-    return F.transform(F.array(value), then)[0]
-
-
-def _running(lengths: Column, block: int = 256) -> Column:
-    """Sum of the elements before each one. Two levels, so that arrays of any length grow in small steps only."""
-
-    def plain(a: Column) -> Column:
-        start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("before"))
-        return F.aggregate(a, start, lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.concat(s["before"], F.array(s["sum"])).alias("before")))
-
-    def both(a: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(a), F.lit(1)), F.lit(block))
-        blocks = F.transform(starts, lambda k: plain(F.slice(a, k, F.lit(block))))
-        return _let(blocks, lambda b: F.flatten(F.zip_with(
-            b, plain(F.transform(b, lambda x: x["sum"]))["before"], lambda x, o: F.transform(x["before"], lambda y: y + o))))
-
-    return _let(lengths, both)
-
-
 def matches(text: Column, pattern: str) -> Column:
     """Non-overlapping matches from the left, as array<struct<start,end,value>> in code points."""
 
@@ -90,13 +69,13 @@ def matches(text: Column, pattern: str) -> Column:
                            lambda g, v: F.struct(F.length(g).alias("gap"), v.alias("value")))
 
         def spans(items: Column) -> Column:
-            offsets = _running(F.transform(items, lambda x: x["gap"] + F.length(x["value"])))
+            offsets = running(F.transform(items, lambda x: x["gap"] + F.length(x["value"])))
             return F.zip_with(items, offsets, lambda x, o: F.struct(
                 (o + x["gap"]).alias("start"), (o + x["gap"] + F.length(x["value"])).alias("end"), x["value"].alias("value")))
 
-        return F.when(F.size(parts["values"]) > 0, _let(found, spans)).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
+        return F.when(F.size(parts["values"]) > 0, let(found, spans)).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
 
-    return _let(F.struct(F.regexp_extract_all(text, F.lit(pattern), 0).alias("values"), F.split(text, pattern, -1).alias("gaps")), placed)
+    return let(F.struct(F.regexp_extract_all(text, F.lit(pattern), 0).alias("values"), F.split(text, pattern, -1).alias("gaps")), placed)
 
 
 def _digits(value: Column) -> Column:
@@ -106,7 +85,7 @@ def _digits(value: Column) -> Column:
 def valid(kind: str, value: Column) -> Column:
     """What a match of a base kind must meet; a match that does not is dropped."""
     if kind == "ip":
-        return F.forall(F.split(value, r"\."), lambda p: _let(F.regexp_replace(p, "^0+", ""), lambda q: (F.length(q) < 3) | ((F.length(q) == 3) & (q <= "255"))))
+        return F.forall(F.split(value, r"\."), lambda p: let(F.regexp_replace(p, "^0+", ""), lambda q: (F.length(q) < 3) | ((F.length(q) == 3) & (q <= "255"))))
     if kind == "card":
         return F.call_function("luhn_check", _digits(value))
     if kind == "phone":
@@ -246,7 +225,7 @@ def chance(span: Column, weights: list[float]) -> Column:
         vote = sum((d[v] * w for v, w in zip(_LABELERS, by_vote, strict=True)), F.lit(bias))
         return kind + vote + d["length"] * (length / 5) + d["touches"] * (touches / 2) + d["parts"] * (parts / 5)
 
-    return 1 / (1 + F.exp(-_let(described(span), total)))
+    return 1 / (1 + F.exp(-let(described(span), total)))
 
 
 def with_personal_data(docs: DataFrame, column: str, least: float = 0.5) -> DataFrame:

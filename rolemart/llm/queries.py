@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemart.llm import decontaminate, lines, packing, pii, quality, secrets, warc
+from rolemart.llm import decontaminate, lines, packing, pii, preference, quality, secrets, warc
 from rolemart.llm.registry import query, table
 
 
@@ -86,3 +86,49 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     index = warc.write(table(spark, sf_dir, "pages"), folder)
     return warc.read(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_OP8_SQL = r"""
+WITH t AS (SELECT conv_id AS p, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r, text AS x FROM conversations WHERE conv_id IS NOT NULL),
+last_turn AS (
+  SELECT p, turn, x FROM (SELECT p, turn, x, row_number() OVER (PARTITION BY p ORDER BY turn DESC NULLS LAST, x DESC NULLS LAST) AS k FROM t WHERE r = 'assistant') WHERE k = 1),
+known AS (
+  SELECT t.*, o.p IS NOT NULL AS there, coalesce(o.x, '') AS other,
+         coalesce(r = 'assistant' AND l.p IS NOT NULL AND t.turn IS NOT DISTINCT FROM l.turn AND t.x IS NOT DISTINCT FROM l.x, false) AS is_last
+  FROM t LEFT JOIN last_turn l ON t.p = l.p LEFT JOIN last_turn o ON o.p = xor(t.p, 1)),
+sides AS (
+  SELECT p, true AS chosen, turn, role, text FROM t
+  UNION ALL SELECT p, false, turn, role, CASE WHEN is_last THEN other ELSE text END FROM known WHERE NOT is_last OR there),
+placed AS (SELECT *, row_number() OVER (PARTITION BY p, chosen ORDER BY turn NULLS FIRST, role, text) AS k FROM sides),
+wide AS (
+  SELECT coalesce(a.p, b.p) AS p, coalesce(a.k, b.k) AS k, a.role AS ar, a.text AS ax, b.role AS br, b.text AS bx
+  FROM (FROM placed WHERE chosen) a FULL JOIN (FROM placed WHERE NOT chosen) b ON a.p = b.p AND a.k = b.k),
+cut AS (
+  SELECT p, coalesce(min(k) FILTER (WHERE NOT coalesce(ar = br AND ax = bx, false)), max(k) + 1) - 1 AS n FROM wide GROUP BY p),
+rendered AS (
+  SELECT s.p, s.chosen, s.k, c.n, s.role, '<|' || s.role || '|>' || chr(10) || s.text || chr(10) || '<|end|>' || chr(10) AS piece, length(s.role) + 5 AS head, length(s.text) + 8 AS body
+  FROM placed s JOIN cut c ON s.p = c.p),
+spans AS (
+  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY p, chosen ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM rendered WHERE k > n),
+done AS (
+  SELECT p, coalesce(string_agg(piece, '' ORDER BY k) FILTER (WHERE chosen), '') AS a, coalesce(string_agg(piece, '' ORDER BY k) FILTER (WHERE NOT chosen), '') AS b,
+         count(*) FILTER (WHERE chosen) AS na, count(*) FILTER (WHERE NOT chosen) AS nb,
+         coalesce(string_agg((pos + head)::BIGINT || ':' || (pos + head + body)::BIGINT, ',' ORDER BY k) FILTER (WHERE chosen AND role = 'assistant'), '') AS sa,
+         coalesce(string_agg((pos + head)::BIGINT || ':' || (pos + head + body)::BIGINT, ',' ORDER BY k) FILTER (WHERE NOT chosen AND role = 'assistant'), '') AS sb
+  FROM spans GROUP BY p),
+prompts AS (SELECT p, string_agg(piece, '' ORDER BY k) AS prompt FROM rendered WHERE chosen AND k <= n GROUP BY p)
+SELECT c.p AS conv_id, c.n AS n_prompt_turns, coalesce(na, 0) AS n_chosen_turns, coalesce(nb, 0) AS n_rejected_turns, coalesce(prompt, '') AS prompt,
+       coalesce(a, '') AS chosen, coalesce(b, '') AS rejected, coalesce(sa, '') AS chosen_spans, coalesce(sb, '') AS rejected_spans
+FROM cut c LEFT JOIN done ON c.p = done.p LEFT JOIN prompts ON c.p = prompts.p
+"""
+
+
+@query("op8_preference_pairs", _OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    examples = preference.preference_examples(preference.swapped_replies(table(spark, sf_dir, "conversations")))
+
+    def told(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias(spans)
+
+    plain = ("n_prompt_turns", "n_chosen_turns", "n_rejected_turns", "prompt", "chosen", "rejected")
+    return examples.select(F.col("pair_id").alias("conv_id"), *plain, told("chosen_spans"), told("rejected_spans"))

@@ -7,7 +7,7 @@ records out of those; archives are never scanned. Records are compressed one by
 Scale: each task writes an archive of its own under a name that no other attempt has, and its index rows count only if the
 attempt succeeded, so a lost executor leaves at most a file that no index row names. Equal payloads are found by their
 digest: pages are counted per digest before the shuffle, and a digest is looked up in parts, so a payload that a third of
-the pages share loads no single task. Payloads themselves are not shuffled. Files go through ``pyarrow.fs``, which reaches
+the pages share loads no single task. Payloads move once, by page_id and digest, to meet what was decided about them. Files go through ``pyarrow.fs``, which reaches
 local and shared folders and the common object stores.
 """
 
@@ -115,7 +115,7 @@ def originals(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         asked.where(F.col("page_id").isNotNull() & (F.col("size") >= least_bytes)).join(parts, ["digest", "part"])
         .where(F.col("page_id") < F.col("original")).select("page_id", "digest", F.col("original").alias("refers_to")).distinct()
     )
-    return hashed.join(revisits, ["page_id", "digest"], "left")
+    return hashed.join(revisits.hint("shuffle_hash"), ["page_id", "digest"], "left")  # the payload side needs no sort
 
 
 def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
