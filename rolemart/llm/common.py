@@ -47,7 +47,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     """Spread a 64-bit value over all bits; the shifts and the multiplier are free choices."""
     x = x ^ (x >> np.uint64(29))
     x = x * np.uint64(0xD6E8FEB86659FD93)
@@ -61,5 +61,5 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     out = words[:n].copy()
     for k in range(1, size):
-        out = _mix(out) + words[k : k + n]
-    return _mix(out)
+        out = mixed(out) + words[k : k + n]
+    return mixed(out)

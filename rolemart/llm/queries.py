@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemart.llm import decontaminate, lines, packing, pii, preference, quality, secrets, warc
+from rolemart.llm import decontaminate, lines, packing, pii, preference, quality, repeats, secrets, warc
 from rolemart.llm.registry import query, table
 
 
@@ -132,3 +132,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     plain = ("n_prompt_turns", "n_chosen_turns", "n_rejected_turns", "prompt", "chosen", "rejected")
     return examples.select(F.col("pair_id").alias("conv_id"), *plain, told("chosen_spans"), told("rejected_spans"))
+
+
+@query("op2_run_length_index_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
