@@ -40,7 +40,8 @@ def batch_of(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> p
 
 
 def shared_hashes(owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], bits: int, chunk_hashes: int = 6_000_000) -> DataFrame:
-    """(owner binary, shared binary): the cut hashes (uint64) that another owner has too, for owners with at least one.
+    """(owner binary, n long, shared binary): how many hashes an owner has and the cut ones (uint64) that another owner has
+    too, for owners with at least one of these.
 
     ``owners`` has two binary columns: an id, equal ids meaning equal content, and the content. ``hashes_of`` gives the distinct
     64-bit hashes of a content.
@@ -67,7 +68,7 @@ def shared_hashes(owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], b
             last[:-1] = new[1:]
             single = new & last
             own = ~single
-            rows = [(int(chunk % (1 << bits)), chunk, b"".join(x.ljust(16, b"\0") for x in index), owner[own].tobytes() + hashes[own].tobytes(), None)]
+            rows = [(int(chunk % (1 << bits)), chunk, b"".join(x.ljust(16, b"\0") + len(h).to_bytes(4, "little") for x, h in zip(index, held, strict=True)), owner[own].tobytes() + hashes[own].tobytes(), None)]
             alone, alone_owner, multiple = hashes[single], owner[single], hashes[new & ~last]
             edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(32)
             at, at_multiple = np.searchsorted(alone, edges), np.searchsorted(multiple, edges)
@@ -120,7 +121,7 @@ def shared_hashes(owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], b
     def settle(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         mine = next(r for r in rows if r["is_own"])
-        keys = [mine["owners"][i : i + 16] for i in range(0, len(mine["owners"]), 16)]
+        keys = [(mine["owners"][i : i + 16], int.from_bytes(mine["owners"][i + 16 : i + 20], "little")) for i in range(0, len(mine["owners"]), 20)]
         n = len(mine["hashes"]) // 12
         owner = [np.frombuffer(mine["hashes"][: 4 * n], np.uint32), *(np.frombuffer(r["owners"], np.uint32) for r in rows if not r["is_own"])]
         hashes = [np.frombuffer(mine["hashes"][4 * n :], np.uint64), *(np.frombuffer(r["hashes"], np.uint64) for r in rows if not r["is_own"])]
@@ -129,13 +130,13 @@ def shared_hashes(owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], b
         owner, hashes = owner[order], hashes[order]
         present, starts = np.unique(owner, return_index=True)
         ends = np.append(starts[1:], len(owner))
-        out = [(keys[o], hashes[a:z].tobytes()) for o, a, z in zip(present.tolist(), starts.tolist(), ends.tolist(), strict=True)]
-        return pa.Table.from_batches([batch_of(out, [pa.binary(), pa.binary()], ["owner", "shared"])])
+        out = [(*keys[o], hashes[a:z].tobytes()) for o, a, z in zip(present.tolist(), starts.tolist(), ends.tolist(), strict=True)]
+        return pa.Table.from_batches([batch_of(out, [pa.binary(), pa.int64(), pa.binary()], ["owner", "n", "shared"])])
 
     return (
         owners.mapInArrow(send, _SENT)
         .groupBy("bucket").applyInArrow(answer, _ANSWER)
-        .groupBy("chunk").applyInArrow(settle, "owner binary, shared binary")
+        .groupBy("chunk").applyInArrow(settle, "owner binary, n long, shared binary")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemart.llm import decontaminate, lines, packing, pii, preference, quality, repeats, secrets, warc
+from rolemart.llm import decontaminate, lines, neardup, packing, pii, preference, quality, repeats, secrets, warc
 from rolemart.llm.registry import query, table
 
 
@@ -137,3 +137,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_run_length_index_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op3_bottom_k_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = neardup.with_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), "g", size=4)
+    return grouped.select("doc_id", "g.n_shingles", "g.component_id", "g.kept")
