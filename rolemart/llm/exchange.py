@@ -129,7 +129,7 @@ def shared_hashes(owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], b
         order = np.argsort(owner, kind="stable")
         owner, hashes = owner[order], hashes[order]
         present, starts = np.unique(owner, return_index=True)
-        ends = np.append(starts[1:], len(owner))
+        ends = np.append(starts[1:], len(owner))[: len(starts)]
         out = [(*keys[o], hashes[a:z].tobytes()) for o, a, z in zip(present.tolist(), starts.tolist(), ends.tolist(), strict=True)]
         return pa.Table.from_batches([batch_of(out, [pa.binary(), pa.int64(), pa.binary()], ["owner", "n", "shared"])])
 
