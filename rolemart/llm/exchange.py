@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _MOST_BUCKETS = 65_536
-_SENT = "bucket int, chunk long, owners binary, hashes binary, repeated binary"
-_ANSWER = "chunk long, owners binary, hashes binary, is_own boolean"
+_SENT = "bucket int, chunk long, owners binary, hashes binary, repeated binary, times binary, numbers binary, prints binary"
+_ANSWER = "chunk long, owners binary, hashes binary, popular binary, is_own boolean"
 
 
 def cut(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -39,14 +39,18 @@ def batch_of(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> p
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def shared_hashes(owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], bits: int, chunk_hashes: int = 6_000_000) -> DataFrame:
-    """(owner binary, n long, shared binary): how many hashes an owner has and the cut ones (uint64) that another owner has
-    too, for owners with at least one of these.
+def shared_hashes(
+    owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], bits: int, popular: int | None = None, chunk_hashes: int = 1_500_000
+) -> DataFrame:
+    """(owner binary, n long, shared binary, n_popular long), for owners that have hashes which another owner has too: how many
+    hashes an owner has, those that are shared (cut, uint64), and how many of them more than ``popular`` owners have.
+
+    Rows with equal ids are one owner, but in the count for ``popular`` such an owner may weigh once per chunk.
 
     ``owners`` has two binary columns: an id, equal ids meaning equal content, and the content. ``hashes_of`` gives the distinct
     64-bit hashes of a content.
     """
-    sent_types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    sent_types = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
     sent_names = [c.split()[0] for c in _SENT.split(", ")]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,15 +72,21 @@ def shared_hashes(owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], b
             last[:-1] = new[1:]
             single = new & last
             own = ~single
-            rows = [(int(chunk % (1 << bits)), chunk, b"".join(x.ljust(16, b"\0") + len(h).to_bytes(4, "little") for x, h in zip(index, held, strict=True)), owner[own].tobytes() + hashes[own].tobytes(), None)]
+            rows = [(int(chunk % (1 << bits)), chunk, b"".join(x.ljust(16, b"\0") + len(h).to_bytes(4, "little") for x, h in zip(index, held, strict=True)), owner[own].tobytes() + hashes[own].tobytes(), None, None, None, None)]
+            # ids are digests: eight bytes of them tell equal from different owners
+            prints = np.frombuffer(b"".join(x.ljust(8, b"\0")[:8] for x in index), np.uint64)
             alone, alone_owner, multiple = hashes[single], owner[single], hashes[new & ~last]
+            times = np.diff(np.append(np.flatnonzero(new), len(hashes)))
+            times = times[times > 1].astype(np.uint32)
             edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(32)
             at, at_multiple = np.searchsorted(alone, edges), np.searchsorted(multiple, edges)
             at, at_multiple = np.append(at, len(alone)), np.append(at_multiple, len(multiple))
             low, low_multiple = alone.astype(np.uint32), multiple.astype(np.uint32)
             for b in np.flatnonzero((at[1:] > at[:-1]) | (at_multiple[1:] > at_multiple[:-1])).tolist():
-                a, z = at[b], at[b + 1]
-                rows.append((b, chunk, alone_owner[a:z].tobytes(), low[a:z].tobytes(), low_multiple[at_multiple[b] : at_multiple[b + 1]].tobytes()))
+                a, z, am, zm = at[b], at[b + 1], at_multiple[b], at_multiple[b + 1]
+                here, local = np.unique(alone_owner[a:z], return_inverse=True)
+                packed = (local.astype(np.uint32), low[a:z], low_multiple[am:zm], times[am:zm], here, prints[here])
+                rows.append((b, chunk, *(x.tobytes() for x in packed)))
             return batch_of(rows, sent_types, sent_names)
 
         for batch in batches:
@@ -96,26 +106,43 @@ def shared_hashes(owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], b
         if held:
             yield flush()
 
-    answer_types = [pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
+    answer_types = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()]
     answer_names = [c.split()[0] for c in _ANSWER.split(", ")]
 
     def answer(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        repeated = table.column("repeated").to_pylist()
-        chunks, owners_, hashes = (table.column(c).to_pylist() for c in ("chunk", "owners", "hashes"))
-        rows = [(chunks[i], owners_[i], hashes[i], True) for i, r in enumerate(repeated) if r is None]
-        sent = [i for i, r in enumerate(repeated) if r is not None]
-        singles = [np.frombuffer(hashes[i], np.uint32) for i in sent]
-        everything = np.concatenate([*singles, *(np.frombuffer(repeated[i], np.uint32) for i in sent), np.empty(0, np.uint32)])
-        everything.sort()
-        twice = everything[1:][everything[1:] == everything[:-1]]
-        for i, own in zip(sent, singles, strict=True):
-            if len(twice) and len(own):
-                place = np.minimum(np.searchsorted(twice, own), len(twice) - 1)
-                hit = twice[place] == own
-                if hit.any():
-                    full = own[hit].astype(np.uint64) | np.uint64(bucket << 32)
-                    rows.append((chunks[i], np.frombuffer(owners_[i], np.uint32)[hit].tobytes(), full.tobytes(), False))
+        top = np.uint64(table.column("bucket")[0].as_py() << 32)
+        received = table.to_pylist()
+        sent = [r for r in received if r["repeated"] is not None]
+        rows = [(r["chunk"], r["owners"], r["hashes"], None, True) for r in received if r["repeated"] is None]
+        singles = [np.frombuffer(r["hashes"], np.uint32) for r in sent]
+        repeated = [np.frombuffer(r["repeated"], np.uint32) for r in sent]
+        # an owner that stands in several chunks counts once: one owner's prints are all the same
+        own = np.concatenate([*singles, np.empty(0, np.uint32)])
+        prints = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(r["prints"], np.uint64)[np.frombuffer(r["owners"], np.uint32)] for r in sent)])
+        order = np.argsort(own)
+        own, prints = own[order], prints[order]
+        begins = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.empty(0, np.int64)
+        alone = own[begins]
+        several = alone[np.minimum.reduceat(prints, begins) != np.maximum.reduceat(prints, begins)] if len(own) else alone
+        multiple = np.concatenate([*repeated, np.empty(0, np.uint32)])
+        twice = np.union1d(several, np.intersect1d(alone, multiple))
+        many = multiple[:0]
+        if popular is not None:
+            counted = (np.unique(own.astype(np.uint64) << np.uint64(32) | prints >> np.uint64(32)) >> np.uint64(32)).astype(np.uint32)
+            weight = np.concatenate([np.ones(len(counted), np.uint32), *(np.frombuffer(r["times"], np.uint32) for r in sent)])
+            values, slot = np.unique(np.concatenate([counted, multiple]), return_inverse=True)
+            many = values[np.bincount(slot, weight, len(values)) > popular]
+
+        def among(own: np.ndarray, known: np.ndarray) -> np.ndarray:
+            return known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own if len(known) else np.zeros(len(own), bool)
+
+        for r, own, multiple in zip(sent, singles, repeated, strict=True):
+            hit = among(own, twice)
+            famous = np.concatenate([own[among(own, many)], multiple[among(multiple, many)]])
+            if hit.any() or len(famous):
+                full = own[hit].astype(np.uint64) | top
+                owner = np.frombuffer(r["numbers"], np.uint32)[np.frombuffer(r["owners"], np.uint32)[hit]]
+                rows.append((r["chunk"], owner.tobytes(), full.tobytes(), (famous.astype(np.uint64) | top).tobytes(), False))
         return pa.Table.from_batches([batch_of(rows, answer_types, answer_names)])
 
     def settle(table: pa.Table) -> pa.Table:
@@ -130,13 +157,15 @@ def shared_hashes(owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], b
         owner, hashes = owner[order], hashes[order]
         present, starts = np.unique(owner, return_index=True)
         ends = np.append(starts[1:], len(owner))[: len(starts)]
-        out = [(*keys[o], hashes[a:z].tobytes()) for o, a, z in zip(present.tolist(), starts.tolist(), ends.tolist(), strict=True)]
-        return pa.Table.from_batches([batch_of(out, [pa.binary(), pa.int64(), pa.binary()], ["owner", "n", "shared"])])
+        famous = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(r["popular"], np.uint64) for r in rows if not r["is_own"])])
+        known = np.concatenate([[0], np.cumsum(np.isin(hashes, famous))])
+        out = [(*keys[o], hashes[a:z].tobytes(), int(known[z] - known[a])) for o, a, z in zip(present.tolist(), starts.tolist(), ends.tolist(), strict=True)]
+        return pa.Table.from_batches([batch_of(out, [pa.binary(), pa.int64(), pa.binary(), pa.int64()], ["owner", "n", "shared", "n_popular"])])
 
     return (
         owners.mapInArrow(send, _SENT)
         .groupBy("bucket").applyInArrow(answer, _ANSWER)
-        .groupBy("chunk").applyInArrow(settle, "owner binary, n long, shared binary")
+        .groupBy("chunk").applyInArrow(settle, "owner binary, n long, shared binary, n_popular long")
     )
 
 
