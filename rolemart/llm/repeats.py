@@ -8,7 +8,7 @@ A byte goes if a string of ``size`` bytes around it also starts in a document wi
 2. Segments. Each shared anchor is cut out with all windows it anchors. Segments with equal anchors meet in one bucket. A
    task sends a segment once, for the smallest document that has it there; for its other documents the segment is
    a repeat as a whole. So a passage that a third of the corpus shares is sent once per task.
-3. Index. A bucket orders its segments by document, sorts their windows, and keeps the Burrows-Wheeler transform of that
+3. Index. Where all segments of an anchor are the same they are settled as a whole. Of the others, a bucket sorts the windows, and keeps the Burrows-Wheeler transform of that
    order (the byte before each window) as runs, with a sample at each run's head: the document there. Runs end where the
    windows stop being equal, and ties are in the order of the documents, so the sample at the head of a group of equal
    windows is its smallest document. In a repetitive bucket there are few runs.
@@ -29,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ from rolemart.llm.exchange import batch_of, bucket_bits, cut, expected_units, sh
 
 _LAST = (1 << 63) - 1
 _HOT_BITS = 1 << 22
-_SENT = "bucket int, chunk long, addresses binary, docs binary, lengths binary, segments binary"
+_SENT = "bucket int, chunk long, addresses binary, docs binary, lengths binary, keys binary, segments binary"
 _ANSWER = "chunk long, addresses binary, starts binary, is_own boolean"
 
 
@@ -83,7 +84,9 @@ class RunIndex:
 
     def __init__(self, text: np.ndarray, starts: np.ndarray, docs: np.ndarray, opens: np.ndarray, size: int) -> None:
         offsets = [*range(0, size - 7, 8), size - 8]
-        keys = [_gather(text, starts + o) for o in offsets]
+        # eight bytes at each place, the first weighing most, so that numbers compare as strings do
+        words = _words_at(text, 0, len(text) - 7).byteswap()
+        keys = [words[starts + o] for o in offsets]
         self.order = np.lexsort((docs, *reversed(keys)))
         new = np.zeros(len(starts), bool)
         new[:1] = True
@@ -112,33 +115,40 @@ class RunIndex:
         return out
 
 
-def _gather(text: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Eight bytes at each place, the first byte weighing most, so that numbers compare as strings do."""
-    out = np.zeros(len(at), np.uint64)
-    for i in range(8):
-        out = (out << np.uint64(8)) | text[at + i].astype(np.uint64)
-    return out
-
+def mark_bucket(segments: list[bytes], docs: list[int], keys: list[int], size: int) -> list[np.ndarray]:
+    """Per segment, the offsets of the windows that a smaller document of the bucket has.
 
-def mark_bucket(segments: list[bytes], docs: list[int], size: int) -> list[np.ndarray]:
-    """Per segment, the offsets of the windows that a smaller document of the bucket has."""
+    Windows can only be equal if their anchors are. Where all segments of an anchor are the same, so are their windows; the
+    index is built over the others.
+    """
     distinct: dict[bytes, int] = {}
-    for segment, doc in zip(segments, docs, strict=True):
-        if doc < distinct.get(segment, _LAST + 1):
+    variants: dict[int, int] = defaultdict(int)
+    for segment, doc, key in zip(segments, docs, keys, strict=True):
+        known = distinct.get(segment)
+        if known is None:
+            variants[key] += 1
+        if known is None or doc < known:
             distinct[segment] = doc
-    texts = list(distinct)
-    lengths = np.array([len(t) for t in texts], np.int64)
-    begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    counts = lengths - size + 1
-    within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    owner = np.array(list(distinct.values()), np.int64)
-    index = RunIndex(np.frombuffer(b"".join(texts), np.uint8), np.repeat(begins, counts) + within, np.repeat(owner, counts), within == 0, size)
-    smallest = index.smallest_documents()
-    place = dict(zip(texts, zip(np.cumsum(counts) - counts, counts, strict=True), strict=True))
+    key_of = dict(zip(segments, keys, strict=True))
+    texts = [t for t in distinct if variants[key_of[t]] > 1]
+    place: dict[bytes, np.ndarray] = {}
+    if texts:
+        lengths = np.array([len(t) for t in texts], np.int64)
+        begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        counts = lengths - size + 1
+        firsts = np.cumsum(counts) - counts
+        within = np.arange(counts.sum()) - np.repeat(firsts, counts)
+        owner = np.repeat(np.array([distinct[t] for t in texts], np.int64), counts)
+        index = RunIndex(np.frombuffer(b"".join(texts), np.uint8), np.repeat(begins, counts) + within, owner, within == 0, size)
+        smallest = index.smallest_documents()
+        place = {t: smallest[a : a + n] for t, a, n in zip(texts, firsts.tolist(), counts.tolist(), strict=True)}
+    none = np.empty(0, np.int64)
     out = []
     for segment, doc in zip(segments, docs, strict=True):
-        at, n = place[segment]
-        out.append(np.flatnonzero(smallest[at : at + n] < doc))
+        if (found := place.get(segment)) is not None:
+            out.append(np.flatnonzero(found < doc))
+        else:
+            out.append(np.arange(len(segment) - size + 1) if distinct[segment] < doc else none)
     return out
 
 
@@ -152,24 +162,26 @@ def merged_ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.stack([starts[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(reach) - 1)]], 1).astype(np.int64)
 
 
-def _hot_anchors(shared: DataFrame, often: int) -> np.ndarray:
-    """Anchors that many documents of some task share, as bits of a fixed number of hash values.
+def _hot_anchors(shared: DataFrame, often: int, blocks: int) -> np.ndarray:
+    """Anchors that at least ``often`` documents of some block share, as bits of a fixed number of hash values.
 
     Their segments differ at the ends of the passage they lie in, so they would all go to one bucket; they are spread by
     window instead. Which anchors those are is decided once for all tasks, and a wrong bit does no harm.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(_HOT_BITS // 64, np.uint64)
+        times = np.zeros(_HOT_BITS, np.uint32)
         for batch in batches:
             keys = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) for x in batch.column(0))])
-            values, n = np.unique(mixed(keys) % np.uint64(_HOT_BITS), return_counts=True)
-            hot = values[n >= often]
-            np.bitwise_or.at(bits, (hot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (hot & np.uint64(63)))
+            times += np.bincount((mixed(keys) % np.uint64(_HOT_BITS)).astype(np.int64), minlength=_HOT_BITS).astype(np.uint32)
+        hot = np.flatnonzero(times >= often).astype(np.uint64)
+        bits = np.zeros(_HOT_BITS // 64, np.uint64)
+        np.bitwise_or.at(bits, (hot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (hot & np.uint64(63)))
         at = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(bits[at].view(np.int64))], names=["at", "bits"])
 
-    rows = shared.select("shared").mapInArrow(count, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).collect()
+    found = shared.select("shared").coalesce(blocks).mapInArrow(count, "at int, bits long")
+    rows = found.groupBy("at").agg(F.bit_or("bits").alias("bits")).collect()  # at most _HOT_BITS / 64
     out = np.zeros(_HOT_BITS // 64, np.uint64)
     for r in rows:
         out[r["at"]] = r["bits"] % (1 << 64)
@@ -198,7 +210,7 @@ class _Chunk:
         sent: dict[bytes, tuple[int, int]] = {}
         waiting: list[tuple[int, int, int]] = []
         settled: list[tuple[int, int, int]] = []
-        out = defaultdict(lambda: ([], [], []))
+        out = defaultdict(lambda: ([], [], [], []))
         for number, (doc, _, segments) in enumerate(self.docs):
             for start, key, segment in segments:
                 address, first = sent.get(segment, (len(sent), doc))
@@ -208,20 +220,22 @@ class _Chunk:
                 waiting.append((address, number, start))
                 if segment not in sent:
                     sent[segment] = address, doc
-                    addresses, docs, texts = out[key % self.buckets]
-                    addresses.append(address), docs.append(doc), texts.append(segment)
+                    addresses, docs, keys, texts = out[key % self.buckets]
+                    addresses.append(address), docs.append(doc), keys.append(key & 0xFFFFFFFF), texts.append(segment)
         owners = b"".join(owner for _, owner, _ in self.docs)
         own = np.array(waiting, np.int64).tobytes(), np.array(settled, np.int64).tobytes()
-        rows = [(self.number % self.buckets, self.number, owners, *own, None)]
-        for bucket, (addresses, docs, texts) in out.items():
+        rows = [(self.number % self.buckets, self.number, owners, *own, None, None)]
+        for bucket, (addresses, docs, keys, texts) in out.items():
             lengths = np.array([len(t) for t in texts], np.int32)
-            rows.append((bucket, self.number, np.array(addresses, np.uint32).tobytes(), np.array(docs, np.int64).tobytes(), lengths.tobytes(), b"".join(texts)))
+            # text packs to a fraction of what the shuffle's own codec leaves
+            numbers = (np.array(addresses, np.uint32), np.array(docs, np.int64), lengths, np.array(keys, np.uint32))
+            rows.append((bucket, self.number, *(x.tobytes() for x in numbers), zstandard.compress(b"".join(texts), 3)))
         return rows
 
 
 def _segment_rows(anchoring: Anchoring, bits: int, buckets: int, hot, chunk_bytes: int):
-    """Arrow function over (owner, doc, data, shared): cut the shared anchors' segments out and send them."""
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+    """Arrow function over (owner, doc_id, data, shared): cut the shared anchors' segments out and send them."""
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
     names = [c.split()[0] for c in _SENT.split(", ")]
     size = anchoring.size
 
@@ -244,11 +258,11 @@ def _segment_rows(anchoring: Anchoring, bits: int, buckets: int, hot, chunk_byte
         chunk, seen = _Chunk(task << 24, buckets), set()
         for batch in batches:
             for owner, doc, data, shared in zip(*batch.columns, strict=True):
-                owner = owner.as_py()
+                owner, doc = owner.as_py(), doc.as_py()
                 if owner in seen or not shared.is_valid:
                     continue
                 seen.add(owner)
-                chunk.add(doc.as_py(), owner, segments_of(data.as_py(), np.frombuffer(shared.as_py(), np.uint64)))
+                chunk.add(_LAST if doc is None else doc, owner, segments_of(data.as_py(), np.frombuffer(shared.as_py(), np.uint64)))
                 if chunk.size >= chunk_bytes:
                     yield batch_of(chunk.rows(size), kinds, names)
                     sequence += 1
@@ -263,18 +277,20 @@ def _answer_bucket(size: int):
     kinds, names = [pa.int64(), pa.binary(), pa.binary(), pa.bool_()], [c.split()[0] for c in _ANSWER.split(", ")]
 
     def answer(table: pa.Table) -> pa.Table:
-        rows, segments, docs, source = [], [], [], []
+        rows, segments, docs, keys, source = [], [], [], [], []
         for r in table.to_pylist():
             if r["segments"] is None:
                 rows.append((r["chunk"], r["addresses"], pickle.dumps((r["docs"], r["lengths"])), True))
                 continue
             ends = np.cumsum(np.frombuffer(r["lengths"], np.int32)).tolist()
-            segments += [r["segments"][a:z] for a, z in zip([0, *ends], ends, strict=False)]
+            text = zstandard.decompress(r["segments"], max_output_size=ends[-1])
+            segments += [text[a:z] for a, z in zip([0, *ends], ends, strict=False)]
             docs += np.frombuffer(r["docs"], np.int64).tolist()
+            keys += np.frombuffer(r["keys"], np.uint32).tolist()
             source += [(r["chunk"], a) for a in np.frombuffer(r["addresses"], np.uint32).tolist()]
         found = defaultdict(lambda: ([], []))
         if segments:
-            for (chunk, address), windows in zip(source, mark_bucket(segments, docs, size), strict=True):
+            for (chunk, address), windows in zip(source, mark_bucket(segments, docs, keys, size), strict=True):
                 if len(windows):
                     addresses, starts = found[chunk]
                     addresses.append(np.full(len(windows), address, np.uint32)), starts.append(windows.astype(np.int32))
@@ -304,7 +320,7 @@ def _settle_chunk(size: int):
         order = np.argsort(number, kind="stable")
         number, starts, ends = number[order], starts[order], ends[order]
         present, at = np.unique(number, return_index=True)
-        out = [(owners[o], merged_ranges(starts[a:z], ends[a:z]).tobytes()) for o, a, z in zip(present.tolist(), at.tolist(), [*at[1:].tolist(), len(number)], strict=True)]
+        out = [(owners[o], merged_ranges(starts[a:z], ends[a:z]).tobytes()) for o, a, z in zip(present.tolist(), at.tolist(), np.append(at[1:], len(number)).tolist(), strict=False)]
         return pa.Table.from_batches([batch_of(out, [pa.binary(), pa.binary()], ["owner", "marks"])])
 
     return settle
@@ -321,18 +337,18 @@ def remove_repeats(docs: DataFrame, size: int = 50, with_text: bool = False, oft
     """
     anchoring = Anchoring(size, max(16, min(20, size - 8)))
     data = bytes_of(docs)
-    doc = F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST))
-    owner = F.coalesce(F.unhex(F.md5(F.concat(data, doc.cast("string").cast("binary")))), F.lit(b""))
-    read = docs.select(owner.alias("owner"), doc.alias("doc"), data.alias("data"), docs["doc_id"].cast("long").alias("doc_id"))
+    doc_id = docs["doc_id"].cast("long")
+    owner = F.coalesce(F.unhex(F.md5(F.concat(data, F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")))), F.lit(b""))
+    read = docs.select(owner.alias("owner"), doc_id.alias("doc_id"), data.alias("data"))
     n_bytes = expected_units(docs, 1)
     bits = bucket_bits(int(n_bytes * 0.065))
     shared = landed(shared_hashes(read.select("owner", "data"), lambda x: anchoring.anchors(x)[0], bits), "shared-anchors")
-    hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(shared, often))
+    hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(shared, often, 1 + n_bytes // 1_000_000_000))
     buckets = max(16, min(65_536, n_bytes // 5_000_000))
     # both joins read the same exchange of the texts
-    held = read.join(shared.hint("shuffle_hash"), "owner", "left").select("owner", "doc", "data", "shared")
+    held = read.join(shared.hint("shuffle_hash"), "owner", "left").select("owner", "doc_id", "data", "shared")
     marks = (
-        held.mapInArrow(_segment_rows(anchoring, bits, buckets, hot, 48_000_000), _SENT)
+        held.mapInArrow(_segment_rows(anchoring, bits, buckets, hot, 24_000_000), _SENT)
         .groupBy("bucket").applyInArrow(_answer_bucket(size), _ANSWER)
         .groupBy("chunk").applyInArrow(_settle_chunk(size), "owner binary, marks binary")
         .groupBy("owner").agg(F.first("marks").alias("marks"))  # equal rows of two chunks have equal marks
