@@ -84,9 +84,16 @@ class Logs:
 
     @cached_property
     def payment_log(self) -> DataFrame:
+        return self._payments(self.events)
+
+    @cached_property
+    def payment_log_late(self) -> DataFrame:
+        return self._payments(self.late_events)
+
+    def _payments(self, events: DataFrame) -> DataFrame:
         money = F.col("value").cast("decimal(32,4)")
         home = (money * F.lit("0.05").cast("decimal(3,2)")).cast("decimal(32,4)")
-        return self.events.where(F.col("event_name") == "purchase").select(
+        return events.where(F.col("event_name") == "purchase").select(
             "role_id", "event_time", "date", "part_date", "event_name",
             F.expr("concat('gold_10000', 1 + k % 6)").alias("payment_itemid"),
             F.expr("case when k % 3 = 0 then 'web' else 'app' end").alias("pay_source"),
@@ -194,6 +201,10 @@ class Logs:
     def derive(self) -> DataFrame:
         return upstream.user_daily_derive(self.daily)
 
+    @cached_property
+    def daily_late(self) -> DataFrame:
+        return upstream.user_daily(self.base_log_late, self.payment_log_late, self.test_accounts)
+
     @cached_property
     def hourly(self) -> DataFrame:
         return upstream.user_hourly(self.base_log, self.payment_log)

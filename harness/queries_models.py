@@ -85,6 +85,12 @@ def _(t: Logs):
     return conform(t.daily, TABLES["dws_user_daily"]).select(*_DAILY_COLUMNS)
 
 
+@query("dws_user_daily_late", f"SELECT {', '.join(_DAILY_COLUMNS)} FROM daily_late")
+def _(t: Logs):
+    """The same model over logs with late events: still one row per user and partition day."""
+    return conform(t.daily_late, TABLES["dws_user_daily"]).select(*_DAILY_COLUMNS)
+
+
 @query("dws_user_info", f"SELECT {', '.join(_INFO_COLUMNS)} FROM all_info")
 def _(t: Logs):
     return conform(t.all_info, TABLES["dws_user_info"])
@@ -95,6 +101,11 @@ def _(t: Logs):
     return conform(t.derive, TABLES["dws_user_daily_derive"])
 
 
+@query("dws_user_daily_derive_late", "SELECT * FROM derive_late")
+def _(t: Logs):
+    return conform(upstream.user_daily_derive(t.daily_late), TABLES["dws_user_daily_derive"])
+
+
 @query("dws_user_hourly", "SELECT * FROM hourly")
 def _(t: Logs):
     return conform(t.hourly, TABLES["dws_user_hourly"])

@@ -52,14 +52,15 @@ SELECT role_id, event_time, date, part_date, event_name, zone_id, channel, os,
        CAST(k + 1 AS BIGINT) AS level, CAST(k // 10 AS BIGINT) AS vip_level, whole AS online_time
 FROM {_from}
 """)
-view("payment_log", """
+for _name, _from in (("payment_log", "ev"), ("payment_log_late", "ev_late")):
+    view(_name, f"""
 SELECT role_id, event_time, date, part_date, event_name, 'gold_10000' || CAST(1 + k % 6 AS VARCHAR) AS payment_itemid,
        CASE WHEN k % 3 = 0 THEN 'web' ELSE 'app' END AS pay_source,
        CAST(value AS DECIMAL(32,4)) AS money,
        CAST(CAST(value AS DECIMAL(32,4)) * 0.05 AS DECIMAL(32,4)) AS money_rmb,
        CASE WHEN k % 3 = 0 THEN CAST(CAST(value AS DECIMAL(32,4)) * 0.05 AS DECIMAL(32,4)) END AS web_rmb,
        CAST(0.05 AS DECIMAL(12,6)) AS exchange_rate, CAST(k + 1 AS BIGINT) AS level
-FROM ev WHERE event_name = 'purchase'
+FROM {_from} WHERE event_name = 'purchase'
 """)
 view("item_log", """
 SELECT role_id, event_time, date, part_date,
@@ -108,19 +109,19 @@ view("closed_accounts", "SELECT CAST(c_custkey AS VARCHAR) AS role_id FROM custo
 def _daily(base: str, payments: str) -> str:
     """User-days: activity and payments aggregated apart and brought together on the user-day."""
     return f"""
-SELECT a.date, a.part_date, a.role_id, a.level_min, a.level_max, a.viplevel_min, a.viplevel_max, a.online_time,
+SELECT greatest(a.date, p.date) AS date, a.part_date, a.role_id, a.level_min, a.level_max, a.viplevel_min, a.viplevel_max, a.online_time,
        p.exchange_rate, coalesce(p.pay_count, 0) AS pay_count,
        CAST(coalesce(p.money, 0) AS DECIMAL(32,4)) AS money,
        CAST(coalesce(p.money_rmb, 0) AS DECIMAL(32,4)) AS money_rmb,
        CAST(coalesce(p.web_rmb, 0) AS DECIMAL(32,4)) AS web_rmb,
        CASE WHEN t.role_id IS NOT NULL THEN 1 END AS is_test, a.login_ts
-FROM (SELECT date, part_date, role_id, min(level) AS level_min, max(level) AS level_max, min(vip_level) AS viplevel_min,
+FROM (SELECT max(date) AS date, part_date, role_id, min(level) AS level_min, max(level) AS level_max, min(vip_level) AS viplevel_min,
              max(vip_level) AS viplevel_max, CAST(sum(online_time) AS BIGINT) AS online_time,
              max(event_time) AS login_ts
-      FROM {base} GROUP BY ALL) AS a
-LEFT JOIN (SELECT part_date, role_id, min(exchange_rate) AS exchange_rate, count(money) AS pay_count,
+      FROM {base} GROUP BY part_date, role_id) AS a
+LEFT JOIN (SELECT max(date) AS date, part_date, role_id, min(exchange_rate) AS exchange_rate, count(money) AS pay_count,
                   sum(money) AS money, sum(money_rmb) AS money_rmb, sum(web_rmb) AS web_rmb
-           FROM {payments} GROUP BY ALL) AS p USING (part_date, role_id)
+           FROM {payments} GROUP BY part_date, role_id) AS p USING (part_date, role_id)
 LEFT JOIN test_accounts AS t USING (role_id)
 """
 
@@ -141,13 +142,15 @@ LEFT JOIN (SELECT role_id, zone_id, channel, os FROM {base}
 
 
 view("daily", _daily("base_log", "payment_log"))
+view("daily_late", _daily("base_log_late", "payment_log_late"))
 view("all_info", _info("daily", "base_log", "payment_log"))
 view("info", "SELECT i.* FROM all_info AS i ANTI JOIN closed_accounts AS c USING (role_id)")
-view("derive", """
+for _name, _from in (("derive", "daily"), ("derive_late", "daily_late")):
+    view(_name, f"""
 SELECT date, part_date, role_id, CAST(m AS DECIMAL(32,4)) AS money_ac, CAST(r AS DECIMAL(32,4)) AS moneyrmb_ac,
        CAST(nth = 1 AS INTEGER) AS is_new, CAST(money_rmb > 0 AND r = money_rmb AS INTEGER) AS is_firstpay,
        CAST(money_rmb > 0 AS INTEGER) AS is_pay, CAST(r > 0 AS INTEGER) AS is_paid
-FROM (SELECT *, sum(money) OVER w AS m, sum(money_rmb) OVER w AS r, row_number() OVER w AS nth FROM daily
+FROM (SELECT *, sum(money) OVER w AS m, sum(money_rmb) OVER w AS r, row_number() OVER w AS nth FROM {_from}
       WINDOW w AS (PARTITION BY role_id ORDER BY part_date ROWS UNBOUNDED PRECEDING))
 """)
 view("hourly", """

@@ -10,7 +10,14 @@ from rolemart.functions.dates import days_between
 
 
 def with_user_attrs(fact: DataFrame, info: DataFrame, attrs: Sequence[str]) -> DataFrame:
-    """Left join user attributes and drop test users; users missing from ``info`` stay."""
+    """Left join user attributes and drop test users; users missing from ``info`` stay.
+
+    Without attributes to add, only the few test users are looked at: an anti join has the same rows, and Spark
+    broadcasts its small side where it knows the size.
+    """
+    if not attrs:
+        listed = info.where(F.col("is_test").isNotNull()).select("role_id")
+        return fact.join(listed, "role_id", "left_anti")
     picked = info.select("role_id", *attrs, F.col("is_test").alias("_info_test"))
     return fact.join(picked, "role_id", "left").where(F.col("_info_test").isNull()).drop("_info_test")
 

@@ -11,6 +11,7 @@ from rolemart.operators.users import lifecycle_days, user_metrics, with_user_att
 from rolemart.session import settle
 
 DIMS = ("zone_id", "channel", "os")
+LAST_DAY = "9999-12-31"
 _LIFECYCLE = ["install_date", "firstpay_date", *DIMS]
 
 
@@ -19,8 +20,17 @@ def _same_dims(left: DataFrame, right: DataFrame, time: str) -> DataFrame:
     return left.join(right, [time, *DIMS], "left")
 
 
-def daily_metrics(daily: DataFrame, derive: DataFrame, info: DataFrame, window: RunWindow) -> DataFrame:
-    """User and money metrics per day, partition day and dimension, over existing combinations only."""
+def daily_metrics(
+    daily: DataFrame, derive: DataFrame, info: DataFrame, window: RunWindow, by_event_day: bool = False
+) -> DataFrame:
+    """User and money metrics per day, partition day and dimension, over existing combinations only.
+
+    ``by_event_day``: the window is one of event days, whenever they arrived, and a day's partitions count together.
+    """
+    if by_event_day:
+        daily = daily.where(F.col("date").between(window.start_date, window.end_date)).where(F.col("part_date") >= window.start_date)
+        derive = derive.where(F.col("part_date") >= window.start_date)
+        window = RunWindow(window.start_date, LAST_DAY)
     days = daily.where(F.col("part_date").between(window.start_date, window.end_date)).select(
         "date", "part_date", "role_id", "online_time", "pay_count", "money_rmb", "web_rmb"
     )
@@ -33,7 +43,7 @@ def daily_metrics(daily: DataFrame, derive: DataFrame, info: DataFrame, window:
     first_pay = pays & (F.col("pay_retention_day") == 0)
     return user_metrics(
         rows,
-        ["date", "part_date", *DIMS],
+        ["date", *DIMS] if by_event_day else ["date", "part_date", *DIMS],
         {
             "new_users": fresh,
             "active_users": None,
@@ -56,14 +66,16 @@ def daily_metrics(daily: DataFrame, derive: DataFrame, info: DataFrame, window:
 
 
 def kpi_daily(
-    daily: DataFrame, derive: DataFrame, info: DataFrame, window: RunWindow, history: DataFrame | None = None
+    daily: DataFrame, derive: DataFrame, info: DataFrame, window: RunWindow, history: DataFrame | None = None,
+    by_event_day: bool = False,
 ) -> DataFrame:
     """Daily KPIs on a gapless grid with the running number of new users.
 
     The running number starts at the window. With ``history`` (the stored report of earlier
-    days) it continues from there instead.
+    days) it continues from there instead. By default the window is one of partitions, and user-days
+    of other dates in them are not reported; ``by_event_day`` reports all events of the window's days.
     """
-    metrics = daily_metrics(daily, derive, info, window)
+    metrics = daily_metrics(daily, derive, info, window, by_event_day)
     values = [c for c in metrics.columns if c not in ("date", "part_date", *DIMS)]
     grid = fill_days(metrics, DIMS, values, window.start_date, window.end_date)
     grid = grid.withColumn("newuser_ac", running_total("new_users", DIMS, "date"))
@@ -81,6 +93,9 @@ def intraday_metrics(hourly: DataFrame, derive: DataFrame, info: DataFrame, wind
     """Hourly activity folded to user-days, then to users and money per day and dimension."""
     recent = hourly.where(F.col("part_date").between(window.start_date, window.end_date))
     days = recent.groupBy("role_id", "date", "part_date").agg(F.sum("money_rmb").alias("money_rmb"))
+    if "part_date" in derive.columns:  # a row of an event day lies in the partition of that day or a later one
+        first = F.coalesce(F.min("date").cast("string"), F.lit(window.start_date))
+        derive = derive.where(F.col("part_date") >= recent.agg(F.least(first, F.lit(window.start_date))).scalar())
     status = derive.select("role_id", "date", "is_paid")
     rows = with_user_attrs(days.join(status, ["role_id", "date"], "left"), info, _LIFECYCLE)
     rows = rows.withColumns(lifecycle_days())
@@ -118,8 +133,11 @@ def kpi_daily_intraday(hourly: DataFrame, derive: DataFrame, info: DataFrame, wi
 
 
 def monthly_metrics(daily: DataFrame, info: DataFrame, window: RunWindow) -> DataFrame:
-    """User-months folded to users and money per month and dimension."""
-    days = daily.where(F.col("part_date").between(window.start_date, window.end_date))
+    """User-months folded to users and money per month and dimension, by the event date.
+
+    An event lies in the partition of its day or a later one, so earlier partitions need not be read.
+    """
+    days = daily.where(F.col("part_date") >= window.start_date).where(F.col("date").between(window.start_date, window.end_date))
     months = days.groupBy("role_id", month_of(F.col("date")).alias("month")).agg(
         F.sum("pay_count").alias("pay_count"), F.sum("money").alias("money"), F.sum("money_rmb").alias("money_rmb")
     )

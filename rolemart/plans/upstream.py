@@ -10,18 +10,22 @@ from rolemart.functions.money import LEDGER
 from rolemart.operators.grids import running_total
 from rolemart.operators.users import mark_test_users, user_metrics, with_user_attrs
 
-_DAY_KEYS = ("role_id", "part_date", "date")
+_PARTITION_KEYS = ("role_id", "part_date")
+_DAY_KEYS = (*_PARTITION_KEYS, "date")
 _ACCOUNT = ("zone_id", "channel", "os")
 _PAY_FIRST = "struct<pay_ts:timestamp_ntz,good_id:string,level:bigint>"
 
 
 def user_daily(base_log: DataFrame, payment_log: DataFrame, test_accounts: DataFrame) -> DataFrame:
-    """One row per user-day: levels, time online, payments, and the day's last account attributes.
+    """One row per user and partition day: levels, time online, payments, and the day's last account attributes.
+
+    Events of other days that arrived in the partition belong to its row, which carries the latest event date.
 
     Each log is reduced to user-days before the two meet, so the meeting is one grouping of
     small rows and needs no join. A payment without any other activity still counts.
     """
-    activity = base_log.groupBy(*_DAY_KEYS, *_ACCOUNT).agg(
+    activity = base_log.groupBy(*_PARTITION_KEYS, *_ACCOUNT).agg(
+        F.max("date").alias("date"),
         F.min("level").alias("level_min"),
         F.max("level").alias("level_max"),
         F.min("vip_level").alias("viplevel_min"),
@@ -29,7 +33,8 @@ def user_daily(base_log: DataFrame, payment_log: DataFrame, test_accounts: DataF
         F.sum("online_time").alias("online_time"),
         F.max("event_time").alias("login_ts"),
     )
-    payments = payment_log.groupBy(*_DAY_KEYS).agg(
+    payments = payment_log.groupBy(*_PARTITION_KEYS).agg(
+        F.max("date").alias("date"),
         F.min("exchange_rate").alias("exchange_rate"),
         F.count("money").alias("pay_count"),
         F.sum("money").alias("money"),
@@ -45,8 +50,9 @@ def user_daily(base_log: DataFrame, payment_log: DataFrame, test_accounts: DataF
     zero = F.lit(0).cast(LEDGER)
     merged = (
         activity.unionByName(payments, allowMissingColumns=True)
-        .groupBy(*_DAY_KEYS)
+        .groupBy(*_PARTITION_KEYS)
         .agg(
+            F.max("date").alias("date"),
             *[F.min(c).alias(c) for c in ("level_min", "viplevel_min", "exchange_rate")],
             *[F.max(c).alias(c) for c in ("level_max", "viplevel_max", "login_ts")],
             F.sum("online_time").alias("online_time"),
@@ -91,7 +97,7 @@ def user_daily_derive(daily: DataFrame, earlier: DataFrame | None = None) -> Dat
     ``earlier`` (role_id, money_ac, moneyrmb_ac) carries the totals reached before the days
     given, so a daily run need not read the whole history.
     """
-    order = Window.partitionBy("role_id").orderBy("part_date", "date")
+    order = Window.partitionBy("role_id").orderBy("part_date")
     if earlier is None:
         known, money_before, rmb_before = F.lit(False), F.lit(0), F.lit(0)
     else:
@@ -156,6 +162,13 @@ def core_snapshot(core_log: DataFrame, game: Game) -> DataFrame:
     )
 
 
+def event_span(daily: DataFrame, window: RunWindow) -> RunWindow:
+    """The window, begun at the earliest event date in its partitions if that lies before it."""
+    rows = daily.where(F.col("part_date").between(window.start_date, window.end_date))
+    earliest = rows.agg(F.min("date").cast("string").alias("first")).first()["first"]
+    return RunWindow(min(earliest or window.start_date, window.start_date), window.end_date)
+
+
 def active_daily(daily: DataFrame) -> DataFrame:
     return user_metrics(daily, ["part_date"], {"dau": None})
 

@@ -18,12 +18,15 @@ class Warehouse:
     """``<root>/<game>_r`` holds the raw logs, ``<root>/<game>_w`` the tables built from them."""
 
     def __init__(
-        self, spark: SparkSession, root: str, game: Game, *, carry_history: bool = False, latest_items_only: bool = False
+        self, spark: SparkSession, root: str, game: Game, *, carry_history: bool = False, latest_items_only: bool = False,
+        late_days: bool = False,
     ) -> None:
         """``carry_history`` continues the running number of new users across runs of the daily KPIs;
-        ``latest_items_only`` stores one item balance per user instead of one per snapshot day."""
+        ``latest_items_only`` stores one item balance per user instead of one per snapshot day;
+        ``late_days`` recomputes the daily KPIs of earlier days whose events arrive in the window, which are left
+        out otherwise."""
         self.spark, self.game = spark, game
-        self.carry_history, self.latest_items_only = carry_history, latest_items_only
+        self.carry_history, self.latest_items_only, self.late_days = carry_history, latest_items_only, late_days
         self._raw, self._mart = f"{root}/{game.raw_schema}", f"{root}/{game.mart_schema}"
 
     def path(self, model: str) -> str:
@@ -36,8 +39,9 @@ class Warehouse:
             files = files.withColumn("part_date", F.col("part_date").cast("string"))
         return files
 
-    def table(self, model: str) -> DataFrame:
-        return read_table(self.spark, TABLES[model], self.path(model))
+    def table(self, model: str, *, may_be_absent: bool = False) -> DataFrame:
+        """A built table. Only a model's own history may be absent, on its first run; an absent upstream table is an error."""
+        return read_table(self.spark, TABLES[model], self.path(model), may_be_absent=may_be_absent)
 
     def compute(self, model: str, window: RunWindow) -> DataFrame:
         """The model's rows for the window, in the declared columns, not yet written."""
@@ -45,11 +49,18 @@ class Warehouse:
 
     def refresh(self, model: str, window: RunWindow) -> DataFrame:
         """Compute the model, write it and return the stored table."""
-        table = TABLES[model]
-        written = window.whole_months() if table.partition == "part_month" else window
-        write_table(self.compute(model, window), table, self.path(model), written)
+        write_table(self.compute(model, window), TABLES[model], self.path(model), self.written(model, window))
         return self.table(model)
 
+    def written(self, model: str, window: RunWindow) -> RunWindow:
+        """The partitions a run replaces. A monthly report covers whole months from the earliest event month on that the
+        window's rows touch, so an event that arrives late reaches the month it belongs to."""
+        if TABLES[model].partition == "part_month":
+            return upstream.event_span(self.table("dws_user_daily"), window.whole_months()).whole_months()
+        if model == "ads_kpi_daily" and self.late_days:
+            return upstream.event_span(self.table("dws_user_daily"), window)
+        return window
+
 
 def _snapshot(build, *logs: str) -> Callable[[Warehouse, RunWindow], DataFrame]:
     return lambda wh, w: build(*[in_window(wh.log(name), w) for name in ("base_log", *logs)])
@@ -62,7 +73,7 @@ def _user_daily(wh: Warehouse, w: RunWindow) -> DataFrame:
 
 
 def _derive(wh: Warehouse, w: RunWindow) -> DataFrame:
-    earlier = wh.table("dws_user_daily_derive").where(F.col("part_date") < w.start_date)
+    earlier = wh.table("dws_user_daily_derive", may_be_absent=True).where(F.col("part_date") < w.start_date)
     return upstream.user_daily_derive(in_window(wh.table("dws_user_daily"), w), earlier)
 
 
@@ -74,9 +85,10 @@ def _token_monthly(wh: Warehouse, w: RunWindow) -> DataFrame:
 
 
 def _kpi_daily(wh: Warehouse, w: RunWindow) -> DataFrame:
-    history = wh.table("ads_kpi_daily") if wh.carry_history else None
+    history = wh.table("ads_kpi_daily", may_be_absent=True) if wh.carry_history else None
     return kpi.kpi_daily(
-        wh.table("dws_user_daily"), wh.table("dws_user_daily_derive"), wh.table("dws_user_info"), w, history
+        wh.table("dws_user_daily"), wh.table("dws_user_daily_derive"), wh.table("dws_user_info"),
+        wh.written("ads_kpi_daily", w), history, by_event_day=wh.late_days,
     )
 
 
@@ -102,7 +114,9 @@ MODELS: dict[str, Callable[[Warehouse, RunWindow], DataFrame]] = {
     "ads_kpi_daily_hf": lambda wh, w: kpi.kpi_daily_intraday(
         wh.table("dws_user_hourly"), wh.table("dws_user_daily_derive"), wh.table("dws_user_info"), _recent(w)
     ),
-    "ads_kpi_monthly": lambda wh, w: kpi.kpi_monthly(wh.table("dws_user_daily"), wh.table("dws_user_info"), w),
+    "ads_kpi_monthly": lambda wh, w: kpi.kpi_monthly(
+        wh.table("dws_user_daily"), wh.table("dws_user_info"), wh.written("ads_kpi_monthly", w)
+    ),
     "ads_level_daily": lambda wh, w: distribution.level_daily(wh.table("dws_user_daily"), wh.table("dws_user_info"), w),
     "ads_viplevel_daily": lambda wh, w: distribution.viplevel_daily(
         wh.table("dws_user_daily"), wh.table("dws_user_info"), w

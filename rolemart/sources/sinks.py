@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from rolemart.config import RunWindow
@@ -16,20 +17,34 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def _partition_files(spark: SparkSession, path: str, column: str) -> dict[str, set[str]]:
-    """File names per partition value of a table folder (a metadata listing, no data is read)."""
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        return {}
+def _stored_days(spark: SparkSession, path: str, column: str, window: RunWindow) -> dict[str, set[str]]:
+    """Data file names per partition of the window that is there. Only those folders are listed, by their names."""
+    first = date.fromisoformat(window.start_date)
     found = {}
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(f"{column}="):
-            files = {f.getPath().getName() for f in fs.listStatus(status.getPath())}
-            found[name.split("=", 1)[1]] = {f for f in files if not f.startswith(("_", "."))}
+    for n in range((date.fromisoformat(window.end_date) - first).days + 1):
+        value = (first + timedelta(days=n)).isoformat()
+        files = _list_files(spark, f"{path}/{column}={value}")
+        if files is not None:
+            found[value] = files
     return found
 
 
+def _list_files(spark: SparkSession, folder: str) -> set[str] | None:
+    """Data files of a folder, None if it is not there."""
+    fs, target = _fs(spark, folder)
+    if not fs.exists(target):
+        return None
+    names = {f.getPath().getName() for f in fs.listStatus(target)}
+    return {n for n in names if not n.startswith(("_", "."))}
+
+
+def _rename(fs, source, target) -> bool:
+    """File systems report a refused rename as False or by an error; both count, and a target that is there refuses."""
+    if fs.exists(target):
+        return False
+    return bool(fs.rename(source, target)) and fs.exists(target)
+
+
 def _balanced(df: DataFrame, table: Table) -> DataFrame:
     """Group rows by partition for writing; AQE splits a big day and merges small ones."""
     return df.hint("rebalance", table.partition) if table.partition else df
@@ -38,46 +53,60 @@ def _balanced(df: DataFrame, table: Table) -> DataFrame:
 def overwrite_range(df: DataFrame, table: Table, path: str, window: RunWindow) -> None:
     """Replace all partitions inside the window by the new rows, and nothing outside it.
 
-    Partitions with new rows are replaced when the job commits. A partition of the range
-    that got no new rows still holds only its old files afterwards, and is then removed;
-    dynamic overwrite alone would leave it. A row whose partition lies outside the window (a
-    late event of the month before, say) belongs to the run over that partition, which sees
-    all of it; written here it would replace the partition by a fraction.
+    A row whose partition lies outside the window fails the job before anything is replaced: it would replace that
+    partition by a fraction, and dropping it would lose it. Partitions with new rows are replaced when the job commits. A
+    partition of the range that got no new rows still holds only its old files afterwards, and is then removed; dynamic
+    overwrite alone would leave it.
     """
-    spark = df.sparkSession
-    low, high = window.start_date, window.end_date
-    before = _partition_files(spark, path, table.partition)
+    spark, column = df.sparkSession, table.partition
+    before = _stored_days(spark, path, column, window)
     rows = conform(df, table)
-    rows = rows.where(rows[table.partition].between(low, high))
+    inside = rows[column].between(window.start_date, window.end_date)
+    outside = F.raise_error(F.concat(
+        F.lit(f"{table.name}: a row of partition "), F.coalesce(rows[column].cast("string"), F.lit("NULL")),
+        F.lit(f" is outside {window.start_date} to {window.end_date}")))
+    rows = rows.withColumn(column, F.when(inside, rows[column]).otherwise(outside.cast("string")))
     (
         _balanced(rows, table).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(table.partition).parquet(path)
+        .partitionBy(column).parquet(path)
     )
-    after = _partition_files(spark, path, table.partition)
-    for value, files in after.items():
-        if low <= value <= high and files <= before.get(value, set()):
-            fs, stale = _fs(spark, f"{path}/{table.partition}={value}")
+    for value, files in _stored_days(spark, path, column, window).items():
+        if files <= before.get(value, set()):
+            fs, stale = _fs(spark, f"{path}/{column}={value}")
             fs.delete(stale, True)
 
 
 def full_refresh(df: DataFrame, table: Table, path: str) -> None:
-    """Replace the whole table; the old rows stay readable until the new ones are complete."""
+    """Replace the whole table; the old rows stay readable until the new ones are complete.
+
+    If a rename is refused the old table is put back, the new rows are removed, and the refresh fails. The old rows are
+    deleted only once the new ones are in place.
+    """
     spark = df.sparkSession
     tag = uuid.uuid4().hex
-    incoming, outgoing = f"{path}.incoming-{tag}", f"{path}.outgoing-{tag}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    incoming, outgoing = jpath(f"{path}.incoming-{tag}"), jpath(f"{path}.outgoing-{tag}")
     writer = _balanced(conform(df, table), table).write.mode("errorifexists")
     if table.partition:
         writer = writer.partitionBy(table.partition)
-    writer.parquet(incoming)
     fs, target = _fs(spark, path)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    try:
+        writer.parquet(incoming.toString())
+    except Exception:
+        fs.delete(incoming, True)
+        raise
     had_rows = fs.exists(target)
+    if had_rows and not _rename(fs, target, outgoing):
+        fs.delete(incoming, True)
+        raise OSError(f"{path} could not be set aside; it still holds the old rows")
+    if not _rename(fs, incoming, target):
+        if had_rows and not _rename(fs, outgoing, target):
+            raise OSError(f"the new rows of {path} could not be put in place; the old ones are in {outgoing.toString()}")
+        fs.delete(incoming, True)
+        raise OSError(f"the new rows of {path} could not be put in place; it holds the old rows")
     if had_rows:
-        fs.rename(target, jpath(outgoing))
-    fs.rename(jpath(incoming), target)
-    if had_rows:
-        fs.delete(jpath(outgoing), True)
+        fs.delete(outgoing, True)
 
 
 def write_table(df: DataFrame, table: Table, path: str, window: RunWindow) -> None:
@@ -87,11 +116,11 @@ def write_table(df: DataFrame, table: Table, path: str, window: RunWindow) -> No
         full_refresh(df, table, path)
 
 
-def read_table(spark: SparkSession, table: Table, path: str) -> DataFrame:
-    """Stored rows in the declared types; an absent table reads as empty."""
+def read_table(spark: SparkSession, table: Table, path: str, *, may_be_absent: bool = False) -> DataFrame:
+    """Stored rows in the declared types. An absent table is an error, or empty where a first run may find none."""
     try:
         return spark.read.schema(table.schema).parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        if not may_be_absent or missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], table.schema)

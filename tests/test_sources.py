@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rolemart.config import Game, RunWindow
 from rolemart.session import new_scratch, shared_dir
-from rolemart.sources import logs, lookups
+from rolemart.sources import logs, lookups, sinks
 from rolemart.sources.sinks import full_refresh, overwrite_range, read_table
 from rolemart.sources.tables import TABLES, Table, conform
 from tests.conftest import rows_of
@@ -21,7 +23,7 @@ def test_rerun_with_fewer_days_removes_the_missing_ones(frame, tmp_path):
     path, ddl = str(tmp_path / "t"), "part_date string, dau bigint"
     first = frame(ddl, *[(f"2024-01-0{d}", d) for d in range(1, 8)])
     overwrite_range(first, DAU, path, RunWindow("2024-01-01", "2024-01-07"))
-    rerun = frame(ddl, ("2024-01-03", 30), ("2024-01-05", 50), ("2024-01-07", 70))
+    rerun = frame(ddl, ("2024-01-03", 30), ("2024-01-05", 50))
     overwrite_range(rerun, DAU, path, RunWindow("2024-01-03", "2024-01-06"))
     kept = [(1, "2024-01-01"), (2, "2024-01-02"), (30, "2024-01-03"), (50, "2024-01-05"), (7, "2024-01-07")]
     assert sorted(rows_of(read_table(first.sparkSession, DAU, path), "dau", "part_date"), key=lambda r: r[1]) == kept
@@ -61,8 +63,59 @@ def test_conform_orders_and_casts_by_name(frame):
     assert got.columns == ["money", "d", "part_date"] and got.first().d == date(2024, 1, 1)
 
 
-def test_absent_table_reads_as_empty(spark):
-    assert read_table(spark, DAU, "/nowhere/at/all").collect() == []
+def test_absent_table_is_an_error_unless_a_first_run_may_find_none(spark):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_table(spark, DAU, "/nowhere/at/all").collect()
+    assert read_table(spark, DAU, "/nowhere/at/all", may_be_absent=True).collect() == []
+
+
+@pytest.mark.parametrize("stray", ["2024-01-09", "2023-12-31", None])
+def test_rows_outside_the_window_fail_the_write_and_replace_nothing(frame, tmp_path, stray):
+    path, ddl = str(tmp_path / "t"), "part_date string, dau bigint"
+    stored = frame(ddl, ("2024-01-01", 1), ("2024-01-09", 9))
+    overwrite_range(stored, DAU, path, RunWindow("2024-01-01", "2024-01-09"))
+    with pytest.raises(Exception, match="is outside 2024-01-01 to 2024-01-02"):
+        overwrite_range(frame(ddl, ("2024-01-01", 5), (stray, 6)), DAU, path, RunWindow("2024-01-01", "2024-01-02"))
+    assert rows_of(read_table(stored.sparkSession, DAU, path), "dau") == [(1,), (9,)]
+
+
+def test_a_write_lists_only_the_days_of_its_window(frame, tmp_path, monkeypatch):
+    path, ddl = str(tmp_path / "t"), "part_date string, dau bigint"
+    days = [f"2024-{m:02d}-{d:02d}" for m in range(1, 7) for d in range(1, 29)]
+    overwrite_range(frame(ddl, *[(d, 1) for d in days]), DAU, path, RunWindow("2024-01-01", "2024-06-30"))
+    listed, plain = [], sinks._list_files
+    monkeypatch.setattr(sinks, "_list_files", lambda spark, folder: listed.append(folder) or plain(spark, folder))
+    overwrite_range(frame(ddl, ("2024-03-02", 2)), DAU, path, RunWindow("2024-03-01", "2024-03-03"))
+    assert {f.rsplit("=", 1)[1] for f in listed} == {"2024-03-01", "2024-03-02", "2024-03-03"}
+    kept = rows_of(read_table(frame(ddl).sparkSession, DAU, path), "part_date", "dau")
+    assert len(kept) == len(days) - 2 and ("2024-03-02", 2) in kept
+
+
+@pytest.mark.parametrize("refused", [1, 2])
+def test_full_refresh_with_a_refused_rename_keeps_the_old_rows(frame, spark, tmp_path, monkeypatch, refused):
+    table, path = Table("t", "df", "k bigint, v bigint"), str(tmp_path / "t")
+    full_refresh(frame("v bigint, k bigint", (1, 2)), table, path)
+    calls, plain = [], sinks._rename
+
+    def rename(fs, source, target):
+        calls.append(source)
+        return False if len(calls) == refused else plain(fs, source, target)
+
+    monkeypatch.setattr(sinks, "_rename", rename)
+    with pytest.raises(OSError, match="old rows"):
+        full_refresh(frame("v bigint, k bigint", (5, 6)), table, path)
+    assert rows_of(read_table(spark, table, path)) == [(2, 1)]
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_full_refresh_names_the_place_of_the_old_rows_if_they_cannot_go_back(frame, spark, tmp_path, monkeypatch):
+    table, path = Table("t", "df", "k bigint, v bigint"), str(tmp_path / "t")
+    full_refresh(frame("v bigint, k bigint", (1, 2)), table, path)
+    calls, plain = [], sinks._rename
+    monkeypatch.setattr(sinks, "_rename", lambda fs, a, b: calls.append(a) or (len(calls) == 1 and plain(fs, a, b)))
+    with pytest.raises(OSError, match="outgoing") as failure:
+        full_refresh(frame("v bigint, k bigint", (5, 6)), table, path)
+    assert rows_of(read_table(spark, table, str(failure.value).rsplit(" ", 1)[1])) == [(2, 1)]
 
 
 def test_table_names_carry_the_refresh_rhythm():

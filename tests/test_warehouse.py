@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from harness.logs import DAYS, GAME, Logs
@@ -12,6 +15,7 @@ from harness.registry import spark_queries
 from rolemart.config import Game, RunWindow
 from rolemart.plans.reconcile import CHECKS, run_check
 from rolemart.plans.warehouse import MODELS, Warehouse
+from rolemart.sources.sinks import write_table
 from rolemart.sources.tables import TABLES
 from tests.conftest import rows_of
 
@@ -124,4 +128,64 @@ def test_checks_report_injected_faults(spark, stored):
 def test_games_share_models_but_not_folders(spark, stored):
     other = Warehouse(spark, "/somewhere", Game("other"))
     assert other.path("ads_hero") == "/somewhere/other_w/ads_hero_df"
-    assert other.table("ads_hero").collect() == []
+    assert other.table("ads_hero", may_be_absent=True).collect() == []
+
+
+def test_refresh_without_its_upstream_deletes_nothing(spark, frame, tmp_path):
+    wh = Warehouse(spark, str(tmp_path), Game("g"))
+    stored = frame("part_date string, dau bigint", ("2024-01-01", 1), ("2024-01-02", 2))
+    write_table(stored, TABLES["ads_active_daily"], wh.path("ads_active_daily"), RunWindow("2024-01-01", "2024-01-02"))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        wh.refresh("ads_active_daily", RunWindow("2024-01-01", "2024-01-02"))
+    assert wh.table("ads_active_daily").count() == 2
+
+
+LATE_BASE = "role_id string, event_time timestamp_ntz, date date, part_date string, zone_id string, channel string, os string, level bigint, vip_level bigint, online_time bigint"
+LATE_PAY = "role_id string, event_time timestamp_ntz, date date, part_date string, payment_itemid string, money decimal(32,4), money_rmb decimal(32,4), web_rmb decimal(32,4), exchange_rate decimal(12,6), level bigint"
+
+
+@pytest.fixture
+def late_wh(spark, frame, tmp_path):
+    """Two users; u pays on 31 January, which arrives on 1 February, and v pays on time in both months."""
+
+    def base(role, day, part):
+        return (role, datetime.fromisoformat(f"{day} 10:00:00"), date.fromisoformat(day), part, "1", "c", "ios", 1, 0, 5)
+
+    def pay(role, day, part, money):
+        return (role, datetime.fromisoformat(f"{day} 11:00:00"), date.fromisoformat(day), part, "x", Decimal(money), Decimal(money), None, Decimal("1"), 1)
+
+    wh = Warehouse(spark, str(tmp_path), Game("g"), late_days=True)
+    raw = f"{tmp_path}/{wh.game.raw_schema}"
+    seen = [("u", "2024-01-31", "2024-02-01"), ("v", "2024-01-31", "2024-01-31"), ("v", "2024-02-01", "2024-02-01")]
+    paid = [("u", "2024-01-31", "2024-02-01", 50), ("v", "2024-01-31", "2024-01-31", 1), ("v", "2024-02-01", "2024-02-01", 2)]
+    frame(LATE_BASE, *[base(*x) for x in seen]).write.partitionBy("part_date").parquet(f"{raw}/base_log")
+    frame(LATE_PAY, *[pay(*x) for x in paid]).write.partitionBy("part_date").parquet(f"{raw}/payment_log")
+    frame("role_id string").write.parquet(f"{raw}/test_accounts")
+    for window in (RunWindow("2024-01-01", "2024-01-31"), RunWindow("2024-02-01", "2024-02-29")):
+        for model in ("dws_user_daily", "dws_user_info", "dws_user_daily_derive", "ads_kpi_monthly", "ads_kpi_daily"):
+            wh.refresh(model, window)
+    return wh
+
+
+def test_monthly_reports_hold_late_money_in_its_month(late_wh):
+    report = late_wh.table("ads_kpi_monthly").where("money_rmb is not null")
+    assert rows_of(report.selectExpr("cast(month as string) m", "cast(money_rmb as double) r", "active_users u")) == [("2024-01-01", 51.0, 2), ("2024-02-01", 2.0, 1)]
+
+
+def test_daily_reports_hold_late_days_where_asked_for(late_wh):
+    report = late_wh.table("ads_kpi_daily").where("money_rmb is not null")
+    got = rows_of(report.selectExpr("cast(date as string) d", "part_date p", "cast(money_rmb as double) r"))
+    assert got == [("2024-01-31", "2024-01-31", 51.0), ("2024-02-01", "2024-02-01", 2.0)]
+    plain = Warehouse(late_wh.spark, os.path.dirname(late_wh._mart), Game("g"))
+    plain.refresh("ads_kpi_daily", RunWindow("2024-02-01", "2024-02-29"))
+    february = plain.table("ads_kpi_daily").where("money_rmb is not null and part_date >= '2024-02-01'")
+    assert rows_of(february.selectExpr("cast(date as string) d", "cast(money_rmb as double) r")) == [("2024-02-01", 2.0)]
+
+
+def test_one_row_per_user_and_partition_day(spark):
+    t = Logs(spark, SF_DIR)
+    from rolemart.plans import upstream
+
+    daily = upstream.user_daily(t.base_log_late, t.payment_log_late, t.test_accounts)
+    assert daily.groupBy("role_id", "part_date").count().where("count > 1").isEmpty()
+    assert t.base_log_late.where("date < part_date").count() > 0
