@@ -338,7 +338,9 @@ def remove_repeats(docs: DataFrame, size: int = 50, with_text: bool = False, oft
     anchoring = Anchoring(size, max(16, min(20, size - 8)))
     data = bytes_of(docs)
     doc_id = docs["doc_id"].cast("long")
-    owner = F.coalesce(F.unhex(F.md5(F.concat(data, F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")))), F.lit(b""))
+    # both parts have a fixed width, a NULL id none, so different rows never give the same string
+    id_bytes = F.coalesce(F.unhex(F.lpad(F.hex(doc_id), 16, "0")), F.lit(b""))
+    owner = F.coalesce(F.unhex(F.md5(F.concat(F.unhex(F.md5(data)), id_bytes))), F.lit(b""))
     read = docs.select(owner.alias("owner"), doc_id.alias("doc_id"), data.alias("data"))
     n_bytes = expected_units(docs, 1)
     bits = bucket_bits(int(n_bytes * 0.065))

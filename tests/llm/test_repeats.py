@@ -42,6 +42,17 @@ def test_made_up_texts(spark, frame, often):
     assert _rows(repeats.remove_repeats(docs, often=often)) == sorted(brute.repeats([r[:2] for r in rows]), key=str)
 
 
+def test_texts_that_differ_by_their_ids_digits(frame):
+    """Rows whose text and decimal id give the same string are still different documents."""
+    rng = random.Random(11)
+    a, b, c = ("".join(rng.choice("abcdefgh ") for _ in range(90)) for _ in range(3))
+    rows = [(2, a + "1"), (12, a), (None, b + "5"), (5, b), (3, c + "-"), (-3, c)]
+    docs = frame(DOCS, *[(*r, None, None, None) for r in rows]).coalesce(1)
+    got = _rows(repeats.remove_repeats(docs))
+    assert got == sorted(brute.repeats(rows), key=str)
+    assert {r[0]: r[2] for r in got} == {2: 0, 12: 90, None: 90, 5: 0, 3: 90, -3: 0}
+
+
 def test_kept_bytes_and_other_sizes(frame):
     rows = doc_rows("0123456789 abcdefghij KLMNOPQRST", "xx 0123456789 abcdefghij KL yy", "nothing like it")
     out = {r["doc_id"]: bytes(r["kept"]) for r in repeats.remove_repeats(frame(DOCS, *rows), size=24, with_text=True).collect()}
