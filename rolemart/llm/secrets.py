@@ -1,7 +1,7 @@
 """Secret scan with structural confirmation.
 
 Patterns find candidates; what the patterns alone cannot tell is decided by decoding. A run of base64 or hex is reported
-as key material only if its bytes parse: DER whose nested lengths tile their parents exactly and whose fields are those
+as key material only if its bytes parse, also if it is wrapped over lines, with line breaks escaped, or in the URL alphabet: DER whose nested lengths tile their parents exactly and whose fields are those
 of a private key, or the length-prefixed fields of an OpenSSH private key. A dotted token is reported only if its first
 part decodes to a JSON header that names an algorithm and its second part to a JSON object. Documents are scanned
 independently of each other, so nothing is shuffled and no group can be hot.
@@ -30,11 +30,23 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})PRIVATE KEY-----([A-Za-z0-9+/=\s]*)-----END \1PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})PRIVATE KEY-----((?:[^-]|-(?!----))*+)-----END \1PRIVATE KEY-----")
+_ESCAPED_BREAK = re.compile(r"\\+[nrt]")
+_PEM_HEADER = re.compile(r"^[ \t]*([A-Za-z][A-Za-z0-9-]*):[ \t]*(.*)$", re.MULTILINE)
+_DEK = re.compile(r"([A-Z0-9-]+),([0-9A-Fa-f]{16,})")
 _BASE64_RUN = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
 _HEX_RUN = re.compile(r"[0-9A-Fa-f]{80,}")
 _DOTTED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{3,})\.([A-Za-z0-9_-]*)")
 
+# keys in several lines, which real or escaped breaks part; a first line starts as a sequence or the OpenSSH magic does
+_AFTER_BREAK = r"(?:(?<![A-Za-z0-9+/_=-])|(?<=\\[nrt]))"
+_BREAK = r"(?:[ \t]*(?:\r?\n|\r|(?:\\+r)?\\+n)[ \t]*)"
+_BASE64_START = re.compile(_AFTER_BREAK + r"(?:M[A-P]|b3BlbnNzaC1r)(?=[A-Za-z0-9+/_-]{14})")
+_BASE64_LINE = re.compile(rf"([A-Za-z0-9+/_-]+)(={{0,2}})({_BREAK}?)")
+_HEX_START = re.compile(_AFTER_BREAK + r"(?:30|6[Ff])(?=[0-9A-Fa-f]{14})")
+_HEX_LINE = re.compile(rf"([0-9A-Fa-f]+)()({_BREAK}?)")
+_URL_TO_PLAIN = str.maketrans("-_", "+/")
+
 _SEQUENCE, _INTEGER, _OCTETS, _OID = 0x30, 0x02, 0x04, 0x06
 _MAX_DEPTH = 12
 
@@ -93,11 +105,14 @@ def is_der_key(data: bytes) -> bool:
     return False
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """The OpenSSH private key container: magic, cipher, KDF, options, number of keys, public part, private part."""
+def ssh_key_end(data: bytes) -> int | None:
+    """Where the OpenSSH private key container ends that ``data`` starts with.
+
+    It has: magic, cipher, KDF, options, number of keys, public part, private part.
+    """
     magic = b"openssh-key-v1\x00"
     if not data.startswith(magic):
-        return False
+        return None
 
     def field(at: int) -> int | None:
         if at is None or at + 4 > len(data):
@@ -107,14 +122,18 @@ def is_ssh_key(data: bytes) -> bool:
 
     at = field(field(field(len(magic))))
     if at is None or at + 4 > len(data):
-        return False
+        return None
     keys = int.from_bytes(data[at : at + 4], "big")
     at += 4
     for _ in range(min(keys, 64)):
         at = field(at)
         if at is None:
-            return False
-    return 1 <= keys <= 64 and field(at) == len(data)
+            return None
+    return field(at) if 1 <= keys <= 64 else None
+
+
+def is_ssh_key(data: bytes) -> bool:
+    return ssh_key_end(data) == len(data)
 
 
 def from_base64(text: str, url: bool = False) -> bytes | None:
@@ -150,6 +169,70 @@ def key_kind(data: bytes | None) -> str | None:
     return "ssh_key" if is_ssh_key(data) else "der_key" if is_der_key(data) else None
 
 
+def _is_pem_key(body: str) -> bool:
+    """The body, without escapes and headers, is a key; or its headers name a cipher and start value, and it is cipher text."""
+    body = _ESCAPED_BREAK.sub("\n", body)
+    headers = {m[1].lower(): m[2].strip() for m in _PEM_HEADER.finditer(body)}
+    data = from_base64("".join(_PEM_HEADER.sub("", body).split()))
+    if "ENCRYPTED" in headers.get("proc-type", "") and (dek := _DEK.fullmatch(headers.get("dek-info", ""))):
+        return bool(data) and len(data) >= 16 and (not dek[1].endswith("CBC") or len(data) % 8 == 0)
+    return key_kind(data) is not None
+
+
+def _der_size(data: bytes) -> int | None:
+    """The size of the sequence that ``data`` starts with, by its length field."""
+    if data[1] < 0x80:
+        return 2 + data[1]
+    width = data[1] & 0x7F
+    return 2 + width + int.from_bytes(data[2 : 2 + width], "big") if 1 <= width <= 4 else None
+
+
+def _line_keys(text: str, start: re.Pattern, line: re.Pattern, decode, chars_of) -> Iterator[tuple[str, int, int]]:
+    """Keys that start with a line and end with a line, their lines joined. The key's own lengths say where it ends."""
+    at = 0
+    while m := start.search(text, at):
+        at = m.end()
+        head = decode(text[m.start() : m.start() + 16])
+        size = _der_size(head) if head and head[0] == _SEQUENCE else None
+        if head and head[0] == _SEQUENCE and size is None:
+            continue
+        lines, ends, total, place = [], {}, 0, m.start()
+        while (size is None or total < chars_of(size)) and (part := line.match(text, place)):
+            lines.append(part[1])
+            total += len(part[1])
+            ends[total] = part.end(2)
+            place = part.end()
+            if part[2] or not part[3]:
+                break
+        joined = "".join(lines)
+        if size is None:
+            # the container's end is found in what decodes
+            size = ssh_key_end(decode(joined) or decode(joined[:-1]) or b"")
+        if size is None or (need := chars_of(size)) not in ends:
+            continue
+        if (kind := key_kind(decode(joined[:need]))) and need >= chars_of(30):
+            yield kind, m.start(), ends[need]
+            at = ends[need]
+
+
+def _plain_base64(text: str) -> bytes | None:
+    return from_base64(text.translate(_URL_TO_PLAIN))
+
+
+def _plain_hex(text: str) -> bytes | None:
+    return bytes.fromhex(text) if len(text) % 2 == 0 else None
+
+
+def _signed_tokens(text: str) -> Iterator[tuple[str, int, int]]:
+    """Dotted candidates; where one is none, the next starts at its second part."""
+    at = 0
+    while m := _DOTTED.search(text, at):
+        at = m.start(2)
+        if m[1][0] == "e" and is_signed_token(m[1], m[2]):
+            yield "signed_token", m.start(), m.end()
+            at = m.end()
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """Spans (kind, start, end) in code points, by start, then kind in the order of ``KINDS``."""
     found = []
@@ -161,7 +244,7 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            if key_kind(from_base64("".join(m[2].split()))):
+            if _is_pem_key(m[2]):
                 found.append(("pem_key", m.start(), m.end()))
     covered = [(s, e) for k, s, e in found if k == "pem_key"]
     for m in _BASE64_RUN.finditer(text):
@@ -171,7 +254,9 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     for m in _HEX_RUN.finditer(text):
         if m[0][:2] in ("30", "6f", "6F") and len(m[0]) % 2 == 0 and (kind := key_kind(bytes.fromhex(m[0]))):
             found.append((kind, m.start(), m.end()))
-    found += [("signed_token", m.start(), m.end()) for m in _DOTTED.finditer(text) if m[1][0] == "e" and is_signed_token(m[1], m[2])]
+    for lines in ((_BASE64_START, _BASE64_LINE, _plain_base64, lambda n: (8 * n + 5) // 6), (_HEX_START, _HEX_LINE, _plain_hex, lambda n: 2 * n)):
+        found += [f for f in _line_keys(text, *lines) if not any(s <= f[1] < e for s, e in covered)]
+    found += _signed_tokens(text)
     return sorted(set(found), key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 

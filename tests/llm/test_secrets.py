@@ -66,6 +66,39 @@ def test_keys_are_reported_only_if_their_structure_holds():
     assert _kinds("-----BEGIN RSA PRIVATE KEY-----\nbm90IGEga2V5\n-----END RSA PRIVATE KEY-----") == []
 
 
+def _wrapped(text, width=64, end="\n"):
+    return end.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+def test_pem_with_escaped_breaks_and_headers():
+    body = base64.b64encode(_rsa_key()).decode()
+    for end in ("\\n", "\\r\\n", "\\\\n"):
+        pem = end.join(["-----BEGIN RSA PRIVATE KEY-----", _wrapped(body, end=end), "-----END RSA PRIVATE KEY-----"])
+        assert secrets.find_secrets('{"k": "' + pem + end + '"}') == [("pem_key", 7, 7 + len(pem))]
+    info = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    cipher = base64.b64encode(bytes(range(7, 247)) * 2).decode()
+    for headers, text in ((info, cipher), ("Comment: mine\n\n", body)):
+        assert "pem_key" in _kinds(f"-----BEGIN RSA PRIVATE KEY-----\n{headers}{_wrapped(text)}\n-----END RSA PRIVATE KEY-----")
+    assert "pem_key" not in _kinds(f"-----BEGIN RSA PRIVATE KEY-----\n{_wrapped(cipher)}\n-----END RSA PRIVATE KEY-----")
+
+
+def test_wrapped_and_url_safe_keys_without_marks():
+    for key, kind in ((_rsa_key(), "der_key"), (_ssh_key(), "ssh_key")):
+        plain, url = base64.b64encode(key).decode(), base64.urlsafe_b64encode(key).decode().rstrip("=")
+        for text in (_wrapped(plain), _wrapped(plain, end="\\n"), _wrapped(plain, end="\r\n  "), _wrapped(url), url, _wrapped(key.hex())):
+            whole = f"a key\n{text}\nEnding words"
+            assert (kind, 6, 6 + len(text)) in secrets.find_secrets(whole), (kind, text[:20])
+            assert not any(k in ("der_key", "ssh_key") for k in _kinds(whole.replace(text, text[:-4])))
+    assert "_" in base64.urlsafe_b64encode(_der(0x30, _der(2, b"\1"), _der(4, b"\xff" * 32))).decode()
+    assert _kinds("k: " + base64.urlsafe_b64encode(_der(0x30, _der(2, b"\1"), _der(4, b"\xff" * 32))).decode()) == ["der_key"]
+
+
+def test_token_behind_other_dotted_parts():
+    token = _token({"alg": "HS256"}, {"sub": "1"})
+    for before in ("abcdefgh.xyz.", "abcdefgh.", "abcdefgh.abcdefgh.abcdefgh."):
+        assert ("signed_token", len(before), len(before) + len(token)) in secrets.find_secrets(before + token)
+
+
 def test_pkcs8_and_sec1_keys():
     oid = _der(0x30, _der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01"), _der(5))
     assert secrets.is_der_key(_der(0x30, _der(2, b"\0"), oid, _der(4, _rsa_key())))
