@@ -146,13 +146,13 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, column: str, window: int =
 
     The column has n_words, the covered word ranges as merged spans (end exclusive), and the item ids as sorted strings.
     A NULL or empty text, and one without words, has no words and no spans. Items that are NULL or have no words have no
-    windows; a NULL item_id cannot be reported, so such items are left out. Items with equal windows are all reported.
+    windows. Windows of an item with a NULL item_id mark spans like others, only the ids cannot list it. Items with equal windows are all reported.
     Repeated rows are each marked. An empty benchmark marks nothing. Further columns of either table pass through or are
     ignored, whatever their names.
     """
     spark = docs.sparkSession
     windows = landed(
-        benchmark_windows(benchmark.where(benchmark["item_id"].isNotNull()), window)
+        benchmark_windows(benchmark, window)
         .groupBy("words").agg(F.sort_array(F.collect_set("item_id")).alias("items")), "windows")
     n_blocks = max(1, -(-windows.count() // block_windows))
     block = F.pmod(F.xxhash64("words"), F.lit(n_blocks))

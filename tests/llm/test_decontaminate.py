@@ -38,6 +38,14 @@ def test_made_up_cases_in_one_and_in_many_blocks(spark, folder, frame):
     assert _query(spark, path) == sorted(brute.leaks([r[:2] for r in rows], ITEMS), key=str)
 
 
+def test_items_without_id_mark_their_passages(spark, folder):
+    rows = doc_rows(ITEM, "alpha beta gamma", "clean words only")
+    path = folder(documents=(DOCS, rows), benchmark=("item_id long, text string", [(None, ITEM), (3, "alpha beta"), (None, "alpha beta"), (None, None)]))
+    got = _query(spark, path)
+    assert [r[:4] + r[5:] for r in got] == [(1, 12, 12, 0, True), (2, 3, 2, 1, True), (3, 3, 0, 0, False)]
+    assert [r[4] for r in got] == [brute.sha(""), brute.sha("3"), brute.sha("")]
+
+
 @pytest.mark.parametrize("n_docs,n_items", [(0, 2), (2, 0)])
 def test_empty_tables(spark, folder, n_docs, n_items):
     path = folder(documents=(DOCS, doc_rows(*TEXTS[:n_docs])), benchmark=("item_id long, text string", ITEMS[:n_items]))
