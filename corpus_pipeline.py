@@ -23,10 +23,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are near duplicates of each other, the one with the smallest id."""
+    """Of documents that are near duplicates of each other, one row with the smallest id; a NULL id is larger than every other."""
     find_package(spark)
-    group = spare(docs, "near")
-    return neardup.with_groups(docs, group).where(F.col(f"{group}.kept")).drop(group)
+    return neardup.one_of_each(docs)
 
 
 def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,16 @@ def test_near_duplicate_stage_keeps_one_of_each_group(written):
     assert after.count() < before.count()
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, frame):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    texts = [(5, a), (5, a), (7, a), (None, a), (None, b), (None, b), (None, b + " end"), (3, c), (3, d), (9, a + " end"), (3, d + " end"), (None, None), (None, None), (4, "")]
+    docs = frame(DOCS, *[(*t, "en", "src0", 1) for t in texts]).repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.keep_one_of_each(spark, docs, SF).collect()]
+    expected = {(5, "a"), (None, "b"), (3, "c"), (3, "d"), (None, ""), (4, "")}
+    assert {(i, (t or "")[:1]) for i, t in got} == expected
+    assert len(got) == len(expected) + 1  # texts without words are in no group
+
+
 def test_decontamination_stage(spark, written):
     before, after = written[2]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
