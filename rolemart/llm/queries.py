@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemart.llm import decontaminate, lines, neardup, packing, pii, preference, quality, repeats, secrets, warc
+from rolemart.llm import decontaminate, lines, neardup, packing, phrases, pii, preference, quality, recipes, repeats, secrets, turns, warc
 from rolemart.llm.registry import query, table
 
 
@@ -143,3 +143,73 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = neardup.with_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), "g", size=4)
     return grouped.select("doc_id", "g.n_shingles", "g.component_id", "g.kept")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows of op11's contract: by a checksum of conversation and turn, some are dropped, changed or repeated."""
+
+    def known(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+    fate = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn")).cast("binary")) % 20
+    text = F.when(fate == 1, "").when(fate == 2, F.translate(known("text"), ".!?", "")).otherwise(known("text"))
+    copies = F.when(fate == 0, F.array()).when(fate == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))).cast("array<int>")
+    return conversations.select("conv_id", "turn", F.when(fate == 4, "user").otherwise(known("role")).alias("role"), text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+@query("op11_suffix_shared_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = damaged(conversations)
+    plans = turns.repairs(rows)
+    shas = turns.digests(turns.edited(rows, plans))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    found = plans.join(shas, "conv").select(F.col("conv_id").alias("id"), *counts, "audit", "repaired_sha256")
+    every = conversations.select("conv_id").distinct()
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        "conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+_OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS w FROM pieces),
+runs AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i : i + size - 1], ' '))) AS phrase
+  FROM worded, (VALUES (1), (2), (3)) s(size) WHERE len(w) >= size),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT * FROM f WHERE size > 1 AND f >= 10),
+longer AS (
+  SELECT lang, p AS phrase, max(f) AS longer FROM (
+    SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS p FROM candidates WHERE size = 3) GROUP BY ALL),
+free AS (SELECT c.* FROM candidates c LEFT JOIN longer o ON c.lang = o.lang AND c.phrase = o.phrase WHERE o.longer IS NULL OR 100 * o.longer < 50 * c.f),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS first, array_to_string(string_split(phrase, ' ')[k + 1:size], ' ') AS last
+  FROM free, (VALUES (1), (2)) s(k) WHERE k < size),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON c.lang = x.lang AND c.first = x.phrase JOIN f y ON c.lang = y.lang AND c.last = y.phrase),
+lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut_no FROM scored) WHERE cut_no = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_toivonen_phrases", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+_OP13_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, row_number() OVER (same ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query("op13_chunk_recipe_dedup", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = recipes.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), "exact")
+    return grouped.select("doc_id", "exact.keep_id", "exact.group_size", "exact.kept", "exact.text_sha256")

@@ -150,3 +150,104 @@ def personal(text):
             found.append(("phone", m.start(), m.end()))
     count = Counter(k for k, _, _ in found)
     return (*(count[k] for k in ("email", "ip", "card", "phone")), sha(",".join(f"{k}:{s}:{e}" for k, s, e in found)))
+
+
+def exact_groups(docs):
+    """docs: (doc_id, text) -> rows of op13; of equal doc_ids one row is kept."""
+    groups = defaultdict(list)
+    for doc_id, text in docs:
+        groups[text or ""].append(doc_id)
+    out = []
+    for text, ids in groups.items():
+        keep = max(ids, key=lambda i: (i is not None, i or 0))
+        left = 1
+        for i in sorted(ids, key=str):
+            kept, left = (True, 0) if left and i == keep else (False, left)
+            out.append((i, keep, len(ids), kept, sha(text)))
+    return out
+
+
+def damage(rows):
+    """rows: (conv_id, turn, role, text), as op11 damages them."""
+    out = []
+    for conv, turn, role, text in rows:
+        conv_, turn_, role, text = (" " if x is None else x for x in (conv, turn, role, text))
+        fate = zlib.crc32(f"{conv_}:{turn_}".encode()) % 20
+        if fate == 1:
+            text = ""
+        if fate == 2:
+            text = re.sub(r"[.!?]", "", text)
+        if fate == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * {0: 0, 3: 2}.get(fate, 1)
+    return out
+
+
+def repaired(rows):
+    """One conversation's (turn, role, text) in order -> gaps, blank, duplicate, truncated, illegal, cost, audit, sha256."""
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    seen, faults = set(), []
+    for _, role, text in rows:
+        solid = re.findall(r"[^\x20\x09-\x0D]", text)
+        fault = "blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else ""
+        faults.append(fault)
+        seen.add((role, text))
+    initials = [role[:1] for _, role, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    # states of the grammar: nothing, after s, after u, after a; all edits are tried from the last row back
+    step = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    names = {"u": "user", "a": "assistant"}
+    rest = None
+    for at in range(len(rows), -1, -1):
+        here = {}
+        for q in range(4):
+            options = [(0, "", ())] if at == len(rows) and q in (0, 3) else []
+            if at < len(rows):
+                _, role, text = rows[at]
+                moves = [(4, "D", q, ())]
+                if faults[at] in ("", "truncated"):
+                    extra = 3 if faults[at] else 0
+                    if (q, initials[at]) in step:
+                        moves.append((extra, "K", step[q, initials[at]], ((role, text),)))
+                    moves += [(3 + extra, "R", step[q, c], ((names[c], text),)) for c in "ua" if (q, c) in step]
+                options += [(p + rest[t][0], e + rest[t][1], o + rest[t][2]) for p, e, t, o in moves]
+            here[q] = min(options, default=(10**9, "", ()))
+        for _ in range(3):  # insertions before the row
+            for (q, c), t in step.items():
+                if c in names:
+                    here[q] = min(here[q], (3 + here[t][0], "I" + here[t][1], ((names[c], ""),) + here[t][2]))
+        rest = here
+    cost, audit, out = rest[0]
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(f"{r}:{t}" for r, t in out)))
+
+
+def conversations(rows):
+    """(conv_id, turn, role, text) as stored -> op11's rows. Rows of one turn must be alike or alone."""
+    whole = defaultdict(list)
+    for conv, turn, role, text in damage(rows):
+        whole[conv].append((turn, role, text))
+    return [(c, *repaired(sorted(whole.get(c, []), key=lambda r: (r[0] is not None, r[0] or 0)))) for c in {r[0] for r in rows}]
+
+
+def collocations(docs, min_count=10, top=2000):
+    """docs: (lang, text)."""
+    counts = defaultdict(Counter)
+    for lang, text in docs:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower_ascii(text or "")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for size in (1, 2, 3):
+                counts["und" if lang is None else lang].update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    out = []
+    for lang, f in counts.items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        found = {p: c for p, c in f.items() if len(p) > 1 and c >= min_count}
+        rows = []
+        for p, a in found.items():
+            if any(len(q) > len(p) and p in (q[:2], q[1:]) and 100 * c >= 50 * a for q, c in found.items()):
+                continue
+            score, k = min((1000000 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            rows.append((" ".join(p), a, f[p[:k]], f[p[k:]], n, score))
+        rows.sort(key=lambda r: (-r[5], -r[1], r[0].encode()))
+        out += [(lang, i + 1, *r) for i, r in enumerate(rows[:top])]
+    return sorted(out)
