@@ -15,6 +15,7 @@ a wrong bit makes a task count more than needed, never less or twice. The bitmap
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -24,13 +25,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rolemart.llm.common import landed, mixed, text_of, word_hashes
+from rolemart.llm.exchange import expected_units
 
 _MOST_BITS = 1 << 31
 _PARTS = 64
 #: Upper case to lower case, tabs to blanks, and the marks that end a piece to one of them, which is in no word.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else 46 if c in b".,;:!?\x0a\x0b\x0c\x0d" else c for c in range(256))
 _END = b"."
-_COUNTED = "lang string, size int, phrase string, times long"
+#: Between packed phrases; a line end is in no word.
+_SPLIT = b"\n"
+_SENT = "part int, lang string, size int, phrases binary, times binary"
+
+#: Language, words of a phrase, phrases and how often each occurs.
+Group = tuple[str, int, list[bytes], np.ndarray]
 
 
 class Bitmap:
@@ -92,8 +99,8 @@ class Counter:
         self.held.append(np.fromiter(map(self.numbers[lang].__getitem__, words), np.int64, len(words)))
         self.size += len(words)
 
-    def text(self, data: bytes, lang: str, most: int, slice_bytes: int = 1 << 22) -> Iterator[list[tuple]]:
-        """Count a text; yields rows whenever ``most`` words have come together, also within a text."""
+    def text(self, data: bytes, lang: str, most: int, slice_bytes: int = 1 << 22) -> Iterator[list[Group]]:
+        """Count a text; yields groups whenever ``most`` words have come together, also within a text."""
         at = 0
         while at < len(data):
             end = at + slice_bytes
@@ -109,21 +116,29 @@ class Counter:
         self.held.append(np.zeros(1, np.int64))
         self.size += 1
 
-    def rows(self) -> list[tuple]:
-        """(lang, size, phrase, times) of all that this pass counts, and (lang, 0, '', words) in the first pass."""
+    def rows(self) -> list[Group]:
+        """(lang, size, phrases, times) of all that this pass counts, and (lang, 0, [b""], words) in the first pass."""
         ids = np.concatenate(self.held)
         names, langs = np.array(self.names, object), np.array(self.langs, object)
-        out: list[tuple] = []
+        out: list[Group] = []
         hashes = word_hashes([g.encode() + b"\0" + w for g, w in zip(self.langs, self.names, strict=True)])
         is_word = np.arange(len(names)) > 0
-        if self.before is None:
+
+        def tell(size: int, of: np.ndarray, phrases: list[bytes], times: np.ndarray) -> None:
+            """By language; ``of`` has a word of each phrase."""
+            if len(self.numbers) == 1:
+                out.append((next(iter(self.numbers)), size, phrases, times))
+                return
+            own, phrases = langs[of], np.array(phrases, object)
+            for lang in self.numbers:
+                here = np.flatnonzero(own == lang)
+                out.append((lang, size, phrases[here].tolist(), times[here]))
+
+        if self.before is None and self.numbers:
             times = np.bincount(ids[self.carried :], minlength=len(names))
             found = np.flatnonzero((times > 0) & is_word)
-            out += [(langs[i], 1, names[i].decode(), int(times[i])) for i in found.tolist()]
-            total: dict[str, int] = defaultdict(int)
-            for i in found.tolist():
-                total[langs[i]] += int(times[i])
-            out += [(g, 0, "", n) for g, n in total.items()]
+            tell(1, found, names[found].tolist(), times[found])
+            out += [(lang, 0, [b""], n.sum(keepdims=True)) for lang, _, _, n in list(out)]
 
         def within(bitmap: Bitmap | None, eligible: np.ndarray) -> np.ndarray:
             if bitmap is None:
@@ -136,45 +151,76 @@ class Counter:
             first, last = members[:-1], members[1:]
             places = np.flatnonzero((first >= 0) & (last >= 0))
             places = places[now[first[places]] & now[last[places]]]
-            codes, begins, which = np.unique(first[places] << 32 | last[places], return_index=True, return_inverse=True)
+            if not len(places):
+                break
+            codes, which = np.unique(first[places] << 32 | last[places], return_inverse=True)
+            begins = np.empty(len(codes), np.int64)
+            begins[which] = places
             a, b = codes >> 32, codes & 0xFFFFFFFF
             times = np.bincount(which[places + size > self.carried], minlength=len(codes))
             earlier = old[a] & old[b] if self.before is not None else np.zeros(len(codes), bool)
             wanted = np.flatnonzero((times > 0) & ~earlier)
-            starts = places[begins[wanted]]
-            told = map(b" ".join, zip(*(names[ids[starts + k]] for k in range(size)), strict=True))
-            out += zip(langs[ids[starts]], [size] * len(starts), (t.decode() for t in told), times[wanted].tolist(), strict=True)
+            starts = begins[wanted]
+            tell(size, ids[starts], list(map(b" ".join, zip(*(names[ids[starts + k]].tolist() for k in range(size)), strict=True))), times[wanted])
             if size < self.max_words:
                 hashes = _longer(hashes[a], hashes[b])
                 now, old = within(self.proposed, np.ones(len(codes), bool)), within(self.before, earlier)
                 members = np.full(len(first), -1, np.int64)
                 members[places] = which
-        return out
+        return [g for g in out if len(g[2])]
+
+
+def _batch(rows: list[tuple], kinds: tuple[pa.DataType, ...], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def _counted(docs: DataFrame, max_words: int, proposed: Bitmap, before: Bitmap | None, propose_all: bool = False, most: int = 1_500_000) -> DataFrame:
-    """(lang, size, phrase, f) of what a pass counts."""
-    share = docs.sparkSession.sparkContext.broadcast((proposed, before))  # at most 2 * _MOST_BITS bits
+def _counted(docs: DataFrame, max_words: int, proposed: Bitmap, before: Bitmap | None, least: int, propose_all: bool = False, most: int = 1_500_000) -> DataFrame:
+    """(lang, size, phrase, f) of what a pass counts with f >= least, and of size 0 the words of each language.
+
+    Tasks send the phrases of a part of the hash space packed in one row. The parts follow the size of the texts.
+    """
+    parts = max(16, expected_units(docs, 2) // 2_000_000)
+    share = docs.sparkSession.sparkContext.broadcast((proposed, before))  # at most 2 * _MOST_BITS bits and their forerunners
+    sent = (pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary())
+    told = (pa.string(), pa.int32(), pa.string(), pa.int64())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(max_words, *share.value, propose_all)
 
-        def batch_of(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(rows), 100_000):
-                columns = zip(*rows[at : at + 100_000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)], names=["lang", "size", "phrase", "times"])
+        def packed(groups: list[Group]) -> Iterator[pa.RecordBatch]:
+            for lang, size, phrases, times in groups:
+                part = np.fromiter(map(zlib.crc32, phrases), np.int64, len(phrases)) % parts
+                order = np.argsort(part, kind="stable")
+                edges = np.searchsorted(part[order], np.arange(parts + 1))
+                held, times = np.array(phrases, object)[order].tolist(), times[order].astype("<i8")
+                full = np.flatnonzero(edges[1:] > edges[:-1]).tolist()
+                rows = [(i, lang, size, _SPLIT.join(held[edges[i] : edges[i + 1]]), times[edges[i] : edges[i + 1]].tobytes()) for i in full]
+                yield _batch(rows, sent, ["part", "lang", "size", "phrases", "times"])
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for rows in counter.text(text.as_buffer().to_pybytes(), lang, most):
-                    yield from batch_of(rows)
+                for groups in counter.text(text.as_buffer().to_pybytes(), lang, most):
+                    yield from packed(groups)
             if counter.size >= most // 2:
-                yield from batch_of(counter.rows())
+                yield from packed(counter.rows())
                 counter._clear([], "")
-        yield from batch_of(counter.rows())
+        yield from packed(counter.rows())
+
+    def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[str, int], dict[bytes, int]] = defaultdict(lambda: defaultdict(int))
+        for batch in batches:
+            for lang, size, phrases, times in zip(*(batch.column(c).to_pylist() for c in ("lang", "size", "phrases", "times")), strict=True):
+                own = total[lang, size]
+                for phrase, n in zip(phrases.split(_SPLIT), np.frombuffer(times, "<i8").tolist(), strict=True):
+                    own[phrase] += n
+        for (lang, size), own in total.items():
+            found = [(lang, size, p.decode(), n) for p, n in own.items() if n >= least or not size]
+            for at in range(0, len(found), 100_000):
+                yield _batch(found[at : at + 100_000], told, ["lang", "size", "phrase", "f"])
 
     read = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), text_of(docs).alias("text"))
-    return read.mapInArrow(count, _COUNTED).groupBy("lang", "size", "phrase").agg(F.sum("times").alias("f"))
+    return read.mapInArrow(count, _SENT).groupBy("part").applyInArrow(merge, "lang string, size int, phrase string, f long")
 
 
 def _bitmap(members: DataFrame) -> Bitmap:
@@ -213,12 +259,12 @@ def frequent_phrases(docs: DataFrame, min_count: int = 10, max_words: int = 3, s
     proposed = Bitmap()
     if sample_percent:
         likely = max(2, min_count * sample_percent // 200)
-        proposed = _bitmap(landed(_counted(docs.where(share), max_words - 1, proposed, None, True).where(f"f >= {likely} AND size > 0").select("lang", "phrase"), "proposed"))
+        proposed = _bitmap(landed(_counted(docs.where(share), max_words - 1, proposed, None, likely, True).where("size > 0").select("lang", "phrase"), "proposed"))
     before, found, totals = None, None, None
     while True:
-        counted = landed(_counted(docs, max_words, proposed, before).where((F.col("f") >= min_count) | (F.col("size") == 0)), "counted")
+        counted = landed(_counted(docs, max_words, proposed, before, min_count), "counted")
         if totals is None:
-            totals = counted.where("size = 0").select("lang", F.col("f").alias("n"))
+            totals = counted.where("size = 0").groupBy("lang").agg(F.sum("f").alias("n"))
         found = _both(found, counted.where("size > 0"))
         failures = landed(_failures(counted.where((F.col("size") > 0) & (F.col("size") < max_words)), proposed), "failures")
         if failures.isEmpty():

@@ -77,8 +77,9 @@ def test_long_texts_are_counted_in_slices_without_loss():
     def count(slice_bytes, most):
         counter, total = phrases.Counter(3, everything, None, True), {}
         parts = [*counter.text(text, "en", most, slice_bytes), counter.rows()]
-        for lang, size, phrase, times in (r for p in parts for r in p):
-            total[lang, size, phrase] = total.get((lang, size, phrase), 0) + times
+        for lang, size, found, times in (g for p in parts for g in p):
+            for phrase, n in zip(found, times.tolist(), strict=True):
+                total[lang, size, phrase] = total.get((lang, size, phrase), 0) + n
         return total, len(parts)
 
     whole, one = count(1 << 22, 10**9)
