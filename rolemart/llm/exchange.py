@@ -19,7 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MOST_BUCKETS = 65_536
+from rolemart.llm.common import tidy
+
 _SENT = "bucket int, chunk long, owners binary, hashes binary, repeated binary, times binary, numbers binary, prints binary"
 _ANSWER = "chunk long, owners binary, hashes binary, popular binary, is_own boolean"
 
@@ -29,9 +30,9 @@ def cut(hashes: np.ndarray, bits: int) -> np.ndarray:
     return hashes >> np.uint64(64 - 32 - bits)
 
 
-def bucket_bits(expected_hashes: int, per_bucket: int = 1_500_000) -> int:
-    wanted = max(8, min(_MOST_BUCKETS, expected_hashes // per_bucket))
-    return int(wanted - 1).bit_length()
+def bucket_bits(expected_hashes: int, per_bucket: int = 500_000) -> int:
+    """Bits that number the buckets; there are as many as the hashes need, so a bucket's size does not grow with the data."""
+    return int(max(8, expected_hashes // per_bucket) - 1).bit_length()
 
 
 def batch_of(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
@@ -39,8 +40,20 @@ def batch_of(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> p
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
+def _fields(table: pa.Table) -> Iterator[dict]:
+    """The rows of a table without NULL fields; binary ones as buffers, not copied."""
+    for batch in table.to_batches():
+        for i in range(batch.num_rows):
+            row = {n: batch.column(j)[i] for j, n in enumerate(batch.schema.names)}
+            yield {n: x.as_buffer() if isinstance(x, pa.BinaryScalar) else x.as_py() for n, x in row.items() if x.is_valid}
+
+
+def _numbers(data: pa.Buffer, kind: type) -> np.ndarray:
+    return np.frombuffer(data, kind) if data.size else np.empty(0, kind)
+
+
 def shared_hashes(
-    owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], bits: int, popular: int | None = None, chunk_hashes: int = 1_500_000
+    owners: DataFrame, hashes_of: Callable[[bytes], np.ndarray], bits: int, popular: int | None = None, chunk_hashes: int = 500_000
 ) -> DataFrame:
     """(owner binary, n long, shared binary, n_popular long), for owners that have hashes which another owner has too: how many
     hashes an owner has, those that are shared (cut, uint64), and how many of them more than ``popular`` owners have.
@@ -78,12 +91,12 @@ def shared_hashes(
             alone, alone_owner, multiple = hashes[single], owner[single], hashes[new & ~last]
             times = np.diff(np.append(np.flatnonzero(new), len(hashes)))
             times = times[times > 1].astype(np.uint32)
-            edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(32)
-            at, at_multiple = np.searchsorted(alone, edges), np.searchsorted(multiple, edges)
-            at, at_multiple = np.append(at, len(alone)), np.append(at_multiple, len(multiple))
             low, low_multiple = alone.astype(np.uint32), multiple.astype(np.uint32)
-            for b in np.flatnonzero((at[1:] > at[:-1]) | (at_multiple[1:] > at_multiple[:-1])).tolist():
-                a, z, am, zm = at[b], at[b + 1], at_multiple[b], at_multiple[b + 1]
+            buckets, buckets_multiple = alone >> np.uint64(32), multiple >> np.uint64(32)
+            present = np.union1d(buckets, buckets_multiple)
+            at, at_multiple = (np.searchsorted(x, present).tolist() for x in (buckets, buckets_multiple))
+            to, to_multiple = (np.searchsorted(x, present, "right").tolist() for x in (buckets, buckets_multiple))
+            for b, a, z, am, zm in zip(present.tolist(), at, to, at_multiple, to_multiple, strict=True):
                 here, local = np.unique(alone_owner[a:z], return_inverse=True)
                 packed = (local.astype(np.uint32), low[a:z], low_multiple[am:zm], times[am:zm], here, prints[here])
                 rows.append((b, chunk, *(x.tobytes() for x in packed)))
@@ -111,61 +124,80 @@ def shared_hashes(
 
     def answer(table: pa.Table) -> pa.Table:
         top = np.uint64(table.column("bucket")[0].as_py() << 32)
-        received = table.to_pylist()
-        sent = [r for r in received if r["repeated"] is not None]
-        rows = [(r["chunk"], r["owners"], r["hashes"], None, True) for r in received if r["repeated"] is None]
-        singles = [np.frombuffer(r["hashes"], np.uint32) for r in sent]
-        repeated = [np.frombuffer(r["repeated"], np.uint32) for r in sent]
-        # an owner that stands in several chunks counts once: one owner's prints are all the same
-        own = np.concatenate([*singles, np.empty(0, np.uint32)])
-        prints = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(r["prints"], np.uint64)[np.frombuffer(r["owners"], np.uint32)] for r in sent)])
-        order = np.argsort(own)
-        own, prints = own[order], prints[order]
-        begins = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.empty(0, np.int64)
-        alone = own[begins]
-        several = alone[np.minimum.reduceat(prints, begins) != np.maximum.reduceat(prints, begins)] if len(own) else alone
-        multiple = np.concatenate([*repeated, np.empty(0, np.uint32)])
-        twice = np.union1d(several, np.intersect1d(alone, multiple))
-        many = multiple[:0]
+        rows, sent, singles, repeated, times, owners = [], [], [], [], [], []
+        prints, first = [], 0
+        for r in _fields(table):
+            if "repeated" not in r:
+                rows.append((r["chunk"], r["owners"].to_pybytes(), r["hashes"].to_pybytes(), None, True))
+                continue
+            sent.append((r["chunk"], _numbers(r["owners"], np.uint32), _numbers(r["numbers"], np.uint32)))
+            singles.append(_numbers(r["hashes"], np.uint32))
+            repeated.append(_numbers(r["repeated"], np.uint32))
+            times.append(_numbers(r["times"], np.uint32))
+            prints.append(_numbers(r["prints"], np.uint64))
+            owners.append(sent[-1][1] + np.uint32(first))
+            first += len(prints[-1])
+        none = np.empty(0, np.uint32)
+        # an owner that stands in several chunks counts once: its prints are the same everywhere, and so is its number here
+        _, number = np.unique(np.concatenate([none.astype(np.uint64), *prints]), return_inverse=True)
+        met = np.concatenate([none, *singles]).astype(np.uint64) << np.uint64(32)
+        met |= number.astype(np.uint64)[np.concatenate([none, *owners])]
+        met.sort()
+        met = (met[np.concatenate(([True], met[1:] != met[:-1]))] >> np.uint64(32)).astype(np.uint32) if len(met) else none
+        begins = np.flatnonzero(np.concatenate(([True], met[1:] != met[:-1]))) if len(met) else np.empty(0, np.int64)
+        alone, count = met[begins], np.diff(np.append(begins, len(met)))
+        multiple = np.concatenate([none, *repeated])
+        order = np.argsort(multiple)
+        multiple, often = multiple[order], np.concatenate([none, *times])[order]
+        begins = np.flatnonzero(np.concatenate(([True], multiple[1:] != multiple[:-1]))) if len(multiple) else np.empty(0, np.int64)
+        often = np.add.reduceat(often, begins, dtype=np.int64) if len(multiple) else often.astype(np.int64)
+        multiple = multiple[begins]
+        place = np.searchsorted(alone, multiple)
+        both = place < len(alone)
+        both[both] = alone[place[both]] == multiple[both]
+        twice = np.union1d(alone[count > 1], multiple[both])
+        many = none
         if popular is not None:
-            counted = (np.unique(own.astype(np.uint64) << np.uint64(32) | prints >> np.uint64(32)) >> np.uint64(32)).astype(np.uint32)
-            weight = np.concatenate([np.ones(len(counted), np.uint32), *(np.frombuffer(r["times"], np.uint32) for r in sent)])
-            values, slot = np.unique(np.concatenate([counted, multiple]), return_inverse=True)
-            many = values[np.bincount(slot, weight, len(values)) > popular]
+            count[place[both]] += often[both]
+            many = np.union1d(alone[count > popular], multiple[~both & (often > popular)])
 
         def among(own: np.ndarray, known: np.ndarray) -> np.ndarray:
             return known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own if len(known) else np.zeros(len(own), bool)
 
-        for r, own, multiple in zip(sent, singles, repeated, strict=True):
+        for (chunk, local, numbers), own, multiple in zip(sent, singles, repeated, strict=True):
             hit = among(own, twice)
             famous = np.concatenate([own[among(own, many)], multiple[among(multiple, many)]])
             if hit.any() or len(famous):
                 full = own[hit].astype(np.uint64) | top
-                owner = np.frombuffer(r["numbers"], np.uint32)[np.frombuffer(r["owners"], np.uint32)[hit]]
-                rows.append((r["chunk"], owner.tobytes(), full.tobytes(), (famous.astype(np.uint64) | top).tobytes(), False))
+                rows.append((chunk, numbers[local[hit]].tobytes(), full.tobytes(), (famous.astype(np.uint64) | top).tobytes(), False))
         return pa.Table.from_batches([batch_of(rows, answer_types, answer_names)])
 
     def settle(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        mine = next(r for r in rows if r["is_own"])
-        keys = [(mine["owners"][i : i + 16], int.from_bytes(mine["owners"][i + 16 : i + 20], "little")) for i in range(0, len(mine["owners"]), 20)]
-        n = len(mine["hashes"]) // 12
-        owner = [np.frombuffer(mine["hashes"][: 4 * n], np.uint32), *(np.frombuffer(r["owners"], np.uint32) for r in rows if not r["is_own"])]
-        hashes = [np.frombuffer(mine["hashes"][4 * n :], np.uint64), *(np.frombuffer(r["hashes"], np.uint64) for r in rows if not r["is_own"])]
+        owner, hashes, famous = [], [], [np.empty(0, np.uint64)]
+        for r in _fields(table):
+            if r["is_own"]:
+                told = r["owners"].to_pybytes()
+                keys = [(told[i : i + 16], int.from_bytes(told[i + 16 : i + 20], "little")) for i in range(0, len(told), 20)]
+                n = r["hashes"].size // 12
+                owner.append(_numbers(r["hashes"].slice(0, 4 * n), np.uint32))
+                hashes.append(np.frombuffer(r["hashes"].slice(4 * n).to_pybytes(), np.uint64))
+            else:
+                owner.append(_numbers(r["owners"], np.uint32))
+                hashes.append(_numbers(r["hashes"], np.uint64))
+                famous.append(_numbers(r["popular"], np.uint64))
         owner, hashes = np.concatenate(owner), np.concatenate(hashes)
         order = np.argsort(owner, kind="stable")
         owner, hashes = owner[order], hashes[order]
         present, starts = np.unique(owner, return_index=True)
         ends = np.append(starts[1:], len(owner))[: len(starts)]
-        famous = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(r["popular"], np.uint64) for r in rows if not r["is_own"])])
-        known = np.concatenate([[0], np.cumsum(np.isin(hashes, famous))])
+        known = np.concatenate([[0], np.cumsum(np.isin(hashes, np.concatenate(famous)))])
         out = [(*keys[o], hashes[a:z].tobytes(), int(known[z] - known[a])) for o, a, z in zip(present.tolist(), starts.tolist(), ends.tolist(), strict=True)]
         return pa.Table.from_batches([batch_of(out, [pa.binary(), pa.int64(), pa.binary(), pa.int64()], ["owner", "n", "shared", "n_popular"])])
 
     return (
-        owners.mapInArrow(send, _SENT)
-        .groupBy("bucket").applyInArrow(answer, _ANSWER)
-        .groupBy("chunk").applyInArrow(settle, "owner binary, n long, shared binary, n_popular long")
+        owners.mapInArrow(tidy(send), _SENT)
+        .groupBy("bucket").applyInArrow(tidy(answer), _ANSWER)
+        .groupBy("chunk").applyInArrow(tidy(settle), "owner binary, n long, shared binary, n_popular long")
     )
 
 

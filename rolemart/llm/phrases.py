@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rolemart.llm.common import landed, mixed, text_of, word_hashes
+from rolemart.llm.common import landed, mixed, text_of, tidy, word_hashes
 from rolemart.llm.exchange import expected_units
 
 _MOST_BITS = 1 << 31
@@ -220,7 +220,7 @@ def _counted(docs: DataFrame, max_words: int, proposed: Bitmap, before: Bitmap |
                 yield _batch(found[at : at + 100_000], told, ["lang", "size", "phrase", "f"])
 
     read = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), text_of(docs).alias("text"))
-    return read.mapInArrow(count, _SENT).groupBy("part").applyInArrow(merge, "lang string, size int, phrase string, f long")
+    return read.mapInArrow(tidy(count), _SENT).groupBy("part").applyInArrow(merge, "lang string, size int, phrase string, f long")
 
 
 def _bitmap(members: DataFrame) -> Bitmap:

@@ -141,7 +141,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_bottom_k_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = neardup.with_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), "g", size=4)
+    grouped = neardup.with_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), "g", size=4, with_text=False)
     return grouped.select("doc_id", "g.n_shingles", "g.component_id", "g.kept")
 
 
