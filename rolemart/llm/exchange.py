@@ -25,12 +25,16 @@ _SENT = "bucket int, chunk long, owners binary, hashes binary, repeated binary,
 _ANSWER = "chunk long, owners binary, hashes binary, popular binary, is_own boolean"
 
 
+#: An owner's number in its chunk takes two bytes; a fuller chunk is sent and the next one begins.
+_MOST_OWNERS = 1 << 16
+
+
 def cut(hashes: np.ndarray, bits: int) -> np.ndarray:
     """The form in which shared hashes are returned: the top bits that are compared."""
     return hashes >> np.uint64(64 - 32 - bits)
 
 
-def bucket_bits(expected_hashes: int, per_bucket: int = 500_000) -> int:
+def bucket_bits(expected_hashes: int, per_bucket: int = 1_500_000) -> int:
     """Bits that number the buckets; there are as many as the hashes need, so a bucket's size does not grow with the data."""
     return int(max(8, expected_hashes // per_bucket) - 1).bit_length()
 
@@ -98,7 +102,7 @@ def shared_hashes(
             to, to_multiple = (np.searchsorted(x, present, "right").tolist() for x in (buckets, buckets_multiple))
             for b, a, z, am, zm in zip(present.tolist(), at, to, at_multiple, to_multiple, strict=True):
                 here, local = np.unique(alone_owner[a:z], return_inverse=True)
-                packed = (local.astype(np.uint32), low[a:z], low_multiple[am:zm], times[am:zm], here, prints[here])
+                packed = (local.astype(np.uint16), low[a:z], low_multiple[am:zm], times[am:zm], here.astype(np.uint16), prints[here])
                 rows.append((b, chunk, *(x.tobytes() for x in packed)))
             return batch_of(rows, sent_types, sent_names)
 
@@ -113,7 +117,7 @@ def shared_hashes(
                 index[key] = len(held)
                 held.append(hashes)
                 size += len(hashes)
-                if size >= chunk_hashes:
+                if size >= chunk_hashes or len(held) == _MOST_OWNERS:
                     yield flush()
                     index, held, size, sequence = {}, [], 0, sequence + 1
         if held:
@@ -130,18 +134,18 @@ def shared_hashes(
             if "repeated" not in r:
                 rows.append((r["chunk"], r["owners"].to_pybytes(), r["hashes"].to_pybytes(), None, True))
                 continue
-            sent.append((r["chunk"], _numbers(r["owners"], np.uint32), _numbers(r["numbers"], np.uint32)))
+            sent.append((r["chunk"], _numbers(r["owners"], np.uint16), _numbers(r["numbers"], np.uint16)))
             singles.append(_numbers(r["hashes"], np.uint32))
             repeated.append(_numbers(r["repeated"], np.uint32))
             times.append(_numbers(r["times"], np.uint32))
             prints.append(_numbers(r["prints"], np.uint64))
-            owners.append(sent[-1][1] + np.uint32(first))
+            owners.append(sent[-1][1].astype(np.int64) + first)
             first += len(prints[-1])
         none = np.empty(0, np.uint32)
         # an owner that stands in several chunks counts once: its prints are the same everywhere, and so is its number here
         _, number = np.unique(np.concatenate([none.astype(np.uint64), *prints]), return_inverse=True)
         met = np.concatenate([none, *singles]).astype(np.uint64) << np.uint64(32)
-        met |= number.astype(np.uint64)[np.concatenate([none, *owners])]
+        met |= number.astype(np.uint64)[np.concatenate([none.astype(np.int64), *owners])]
         met.sort()
         met = (met[np.concatenate(([True], met[1:] != met[:-1]))] >> np.uint64(32)).astype(np.uint32) if len(met) else none
         begins = np.flatnonzero(np.concatenate(([True], met[1:] != met[:-1]))) if len(met) else np.empty(0, np.int64)
@@ -169,7 +173,7 @@ def shared_hashes(
             famous = np.concatenate([own[among(own, many)], multiple[among(multiple, many)]])
             if hit.any() or len(famous):
                 full = own[hit].astype(np.uint64) | top
-                rows.append((chunk, numbers[local[hit]].tobytes(), full.tobytes(), (famous.astype(np.uint64) | top).tobytes(), False))
+                rows.append((chunk, numbers[local[hit]].astype(np.uint32).tobytes(), full.tobytes(), (famous.astype(np.uint64) | top).tobytes(), False))
         return pa.Table.from_batches([batch_of(rows, answer_types, answer_names)])
 
     def settle(table: pa.Table) -> pa.Table:
