@@ -205,6 +205,10 @@ class Logs:
     def daily_late(self) -> DataFrame:
         return upstream.user_daily(self.base_log_late, self.payment_log_late, self.test_accounts)
 
+    @cached_property
+    def info_late(self) -> DataFrame:
+        return upstream.user_info(self.daily_late).join(self.closed_accounts, "role_id", "left_anti")
+
     @cached_property
     def hourly(self) -> DataFrame:
         return upstream.user_hourly(self.base_log, self.payment_log)

@@ -91,6 +91,18 @@ def _(t: Logs):
     return conform(t.daily_late, TABLES["dws_user_daily"]).select(*_DAILY_COLUMNS)
 
 
+@query("dws_user_daily_event_days_late", "SELECT * FROM event_days_late")
+def _(t: Logs):
+    """Every late event in its own day; the SQL side groups the raw logs by event date and knows no user-day."""
+    return upstream.event_days(t.daily_late).select("role_id", "part_date", "date", *upstream.EVENT_DAY)
+
+
+@query("dws_user_info_late", f"SELECT {', '.join(_INFO_COLUMNS)} FROM info_late")
+def _(t: Logs):
+    """Install dates are the first event dates, however late the events came."""
+    return conform(t.info_late, TABLES["dws_user_info"])
+
+
 @query("dws_user_info", f"SELECT {', '.join(_INFO_COLUMNS)} FROM all_info")
 def _(t: Logs):
     return conform(t.all_info, TABLES["dws_user_info"])
@@ -225,6 +237,24 @@ def _kpi_sql(info: str) -> str:
     """
 
 
+@query(
+    "ads_kpi_daily_late",
+    f"""
+    SELECT * FROM (WITH daily AS (
+      SELECT role_id, date, strftime(date, '%Y-%m-%d') AS part_date, sum(online_time) AS online_time, sum(pay_count) AS pay_count,
+             sum(money_rmb) AS money_rmb, sum(web_rmb) AS web_rmb FROM event_days_late GROUP BY role_id, date),
+    derive AS (
+      SELECT e.role_id, strftime(e.date, '%Y-%m-%d') AS part_date, max(v.moneyrmb_ac) AS moneyrmb_ac
+      FROM event_days_late AS e JOIN derive_late AS v USING (role_id, part_date) GROUP BY e.role_id, e.date)
+    SELECT * FROM ({_kpi_sql("info_late")}))
+    """,
+)
+def _(t: Logs):
+    """Daily KPIs by event date; the SQL side counts the raw logs by event date."""
+    derive = upstream.user_daily_derive(t.daily_late)
+    return conform(kpi.kpi_daily(t.daily_late, derive, t.info_late, DAYS, by_event_day=True), TABLES["ads_kpi_daily"])
+
+
 @query("ads_kpi_daily", _kpi_sql("info"))
 def _(t: Logs):
     return conform(kpi.kpi_daily(t.daily, t.derive, t.info, DAYS), TABLES["ads_kpi_daily"])

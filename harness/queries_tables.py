@@ -111,7 +111,7 @@ def _(t: Logs):
     """A rerun of some days: days with new rows are replaced, days left without rows disappear."""
     table, path = TABLES["ads_active_daily"], new_scratch(t.spark, "active")
     overwrite_range(upstream.active_daily(t.base_log), table, path, DAYS)
-    rerun = t.base_log.where("event_name = 'purchase' and part_date <= '2024-01-20'")
+    rerun = t.base_log.where("event_name = 'purchase' and part_date between '2024-01-15' and '2024-01-20'")
     overwrite_range(upstream.active_daily(rerun), table, path, RunWindow("2024-01-15", "2024-01-25"))
     return read_table(t.spark, table, path)
 

@@ -153,6 +153,18 @@ SELECT date, part_date, role_id, CAST(m AS DECIMAL(32,4)) AS money_ac, CAST(r AS
 FROM (SELECT *, sum(money) OVER w AS m, sum(money_rmb) OVER w AS r, row_number() OVER w AS nth FROM {_from}
       WINDOW w AS (PARTITION BY role_id ORDER BY part_date ROWS UNBOUNDED PRECEDING))
 """)
+view("event_days_late", """
+SELECT role_id, part_date, date, a.online_time, coalesce(p.pay_count, 0) AS pay_count, CAST(coalesce(p.money, 0) AS DECIMAL(32,4)) AS money,
+       CAST(coalesce(p.money_rmb, 0) AS DECIMAL(32,4)) AS money_rmb, CAST(coalesce(p.web_rmb, 0) AS DECIMAL(32,4)) AS web_rmb
+FROM (SELECT role_id, part_date, date, CAST(sum(online_time) AS BIGINT) AS online_time FROM base_log_late GROUP BY ALL) AS a
+FULL JOIN (SELECT role_id, part_date, date, count(money) AS pay_count, sum(money) AS money, sum(money_rmb) AS money_rmb, sum(web_rmb) AS web_rmb
+           FROM payment_log_late GROUP BY ALL) AS p USING (role_id, part_date, date)
+""")
+view("info_late", """
+SELECT i.* REPLACE (e.first AS install_date) FROM (""" + _info("daily_late", "base_log_late", "payment_log_late") + """) AS i
+JOIN (SELECT role_id, min(date) AS first FROM event_days_late GROUP BY role_id) AS e USING (role_id)
+ANTI JOIN closed_accounts AS c USING (role_id)
+""")
 view("hourly", """
 SELECT b.date, b.part_date, b.hour, b.role_id, CAST(coalesce(p.money, 0) AS DECIMAL(32,4)) AS money,
        CAST(coalesce(p.money_rmb, 0) AS DECIMAL(32,4)) AS money_rmb, p.exchange_rate

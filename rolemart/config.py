@@ -24,6 +24,8 @@ TRAILING_DAYS = 15
 CHECK_DAYS = 30
 LEVEL_BUCKET = 5
 BULK_DRAW = 10
+#: Events whose date lies further before their partition day are no late arrivals but wrong clocks.
+MAX_LATE_DAYS = 62
 
 
 @dataclass(frozen=True)

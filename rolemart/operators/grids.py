@@ -38,15 +38,15 @@ def fill_days(metrics: DataFrame, dims: Sequence[str], values: Sequence[str], fi
 def axis_grid(base: DataFrame, metrics: DataFrame, axes: Sequence[str]) -> DataFrame:
     """Every row of ``base`` with every distinct value of each axis of ``metrics``.
 
-    An axis is a set of dimension values (dates, systems, channels), read once as an array
-    and exploded next to each base row; the largest axis belongs into ``base``. The grid is
+    An axis is a set of dimension values (dates, systems, channels); all axes are read in one aggregate, as arrays that
+    are exploded next to each base row; the largest axis belongs into ``base``. The grid is
     the report itself, so its size is the size of the output. ``metrics`` should be settled.
     """
+    members = metrics.agg(F.struct(*(F.collect_set(F.struct(axis)).alias(axis) for axis in axes)).alias("members")).scalar()
+    base = base.withColumn("_members", members)
     for axis in axes:
-        members = metrics.agg(F.collect_set(F.struct(axis)).alias("members")).scalar()
-        base = base.withColumn("_members", members).select("*", F.explode("_members").alias("_member"))
-        base = base.withColumn(axis, F.col(f"_member.{axis}")).drop("_members", "_member")
-    return base
+        base = base.select("*", F.explode(F.col(f"_members.{axis}")).alias(f"_{axis}"))
+    return base.select(*(c for c in base.columns if c not in ("_members", *(f"_{a}" for a in axes))), *(F.col(f"_{a}.{a}").alias(a) for a in axes))
 
 
 def running_total(value: str, dims: Sequence[str], time: str) -> Column:

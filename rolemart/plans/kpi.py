@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, functions as F
 
-from rolemart.config import RunWindow
+from rolemart.config import MAX_LATE_DAYS, RunWindow
 from rolemart.functions.dates import day_text, month_of, months_between
 from rolemart.operators.grids import axis_grid, fill_days, running_total
 from rolemart.operators.users import lifecycle_days, user_metrics, with_user_attrs
+from rolemart.plans.upstream import event_days
 from rolemart.session import settle
+from rolemart.sources.logs import in_window
 
 DIMS = ("zone_id", "channel", "os")
-LAST_DAY = "9999-12-31"
 _LIFECYCLE = ["install_date", "firstpay_date", *DIMS]
 
 
+def _latest_arrival(day: str) -> str:
+    return (date.fromisoformat(day) + timedelta(days=MAX_LATE_DAYS)).isoformat()
+
+
 def _same_dims(left: DataFrame, right: DataFrame, time: str) -> DataFrame:
     """Left join on time and dimensions by plain equality: NULL dimensions find no partner."""
     return left.join(right, [time, *DIMS], "left")
@@ -27,17 +34,19 @@ def daily_metrics(
 
     ``by_event_day``: the window is one of event days, whenever they arrived, and a day's partitions count together.
     """
-    if by_event_day:
-        daily = daily.where(F.col("date").between(window.start_date, window.end_date)).where(F.col("part_date") >= window.start_date)
-        derive = derive.where(F.col("part_date") >= window.start_date)
-        window = RunWindow(window.start_date, LAST_DAY)
-    days = daily.where(F.col("part_date").between(window.start_date, window.end_date)).select(
-        "date", "part_date", "role_id", "online_time", "pay_count", "money_rmb", "web_rmb"
-    )
-    so_far = derive.where(F.col("part_date").between(window.start_date, window.end_date)).select(
-        "role_id", "part_date", "moneyrmb_ac"
-    )
-    rows = with_user_attrs(days.join(so_far, ["role_id", "part_date"], "left"), info, _LIFECYCLE)
+    values = ("online_time", "pay_count", "money_rmb", "web_rmb")
+    if by_event_day:  # a day's events lie in its partition or one of the next
+        arrived = RunWindow(window.start_date, _latest_arrival(window.end_date))
+        daily = event_days(in_window(daily, arrived)).where(F.col("date").between(window.start_date, window.end_date))
+        days = daily.select("date", "part_date", "role_id", *values)
+    else:
+        arrived = window
+        days = in_window(daily, window).select("date", "part_date", "role_id", *values)
+    so_far = in_window(derive, arrived).select("role_id", "part_date", "moneyrmb_ac")
+    days = days.join(so_far, ["role_id", "part_date"], "left")
+    if by_event_day:  # parts of one day that came in several partitions are one user-day
+        days = days.groupBy("role_id", "date").agg(*(F.sum(c).alias(c) for c in values), F.max("moneyrmb_ac").alias("moneyrmb_ac"))
+    rows = with_user_attrs(days, info, _LIFECYCLE)
     rows = rows.withColumns(lifecycle_days())
     pays, fresh = F.col("money_rmb") > 0, F.col("retention_day") == 0
     first_pay = pays & (F.col("pay_retention_day") == 0)
@@ -96,6 +105,7 @@ def intraday_metrics(hourly: DataFrame, derive: DataFrame, info: DataFrame, wind
     if "part_date" in derive.columns:  # a row of an event day lies in the partition of that day or a later one
         first = F.coalesce(F.min("date").cast("string"), F.lit(window.start_date))
         derive = derive.where(F.col("part_date") >= recent.agg(F.least(first, F.lit(window.start_date))).scalar())
+        derive = derive.where(F.col("part_date") <= _latest_arrival(window.end_date))
     status = derive.select("role_id", "date", "is_paid")
     rows = with_user_attrs(days.join(status, ["role_id", "date"], "left"), info, _LIFECYCLE)
     rows = rows.withColumns(lifecycle_days())
@@ -135,9 +145,10 @@ def kpi_daily_intraday(hourly: DataFrame, derive: DataFrame, info: DataFrame, wi
 def monthly_metrics(daily: DataFrame, info: DataFrame, window: RunWindow) -> DataFrame:
     """User-months folded to users and money per month and dimension, by the event date.
 
-    An event lies in the partition of its day or a later one, so earlier partitions need not be read.
+    An event lies in the partition of its day or one of the next, so only these partitions are read.
     """
-    days = daily.where(F.col("part_date") >= window.start_date).where(F.col("date").between(window.start_date, window.end_date))
+    arrived = in_window(daily, RunWindow(window.start_date, _latest_arrival(window.end_date)))
+    days = event_days(arrived).where(F.col("date").between(window.start_date, window.end_date))
     months = days.groupBy("role_id", month_of(F.col("date")).alias("month")).agg(
         F.sum("pay_count").alias("pay_count"), F.sum("money").alias("money"), F.sum("money_rmb").alias("money_rmb")
     )
@@ -164,19 +175,34 @@ def monthly_metrics(daily: DataFrame, info: DataFrame, window: RunWindow) -> Dat
     )
 
 
-def kpi_monthly(daily: DataFrame, info: DataFrame, window: RunWindow) -> DataFrame:
+def kpi_monthly(daily: DataFrame, info: DataFrame, window: RunWindow, history: DataFrame | None = None) -> DataFrame:
     """Monthly KPIs over every combination of the observed months and dimension values.
 
     Runs over whole months, so that a window starting mid-month neither splits nor
-    repeats one; running sums start at its first month.
+    repeats one. Running sums start at its first month; with ``history`` (the stored report) they continue from the last
+    month before it, and values of a dimension that were reported before stay on its axis. So a month's running sums are the
+    same whether it is computed alone or together with the months before.
     """
-    metrics = settle(monthly_metrics(daily, info, window.whole_months()))
-    grid = axis_grid(metrics.select("zone_id").distinct(), metrics, ["month", "channel", "os"])
+    window = window.whole_months()
+    metrics = settle(monthly_metrics(daily, info, window))
+    seen = metrics.select(*DIMS)
+    if history is not None:
+        earlier = history.where(F.col("part_month") < window.start_date)
+        last = F.max(F.struct("part_month", "new_users_ac", "moneyrmb_ac"))
+        reached = settle(earlier.groupBy(*DIMS).agg(last.alias("last")).select(
+            *DIMS, F.col("last.new_users_ac").alias("_users"), F.col("last.moneyrmb_ac").alias("_money")))
+        seen = seen.unionByName(reached.select(*DIMS))
+    grid = axis_grid(seen.select("zone_id").distinct(), metrics, ["month"])
+    grid = axis_grid(grid, seen, ["channel", "os"])
     report = _same_dims(grid, metrics, "month")
-    return report.withColumns(
-        {
-            "new_users_ac": running_total("new_users", DIMS, "month"),
-            "moneyrmb_ac": running_total("money_rmb", DIMS, "month"),
-            "part_month": day_text(F.col("month")),
-        }
-    )
+    sums = {"new_users_ac": running_total("new_users", DIMS, "month"), "moneyrmb_ac": running_total("money_rmb", DIMS, "month")}
+    report = report.withColumns({**sums, "part_month": day_text(F.col("month"))})
+    if history is None:
+        return report
+    known = report.join(reached, list(DIMS), "left")
+
+    def carried(total: str, before: str):
+        both = F.coalesce(total, F.lit(0)) + F.coalesce(before, F.lit(0))
+        return F.when(F.col(total).isNotNull() | F.col(before).isNotNull(), both)
+
+    return known.withColumns({"new_users_ac": carried("new_users_ac", "_users"), "moneyrmb_ac": carried("moneyrmb_ac", "_money")}).drop("_users", "_money")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rolemart.config import Game, RunWindow
+from rolemart.config import MAX_LATE_DAYS, Game, RunWindow
 from rolemart.functions.dates import days_between, hour_of
 from rolemart.functions.money import LEDGER
 from rolemart.operators.grids import running_total
@@ -13,19 +13,37 @@ from rolemart.operators.users import mark_test_users, user_metrics, with_user_at
 _PARTITION_KEYS = ("role_id", "part_date")
 _DAY_KEYS = (*_PARTITION_KEYS, "date")
 _ACCOUNT = ("zone_id", "channel", "os")
+#: What a partition day keeps for each event date.
+EVENT_DAY = {"online_time": "bigint", "pay_count": "bigint", "money": "decimal(32,4)", "money_rmb": "decimal(32,4)", "web_rmb": "decimal(32,4)"}
 _PAY_FIRST = "struct<pay_ts:timestamp_ntz,good_id:string,level:bigint>"
 
 
+def _by_event_day(parts: Column) -> Column:
+    """One entry per event date, in date order, from the partial sums of a user's partition day."""
+
+    def total(metric: str, kind: str) -> Column:
+        def of_day(day: Column) -> Column:
+            known = F.filter(parts, lambda p: (p["date"] == day) & p[metric].isNotNull())
+            summed = F.aggregate(known, F.lit(0).cast(kind), lambda n, p: (n + p[metric]).cast(kind))
+            return summed if metric != "online_time" else F.when(F.size(known) > 0, summed)
+
+        return of_day
+
+    totals = {m: total(m, t) for m, t in EVENT_DAY.items()}
+    dates = F.array_sort(F.array_distinct(F.filter(F.transform(parts, lambda p: p["date"]), lambda d: d.isNotNull())))
+    return F.transform(dates, lambda d: F.struct(d.alias("date"), *(f(d).alias(m) for m, f in totals.items())))
+
+
 def user_daily(base_log: DataFrame, payment_log: DataFrame, test_accounts: DataFrame) -> DataFrame:
     """One row per user and partition day: levels, time online, payments, and the day's last account attributes.
 
-    Events of other days that arrived in the partition belong to its row, which carries the latest event date.
+    Events of other days that arrived in the partition belong to its row, which carries the latest event date. ``days`` holds
+    what the row has of each event date, so that reports by event date (``event_days``) find every event in its own day.
 
     Each log is reduced to user-days before the two meet, so the meeting is one grouping of
     small rows and needs no join. A payment without any other activity still counts.
     """
-    activity = base_log.groupBy(*_PARTITION_KEYS, *_ACCOUNT).agg(
-        F.max("date").alias("date"),
+    activity = base_log.groupBy(*_DAY_KEYS, *_ACCOUNT).agg(
         F.min("level").alias("level_min"),
         F.max("level").alias("level_max"),
         F.min("vip_level").alias("viplevel_min"),
@@ -33,8 +51,7 @@ def user_daily(base_log: DataFrame, payment_log: DataFrame, test_accounts: DataF
         F.sum("online_time").alias("online_time"),
         F.max("event_time").alias("login_ts"),
     )
-    payments = payment_log.groupBy(*_PARTITION_KEYS).agg(
-        F.max("date").alias("date"),
+    payments = payment_log.groupBy(*_DAY_KEYS).agg(
         F.min("exchange_rate").alias("exchange_rate"),
         F.count("money").alias("pay_count"),
         F.sum("money").alias("money"),
@@ -60,20 +77,59 @@ def user_daily(base_log: DataFrame, payment_log: DataFrame, test_accounts: DataF
             *[F.coalesce(F.sum(c).cast(LEDGER), zero).alias(c) for c in ("money", "money_rmb", "web_rmb")],
             F.min("pay_first").cast(_PAY_FIRST).alias("pay_first"),
             account.alias("account"),
+            F.collect_list(F.struct("date", *EVENT_DAY)).alias("parts"),
         )
-        .select("*", "account.*")
-        .drop("account")
+        .select("*", "account.*", _by_event_day(F.col("parts")).alias("days"))
+        .drop("account", "parts")
     )
     return mark_test_users(merged, test_accounts)
 
 
+def with_days(daily: DataFrame) -> DataFrame:
+    """User-days with ``days``; rows of another origin than ``user_daily`` have their own date as the only one."""
+    if "days" in daily.columns:
+        return daily
+    known = (F.col(c).cast(t).alias(c) if c in daily.columns else F.lit(None).cast(t).alias(c) for c, t in EVENT_DAY.items())
+    return daily.withColumn("days", F.array(F.struct("date", *known)))
+
+
+def _in_time(day: Column, max_late_days: int) -> Column:
+    """Whether an event date may stand in its partition: not after it, and not further back than events can be late."""
+    part = F.to_date("part_date")
+    return day.between(F.date_sub(part, max_late_days), part)
+
+
+def event_days(daily: DataFrame, max_late_days: int = MAX_LATE_DAYS) -> DataFrame:
+    """User-days unfolded to one row per user, partition and event date, with the sums of that date.
+
+    Dates that no lateness explains (a clock at 1970, or ahead) are left out here; ``stray_days`` counts them. Other columns
+    are those of the partition day.
+    """
+    others = [c for c in daily.columns if c not in ("date", "days", *EVENT_DAY)]
+    rows = with_days(daily).select(*others, F.explode("days").alias("_day")).where(_in_time(F.col("_day.date"), max_late_days))
+    return rows.select(*others, "_day.*")
+
+
+def stray_days(daily: DataFrame, max_late_days: int = MAX_LATE_DAYS) -> DataFrame:
+    """Per partition and impossible event date: users, payments and money that reports by event date leave out."""
+    rows = with_days(daily).select("part_date", "role_id", F.explode("days").alias("_day")).where(~_in_time(F.col("_day.date"), max_late_days))
+    return rows.groupBy("part_date", F.col("_day.date").alias("date")).agg(
+        F.count(F.lit(1)).alias("users"), F.sum("_day.pay_count").alias("pay_count"), F.sum("_day.money_rmb").cast(LEDGER).alias("money_rmb"))
+
+
+def first_event_date(max_late_days: int = MAX_LATE_DAYS) -> Column:
+    """The earliest event date of a user's partition day that lateness explains."""
+    return F.array_min(F.filter(F.transform("days", lambda d: d["date"]), lambda d: _in_time(d, max_late_days)))
+
+
 def user_info(daily: DataFrame) -> DataFrame:
     """One row per user: install, last login, lifetime payments, first payment, latest attributes."""
     account = F.max_by(F.struct(*_ACCOUNT), F.when(F.col("login_ts").isNotNull(), F.struct("login_ts", *_ACCOUNT)))
+    first_day = F.coalesce(first_event_date(), "date") if "days" in daily.columns else F.col("date")
     return (
         daily.groupBy("role_id")
         .agg(
-            F.min("date").alias("install_date"),
+            F.min(first_day).alias("install_date"),
             F.max("login_ts").alias("lastlogin_ts"),
             F.sum("money_rmb").cast(LEDGER).alias("moneyrmb_ac"),
             F.min("pay_first").alias("first"),
@@ -163,9 +219,9 @@ def core_snapshot(core_log: DataFrame, game: Game) -> DataFrame:
 
 
 def event_span(daily: DataFrame, window: RunWindow) -> RunWindow:
-    """The window, begun at the earliest event date in its partitions if that lies before it."""
-    rows = daily.where(F.col("part_date").between(window.start_date, window.end_date))
-    earliest = rows.agg(F.min("date").cast("string").alias("first")).first()["first"]
+    """The window, begun at the earliest event date in its partitions if that lies before it, by ``MAX_LATE_DAYS`` at most."""
+    rows = with_days(daily).where(F.col("part_date").between(window.start_date, window.end_date))
+    earliest = rows.agg(F.min(first_event_date()).cast("string").alias("first")).first()["first"]
     return RunWindow(min(earliest or window.start_date, window.start_date), window.end_date)
 
 
@@ -209,7 +265,7 @@ def retention_daily(daily: DataFrame, info: DataFrame, window: RunWindow | None
 
 def user_retention(daily: DataFrame, info: DataFrame) -> DataFrame:
     """Active users per install day and days since install."""
-    rows = with_user_attrs(daily, info, ["install_date"]).withColumn(
+    rows = with_user_attrs(event_days(daily), info, ["install_date"]).withColumn(
         "retention_day", days_between(F.col("install_date"), F.col("date")).cast("bigint")
     )
     return user_metrics(rows, ["install_date", "retention_day"], {"active_users": None}).withColumnRenamed(

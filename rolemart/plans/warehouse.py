@@ -45,11 +45,15 @@ class Warehouse:
 
     def compute(self, model: str, window: RunWindow) -> DataFrame:
         """The model's rows for the window, in the declared columns, not yet written."""
-        return conform(MODELS[model](self, window), TABLES[model])
+        return self._rows(model, self.written(model, window))
+
+    def _rows(self, model: str, written: RunWindow) -> DataFrame:
+        return conform(MODELS[model](self, written), TABLES[model])
 
     def refresh(self, model: str, window: RunWindow) -> DataFrame:
         """Compute the model, write it and return the stored table."""
-        write_table(self.compute(model, window), TABLES[model], self.path(model), self.written(model, window))
+        written = self.written(model, window)  # asked once, so that what is computed and what is replaced agree
+        write_table(self._rows(model, written), TABLES[model], self.path(model), written)
         return self.table(model)
 
     def written(self, model: str, window: RunWindow) -> RunWindow:
@@ -88,7 +92,7 @@ def _kpi_daily(wh: Warehouse, w: RunWindow) -> DataFrame:
     history = wh.table("ads_kpi_daily", may_be_absent=True) if wh.carry_history else None
     return kpi.kpi_daily(
         wh.table("dws_user_daily"), wh.table("dws_user_daily_derive"), wh.table("dws_user_info"),
-        wh.written("ads_kpi_daily", w), history, by_event_day=wh.late_days,
+        w, history, by_event_day=wh.late_days,
     )
 
 
@@ -115,7 +119,7 @@ MODELS: dict[str, Callable[[Warehouse, RunWindow], DataFrame]] = {
         wh.table("dws_user_hourly"), wh.table("dws_user_daily_derive"), wh.table("dws_user_info"), _recent(w)
     ),
     "ads_kpi_monthly": lambda wh, w: kpi.kpi_monthly(
-        wh.table("dws_user_daily"), wh.table("dws_user_info"), wh.written("ads_kpi_monthly", w)
+        wh.table("dws_user_daily"), wh.table("dws_user_info"), w, wh.table("ads_kpi_monthly", may_be_absent=True)
     ),
     "ads_level_daily": lambda wh, w: distribution.level_daily(wh.table("dws_user_daily"), wh.table("dws_user_info"), w),
     "ads_viplevel_daily": lambda wh, w: distribution.viplevel_daily(

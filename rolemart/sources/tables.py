@@ -51,7 +51,8 @@ TABLES = {
             "online_time bigint, exchange_rate decimal(12,6), pay_count bigint, money decimal(32,4), "
             "money_rmb decimal(32,4), web_rmb decimal(32,4), is_test int, login_ts timestamp_ntz, zone_id string, "
             "channel string, os string, pay_first struct<pay_ts:timestamp_ntz,good_id:string,level:bigint>, "
-            "part_date string",
+            "days array<struct<date:date,online_time:bigint,pay_count:bigint,money:decimal(32,4),money_rmb:decimal(32,4),"
+            "web_rmb:decimal(32,4)>>, part_date string",
             "part_date",
         ),
         Table(

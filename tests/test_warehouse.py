@@ -182,6 +182,89 @@ def test_daily_reports_hold_late_days_where_asked_for(late_wh):
     assert rows_of(february.selectExpr("cast(date as string) d", "cast(money_rmb as double) r")) == [("2024-02-01", 2.0)]
 
 
+def _late_base(role, day, part):
+    return (role, datetime.fromisoformat(f"{day} 10:00:00"), date.fromisoformat(day), part, "1", "c", "ios", 1, 0, 5)
+
+
+def _late_pay(role, day, part, money):
+    return (role, datetime.fromisoformat(f"{day} 11:00:00"), date.fromisoformat(day), part, "x", Decimal(money), Decimal(money), None, Decimal("1"), 1)
+
+
+@pytest.fixture
+def month_wh(spark, frame, tmp_path):
+    """A warehouse over given (role, day, partition) activity and (role, day, partition, money) payments, not refreshed yet."""
+
+    def build(seen, paid, name):
+        wh = Warehouse(spark, str(tmp_path / name), Game("g"))
+        raw = f"{tmp_path / name}/{wh.game.raw_schema}"
+        frame(LATE_BASE, *[_late_base(*x) for x in seen]).write.partitionBy("part_date").parquet(f"{raw}/base_log")
+        frame(LATE_PAY, *[_late_pay(*x) for x in paid]).write.partitionBy("part_date").parquet(f"{raw}/payment_log")
+        frame("role_id string").write.parquet(f"{raw}/test_accounts")
+        return wh
+
+    return build
+
+
+JAN, FEB = RunWindow("2024-01-01", "2024-01-31"), RunWindow("2024-02-01", "2024-02-29")
+MONTHLY = ("cast(month as string) m", "new_users n", "active_users u", "cast(money_rmb as double) r", "new_users_ac na", "cast(moneyrmb_ac as double) ra")
+
+
+def _run_months(wh, *windows):
+    for window in windows:
+        for model in ("dws_user_daily", "dws_user_info", "ads_kpi_monthly"):
+            wh.refresh(model, window)
+    return rows_of(wh.table("ads_kpi_monthly").where("active_users is not null").selectExpr(*MONTHLY))
+
+
+def test_late_money_of_a_user_who_comes_back_stays_in_its_month(month_wh):
+    """u pays 50 on 31 January, which arrives on 1 February, and is also seen that day."""
+    seen = [("u", "2024-01-31", "2024-02-01"), ("u", "2024-02-01", "2024-02-01"), ("v", "2024-01-31", "2024-01-31"), ("v", "2024-02-01", "2024-02-01")]
+    paid = [("u", "2024-01-31", "2024-02-01", 50), ("v", "2024-01-31", "2024-01-31", 1), ("v", "2024-02-01", "2024-02-01", 2)]
+    wh = month_wh(seen, paid, "back")
+    assert _run_months(wh, JAN, FEB) == [("2024-01-01", 2, 2, 51.0, 2, 51.0), ("2024-02-01", 0, 2, 2.0, 2, 53.0)]
+    daily = wh.table("dws_user_daily")
+    assert daily.groupBy("role_id", "part_date").count().where("count > 1").isEmpty()
+    row = daily.where("role_id = 'u'").first()
+    assert [(str(d["date"]), d["pay_count"], d["money"], d["online_time"]) for d in row["days"]] == [
+        ("2024-01-31", 1, Decimal("50.0000"), 5), ("2024-02-01", 0, Decimal("0.0000"), 5)]
+    assert str(wh.table("dws_user_info").where("role_id = 'u'").first()["install_date"]) == "2024-01-31"
+
+
+@pytest.mark.parametrize("late", [True, False])
+def test_running_totals_do_not_depend_on_the_order_of_runs(month_wh, late):
+    seen = [("u", "2024-01-30", "2024-01-30"), ("v", "2024-02-03", "2024-02-03")] + [("w", "2024-01-31", "2024-02-02")] * late
+    paid = [("u", "2024-01-30", "2024-01-30", 3), ("v", "2024-02-03", "2024-02-03", 4)] + [("w", "2024-01-31", "2024-02-02", 5)] * late
+    both = RunWindow("2024-01-01", "2024-02-29")
+    orders = {"one": (both,), "two": (JAN, FEB), "again": (JAN, FEB, FEB, JAN, FEB)}
+    found = {name: _run_months(month_wh(seen, paid, name), *windows) for name, windows in orders.items()}
+    assert found["one"] == found["two"] == found["again"]
+    money = 8.0 if late else 3.0
+    assert found["one"] == [("2024-01-01", 1 + late, 1 + late, money, 1 + late, money), ("2024-02-01", 1, 1, 4.0, 2 + late, money + 4)]
+
+
+def test_a_wrong_clock_reaches_no_report_and_is_counted(month_wh):
+    from rolemart.plans import upstream
+
+    seen = [("u", "2024-02-01", "2024-02-01"), ("u", "1970-01-01", "2024-02-01"), ("u", "2024-03-01", "2024-02-01")]
+    paid = [("u", "1970-01-01", "2024-02-01", 7), ("u", "2024-02-01", "2024-02-01", 2)]
+    wh = month_wh(seen, paid, "clock")
+    assert _run_months(wh, FEB) == [("2024-02-01", 1, 1, 2.0, 1, 2.0)]
+    assert wh.written("ads_kpi_monthly", FEB) == FEB
+    stray = upstream.stray_days(wh.table("dws_user_daily")).selectExpr("part_date", "cast(date as string)", "users", "pay_count", "cast(money_rmb as double)")
+    assert rows_of(stray) == [("2024-02-01", "1970-01-01", 1, 1, 7.0), ("2024-02-01", "2024-03-01", 1, 0, 0.0)]
+    assert wh.table("dws_user_daily").first()["money_rmb"] == 9  # the partition's own total still has all of it
+
+
+def test_late_reports_read_a_bounded_range_of_partitions(month_wh):
+    wh = month_wh([("u", "2024-01-30", "2024-01-30")], [("u", "2024-01-30", "2024-01-30", 3)], "bounded")
+    wh.refresh("dws_user_daily", JAN)
+    wh.refresh("dws_user_info", JAN)
+    from rolemart.plans import kpi
+
+    plan = kpi.monthly_metrics(wh.table("dws_user_daily"), wh.table("dws_user_info"), JAN)._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-01" in plan.split("PartitionFilters: [")[1].split("]")[0] and "2024-04-02" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_one_row_per_user_and_partition_day(spark):
     t = Logs(spark, SF_DIR)
     from rolemart.plans import upstream
