@@ -9,6 +9,7 @@ from rolemart.functions.nested import zipped
 from rolemart.functions.text import digit_at
 from rolemart.operators.details import explode_details
 from rolemart.operators.users import user_metrics
+from rolemart.plans.state import Mergeable
 from rolemart.sources.logs import trailing
 
 
@@ -45,6 +46,21 @@ def artifact_best(artifacts: DataFrame) -> DataFrame:
     return rows.groupBy("role_id", "artifact_id").agg(F.max("level").alias("artifact_level"))
 
 
+#: The best states can be merged over any sets of days.
+HEROES = Mergeable(("role_id", "hero_id"), hero_best, {"hero_level": "max", "hero_power": "max", "hero_star": "max"})
+FLAGS = Mergeable(("role_id", "flag_id"), flag_best, {"flag_level": "max", "flag_star": "max", "flag_awake": "max"})
+ARTIFACTS = Mergeable(("role_id", "artifact_id"), artifact_best, {"artifact_level": "max"})
+
+
+def first_seen(hero_log: DataFrame) -> DataFrame:
+    """The first day a hero was seen in a zone."""
+    hero, zone = F.col("hero_id").cast("string").alias("hero_id"), F.col("zone_id").cast("string").alias("zone_id")
+    return hero_log.groupBy(hero, zone).agg(F.min(F.to_date("event_time")).alias("start_date"))
+
+
+FIRST_SEEN = Mergeable(("hero_id", "zone_id"), first_seen, {"start_date": "min"})
+
+
 def item_end(items: DataFrame, game: Game, latest_only: bool = False) -> DataFrame:
     """Balance of tracked items: one row per user, item and snapshot day, or only the last one.
 
@@ -65,9 +81,13 @@ def item_end(items: DataFrame, game: Game, latest_only: bool = False) -> DataFra
 
 
 def hero_upgrade(
-    star_log: DataFrame, hero_log: DataFrame, daily: DataFrame, info: DataFrame, end_date: str, days: int = TRAILING_DAYS
+    star_log: DataFrame, hero_log: DataFrame, daily: DataFrame, info: DataFrame, end_date: str, days: int = TRAILING_DAYS,
+    seen_first: DataFrame | None = None,
 ) -> DataFrame:
-    """Star upgrades of the trailing days next to holders, first sight of the hero and active users."""
+    """Star upgrades of the trailing days next to holders, first sight of the hero and active users.
+
+    ``seen_first`` has the first days where they are known; otherwise the whole hero log is read for them.
+    """
     hero, zone = F.col("hero_id").cast("string").alias("hero_id"), F.col("zone_id").cast("string").alias("zone_id")
     raised = trailing(star_log, end_date, days).select(
         "role_id", zone, F.col("hero").cast("string").alias("hero_id"),
@@ -79,13 +99,12 @@ def hero_upgrade(
     )
     best = trailing(hero_log, end_date, days).groupBy("role_id", hero, zone).agg(F.max("herostar").alias("hero_star"))
     holders = user_metrics(best, ["hero_id", "zone_id", "hero_star"], {"hold_users": None})
-    first_seen = hero_log.groupBy(hero, zone).agg(F.min(F.to_date("event_time")).alias("start_date"))
     seen = trailing(daily, end_date, days).select("role_id").distinct()
     active = user_metrics(
         seen.join(info.select("role_id", "zone_id"), "role_id", "left"), ["zone_id"], {"active_users": None}
     )
     return (
         upgrades.join(holders, ["hero_id", "zone_id", "hero_star"], "left")
-        .join(first_seen, ["hero_id", "zone_id"], "left")
+        .join(first_seen(hero_log) if seen_first is None else seen_first, ["hero_id", "zone_id"], "left")
         .join(active, "zone_id", "left")
     )

@@ -9,6 +9,7 @@ from rolemart.functions.dates import days_between, hour_of
 from rolemart.functions.money import LEDGER
 from rolemart.operators.grids import running_total
 from rolemart.operators.users import mark_test_users, user_metrics, with_user_attrs
+from rolemart.plans.state import Mergeable
 
 _PARTITION_KEYS = ("role_id", "part_date")
 _DAY_KEYS = (*_PARTITION_KEYS, "date")
@@ -122,31 +123,45 @@ def first_event_date(max_late_days: int = MAX_LATE_DAYS) -> Column:
     return F.array_min(F.filter(F.transform("days", lambda d: d["date"]), lambda d: _in_time(d, max_late_days)))
 
 
-def user_info(daily: DataFrame) -> DataFrame:
-    """One row per user: install, last login, lifetime payments, first payment, latest attributes."""
-    account = F.max_by(F.struct(*_ACCOUNT), F.when(F.col("login_ts").isNotNull(), F.struct("login_ts", *_ACCOUNT)))
+def user_partials(daily: DataFrame) -> DataFrame:
+    """What ``user_info`` needs of a user's days, in a form that can be merged with that of other days."""
     first_day = F.coalesce(first_event_date(), "date") if "days" in daily.columns else F.col("date")
-    return (
-        daily.groupBy("role_id")
-        .agg(
-            F.min(first_day).alias("install_date"),
-            F.max("login_ts").alias("lastlogin_ts"),
-            F.sum("money_rmb").cast(LEDGER).alias("moneyrmb_ac"),
-            F.min("pay_first").alias("first"),
-            account.alias("account"),
-            F.max("viplevel_max").alias("vip_level"),
-            F.max("is_test").alias("is_test"),
-        )
-        .select(
-            "role_id", "install_date", "lastlogin_ts", "moneyrmb_ac",
-            F.to_date("first.pay_ts").alias("firstpay_date"),
-            F.col("first.good_id").alias("firstpay_goodid"),
-            F.col("first.level").alias("firstpay_level"),
-            "account.*", "vip_level", "is_test",
-        )
+    money = F.col("money") if "money" in daily.columns else F.lit(None).cast(LEDGER)
+    return daily.groupBy("role_id").agg(
+        F.min(first_day).alias("install_date"),
+        F.max("login_ts").alias("lastlogin_ts"),
+        F.sum(money).cast(LEDGER).alias("money_ac"),
+        F.sum("money_rmb").cast(LEDGER).alias("moneyrmb_ac"),
+        F.min("pay_first").alias("first"),
+        F.max(F.when(F.col("login_ts").isNotNull(), F.struct("login_ts", *_ACCOUNT))).alias("latest"),
+        F.max("viplevel_max").alias("vip_level"),
+        F.max("is_test").alias("is_test"),
     )
 
 
+#: Per user over any set of days: totals, first payment and latest account.
+USERS = Mergeable(
+    ("role_id",), user_partials,
+    {"install_date": "min", "lastlogin_ts": "max", "money_ac": "sum", "moneyrmb_ac": "sum", "first": "min", "latest": "max", "vip_level": "max", "is_test": "max"},
+)
+
+
+def user_info_of(users: DataFrame) -> DataFrame:
+    """The user table from merged ``USERS`` rows."""
+    return users.select(
+        "role_id", "install_date", "lastlogin_ts", "moneyrmb_ac",
+        F.to_date("first.pay_ts").alias("firstpay_date"),
+        F.col("first.good_id").alias("firstpay_goodid"),
+        F.col("first.level").alias("firstpay_level"),
+        *(F.col(f"latest.{c}").alias(c) for c in _ACCOUNT), "vip_level", "is_test",
+    )
+
+
+def user_info(daily: DataFrame) -> DataFrame:
+    """One row per user: install, last login, lifetime payments, first payment, latest attributes."""
+    return user_info_of(user_partials(daily))
+
+
 def user_daily_derive(daily: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """Cumulative payments and lifecycle flags per user-day.
 

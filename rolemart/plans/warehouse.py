@@ -8,12 +8,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolemart.config import TRAILING_DAYS, Game, RunWindow
 from rolemart.plans import distribution, holdings, kpi, ledger, snapshots, upstream
+from rolemart.plans.state import Checkpoints
 from rolemart.sources.logs import in_window
 from rolemart.sources.lookups import currency_rates
-from rolemart.sources.sinks import read_table, write_table
+from rolemart.sources.sinks import last_partition, read_table, write_table
 from rolemart.sources.tables import TABLES, conform
 
 
+#: Models that keep merged state: the table or log they are merged from, and how.
+STATES = {
+    "dws_user_info": ("dws_user_daily", upstream.USERS),
+    "ads_hero": ("dws_hero_snapshot", holdings.HEROES),
+    "ads_flag": ("dws_flag_snapshot", holdings.FLAGS),
+    "ads_artifact": ("dws_artifact_snapshot", holdings.ARTIFACTS),
+    "ads_hero_upgrade": ("herosnap_log", holdings.FIRST_SEEN),
+}
+
+
 class Warehouse:
     """``<root>/<game>_r`` holds the raw logs, ``<root>/<game>_w`` the tables built from them."""
 
@@ -53,14 +64,24 @@ class Warehouse:
     def refresh(self, model: str, window: RunWindow) -> DataFrame:
         """Compute the model, write it and return the stored table."""
         written = self.written(model, window)  # asked once, so that what is computed and what is replaced agree
+        for name, (source, _) in STATES.items():
+            if source == model:  # before the rows change: a checkpoint over them must not outlive them
+                self.state(name).forget(written.start_date)
         write_table(self._rows(model, written), TABLES[model], self.path(model), written)
         return self.table(model)
 
+    def state(self, name: str) -> Checkpoints:
+        """Checkpoints of a model that is merged over all days."""
+        return Checkpoints(self.spark, f"{self._mart}_state/{name}", STATES[name][1])
+
     def written(self, model: str, window: RunWindow) -> RunWindow:
         """The partitions a run replaces. A monthly report covers whole months from the earliest event month on that the
         window's rows touch, so an event that arrives late reaches the month it belongs to."""
         if TABLES[model].partition == "part_month":
             return upstream.event_span(self.table("dws_user_daily"), window.whole_months()).whole_months()
+        if model == "dws_user_daily_derive":  # running totals and first days of all later rows follow from the window's
+            last = last_partition(self.spark, self.path("dws_user_daily"), "part_date")
+            return RunWindow(window.start_date, max(window.end_date, last or window.end_date))
         if model == "ads_kpi_daily" and self.late_days:
             return upstream.event_span(self.table("dws_user_daily"), window)
         return window
@@ -76,9 +97,21 @@ def _user_daily(wh: Warehouse, w: RunWindow) -> DataFrame:
     )
 
 
+def _merged(name: str, rows: DataFrame, wh: Warehouse, w: RunWindow) -> DataFrame:
+    return wh.state(name).advance(rows, w)
+
+
 def _derive(wh: Warehouse, w: RunWindow) -> DataFrame:
-    earlier = wh.table("dws_user_daily_derive", may_be_absent=True).where(F.col("part_date") < w.start_date)
-    return upstream.user_daily_derive(in_window(wh.table("dws_user_daily"), w), earlier)
+    daily = wh.table("dws_user_daily")
+    return upstream.user_daily_derive(in_window(daily, w), wh.state("dws_user_info").before(daily, w.start_date))
+
+
+def _hero_upgrade(wh: Warehouse, w: RunWindow) -> DataFrame:
+    log = wh.log("herosnap_log")
+    seen_first = _merged("ads_hero_upgrade", log, wh, w)
+    return holdings.hero_upgrade(
+        wh.log("upgraderare_log"), log, wh.table("dws_user_daily"), wh.table("dws_user_info"), w.end_date, seen_first=seen_first
+    )
 
 
 def _token_monthly(wh: Warehouse, w: RunWindow) -> DataFrame:
@@ -102,7 +135,7 @@ def _recent(w: RunWindow) -> RunWindow:
 
 MODELS: dict[str, Callable[[Warehouse, RunWindow], DataFrame]] = {
     "dws_user_daily": _user_daily,
-    "dws_user_info": lambda wh, w: upstream.user_info(wh.table("dws_user_daily")),
+    "dws_user_info": lambda wh, w: upstream.user_info_of(_merged("dws_user_info", wh.table("dws_user_daily"), wh, w)),
     "dws_user_daily_derive": _derive,
     "dws_user_hourly": lambda wh, w: upstream.user_hourly(
         in_window(wh.log("base_log"), w), in_window(wh.log("payment_log"), w)
@@ -129,12 +162,10 @@ MODELS: dict[str, Callable[[Warehouse, RunWindow], DataFrame]] = {
     "ads_item": lambda wh, w: distribution.item_daily(wh.table("dws_item_snapshot"), wh.table("dws_user_info"), w),
     "ads_item_end": lambda wh, w: holdings.item_end(wh.table("dws_item_snapshot"), wh.game, wh.latest_items_only),
     "ads_summon": lambda wh, w: distribution.summon_daily(wh.table("dws_summon_snapshot"), wh.table("dws_user_info"), w),
-    "ads_hero": lambda wh, w: holdings.hero_best(wh.table("dws_hero_snapshot")),
-    "ads_flag": lambda wh, w: holdings.flag_best(wh.table("dws_flag_snapshot")),
-    "ads_artifact": lambda wh, w: holdings.artifact_best(wh.table("dws_artifact_snapshot")),
-    "ads_hero_upgrade": lambda wh, w: holdings.hero_upgrade(
-        wh.log("upgraderare_log"), wh.log("herosnap_log"), wh.table("dws_user_daily"), wh.table("dws_user_info"), w.end_date
-    ),
+    "ads_hero": lambda wh, w: _merged("ads_hero", wh.table("dws_hero_snapshot"), wh, w),
+    "ads_flag": lambda wh, w: _merged("ads_flag", wh.table("dws_flag_snapshot"), wh, w),
+    "ads_artifact": lambda wh, w: _merged("ads_artifact", wh.table("dws_artifact_snapshot"), wh, w),
+    "ads_hero_upgrade": _hero_upgrade,
     "ads_active_daily": lambda wh, w: upstream.active_daily(in_window(wh.table("dws_user_daily"), w)),
     "ads_core_addreason": lambda wh, w: upstream.core_by_reason(
         in_window(wh.table("dws_core_snapshot"), w), wh.table("dws_user_info"), "coregain_detail", "core_add"

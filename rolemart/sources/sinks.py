@@ -12,7 +12,8 @@ from rolemart.config import RunWindow
 from rolemart.sources.tables import Table, conform
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
@@ -29,9 +30,16 @@ def _stored_days(spark: SparkSession, path: str, column: str, window: RunWindow)
     return found
 
 
+def last_partition(spark: SparkSession, path: str, column: str) -> str | None:
+    """The greatest partition value of a stored table, from the names of its folders."""
+    fs, root = file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return max((n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=") and "__HIVE_DEFAULT" not in n), default=None)
+
+
 def _list_files(spark: SparkSession, folder: str) -> set[str] | None:
     """Data files of a folder, None if it is not there."""
-    fs, target = _fs(spark, folder)
+    fs, target = file_system(spark, folder)
     if not fs.exists(target):
         return None
     names = {f.getPath().getName() for f in fs.listStatus(target)}
@@ -73,7 +81,7 @@ def overwrite_range(df: DataFrame, table: Table, path: str, window: RunWindow) -
     )
     for value, files in _stored_days(spark, path, column, window).items():
         if files <= before.get(value, set()):
-            fs, stale = _fs(spark, f"{path}/{column}={value}")
+            fs, stale = file_system(spark, f"{path}/{column}={value}")
             fs.delete(stale, True)
 
 
@@ -90,7 +98,7 @@ def full_refresh(df: DataFrame, table: Table, path: str) -> None:
     writer = _balanced(conform(df, table), table).write.mode("errorifexists")
     if table.partition:
         writer = writer.partitionBy(table.partition)
-    fs, target = _fs(spark, path)
+    fs, target = file_system(spark, path)
     try:
         writer.parquet(incoming.toString())
     except Exception:
