@@ -8,12 +8,11 @@ A byte goes if a string of ``size`` bytes around it also starts in a document wi
 2. Segments. Each shared anchor is cut out with all windows it anchors. Segments with equal anchors meet in one bucket. A
    task sends a segment once, for the smallest document that has it there; for its other documents the segment is
    a repeat as a whole. So a passage that a third of the corpus shares is sent once per task.
-3. Index. Where all segments of an anchor are the same they are settled as a whole. Of the others, a bucket sorts the windows, and keeps the Burrows-Wheeler transform of that
-   order (the byte before each window) as runs, with a sample at each run's head: the document there. Runs end where the
-   windows stop being equal, and ties are in the order of the documents, so the sample at the head of a group of equal
-   windows is its smallest document. In a repetitive bucket there are few runs.
-4. Marking. Matching statistics are streamed over the runs: a window matches over its full length exactly when it is in the
-   group of its run's head, and the heads' samples say whether a smaller document has it. Matches go back to the document.
+3. Index. Where all segments of an anchor are the same they are settled as a whole. Of the others, a bucket sorts the windows,
+   and keeps the byte before each window as runs, with a sample at each run's head: the document there. Ties are in the order
+   of the documents, so the sample at the head of a group of equal windows is its smallest document.
+4. Marking. A window whose group's sample is a smaller document is a repeat, and goes back to its document. Groups decide this;
+   there is no backward search and no match length, so the runs save room and are not needed for the result.
 
 Everything a task holds is a chunk of anchors, a bucket of segments, or one document.
 """
@@ -34,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolemart.llm.common import bytes_of, landed, mixed
+from rolemart.llm.common import bytes_of, landed, mixed, tidy
 from rolemart.llm.exchange import batch_of, bucket_bits, cut, expected_units, shared_hashes
 
 _LAST = (1 << 63) - 1
@@ -70,7 +69,8 @@ class Anchoring:
             right = least[step:] < least[:-step]
             least, where = np.where(right, least[step:], least[:-step]), np.where(right, where[step:], where[:-step])
             reach += step
-        first = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1])))
+        # neighbours with one hash are one anchor: a stretch of equal bytes has one, however long it is
+        first = np.flatnonzero(np.concatenate(([True], (where[1:] != where[:-1]) & (least[1:] != least[:-1]))))
         return least[first], first, np.append(first[1:] - 1, n - 1)
 
 
@@ -246,9 +246,14 @@ def _segment_rows(anchoring: Anchoring, bits: int, buckets: int, hot, chunk_byte
         out = []
         for key, a, z, spread in zip(keys[at].tolist(), first[at].tolist(), last[at].tolist(), _is_hot(hot.value, keys[at]).tolist(), strict=True):
             if spread:
-                for start in range(a, z + 1):
-                    window = data[start : start + size]
-                    out.append((start, xxhash.xxh3_64_intdigest(window), window))
+                start = a
+                while start <= z:
+                    window, end = data[start : start + size], start + size
+                    if window == window[:1] * size:  # the windows of a stretch of one byte are all the same: one segment
+                        while end < z + size and data[end] == window[0]:
+                            end += 1
+                    out.append((start, xxhash.xxh3_64_intdigest(window), data[start:end]))
+                    start = end - size + 1
             else:
                 out.append((a, key, data[a : z + size]))
         return out
@@ -346,13 +351,13 @@ def remove_repeats(docs: DataFrame, size: int = 50, with_text: bool = False, oft
     bits = bucket_bits(int(n_bytes * 0.065))
     shared = landed(shared_hashes(read.select("owner", "data"), lambda x: anchoring.anchors(x)[0], bits), "shared-anchors")
     hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(shared, often, 1 + n_bytes // 1_000_000_000))
-    buckets = max(16, min(65_536, n_bytes // 5_000_000))
+    buckets = max(16, n_bytes // 2_500_000)
     # both joins read the same exchange of the texts
     held = read.join(shared.hint("shuffle_hash"), "owner", "left").select("owner", "doc_id", "data", "shared")
     marks = (
-        held.mapInArrow(_segment_rows(anchoring, bits, buckets, hot, 24_000_000), _SENT)
-        .groupBy("bucket").applyInArrow(_answer_bucket(size), _ANSWER)
-        .groupBy("chunk").applyInArrow(_settle_chunk(size), "owner binary, marks binary")
+        held.mapInArrow(tidy(_segment_rows(anchoring, bits, buckets, hot, 12_000_000)), _SENT)
+        .groupBy("bucket").applyInArrow(tidy(_answer_bucket(size)), _ANSWER)
+        .groupBy("chunk").applyInArrow(tidy(_settle_chunk(size)), "owner binary, marks binary")
         .groupBy("owner").agg(F.first("marks").alias("marks"))  # equal rows of two chunks have equal marks
     )
     out_kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * with_text
@@ -374,4 +379,4 @@ def remove_repeats(docs: DataFrame, size: int = 50, with_text: bool = False, oft
             yield batch_of(rows, out_kinds, out_names)
 
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return read.join(marks.hint("shuffle_hash"), "owner", "left").select("doc_id", "data", "marks").mapInArrow(finish, ddl)
+    return read.join(marks.hint("shuffle_hash"), "owner", "left").select("doc_id", "data", "marks").mapInArrow(tidy(finish), ddl)

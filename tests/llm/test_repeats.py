@@ -93,3 +93,21 @@ def test_run_index_is_a_run_length_transform():
     assert len(index.run_start) < len(starts)
     smallest = {w: min(d for v, d in zip(windows, owners, strict=True) if v == w) for w in windows}
     assert index.smallest_documents().tolist() == [smallest[w] for w in windows]
+
+
+def test_stretches_of_one_byte_are_one_anchor():
+    from rolemart.llm.repeats import Anchoring
+
+    hashes, first, last = Anchoring(50, 20).anchors(b"a unique beginning of thirty-some bytes " + b" " * 1_000_000 + b"and an end of the text, which is not long")
+    assert len(hashes) < 40 and (last - first).max() > 990_000
+    assert first[0] == 0 and (first[1:] == last[:-1] + 1).all()
+
+
+@pytest.mark.parametrize("often", [2, 256])
+def test_long_texts_of_little_variety(spark, often):
+    """Blanks, one period and a long copy, against brute force; columns of any further name pass unread."""
+    long = "".join(f"line {i % 97} of {i}\n" for i in range(4000))
+    texts = [" " * 3000, " " * 5000 + "x", "ab" * 2000, "ab" * 1500 + "c", long, "intro " + long + " outro", "y" + " " * 60, " " * 49]
+    docs = spark.createDataFrame([(i, t, "o", b"s", 1, None) for i, t in enumerate(texts)], "doc_id long, text string, owner string, shared binary, data int, marks string")
+    got = sorted(tuple(r) for r in repeats.remove_repeats(docs, often=often).collect())
+    assert got == sorted(brute.repeats([(i, t) for i, t in enumerate(texts)]))
