@@ -166,7 +166,7 @@ def user_daily_derive(daily: DataFrame, earlier: DataFrame | None = None) -> Dat
     """Cumulative payments and lifecycle flags per user-day.
 
     ``earlier`` (role_id, money_ac, moneyrmb_ac) carries the totals reached before the days
-    given, so a daily run need not read the whole history.
+    given; the stored state has them, so a daily run does not read the whole history.
     """
     order = Window.partitionBy("role_id").orderBy("part_date")
     if earlier is None:
