@@ -10,7 +10,7 @@ from rolemart.config import TRAILING_DAYS, RunWindow
 from rolemart.functions.nested import json_text
 from rolemart.operators.details import active_spine
 from rolemart.operators.users import lifecycle_days, with_user_attrs
-from rolemart.plans import distribution, holdings, kpi, ledger, upstream
+from rolemart.plans import actives, distribution, holdings, kpi, ledger, upstream
 from rolemart.sources.tables import TABLES, conform
 
 # ---- user-day snapshots; the detail arrays are shown as JSON text
@@ -169,6 +169,30 @@ def _(t: Logs):
     return conform(upstream.retention_daily(t.daily, t.info), TABLES["ads_retention_daily"])
 
 
+# ---- distinct users of longer periods, from bitmaps of days
+
+
+def _bitmaps(t: Logs) -> DataFrame:
+    return actives.day_bitmaps(t.daily, actives.number_users(t.daily))
+
+
+@query(
+    "active_users_monthly",
+    "SELECT CAST(date_trunc('month', CAST(part_date AS DATE)) AS DATE) AS month, count(DISTINCT role_id) AS active_users FROM daily GROUP BY ALL",
+)
+def _(t: Logs):
+    return actives.monthly_users(_bitmaps(t))
+
+
+@query(
+    "active_users_trailing",
+    "SELECT a.part_date, count(DISTINCT b.role_id) AS active_users FROM (SELECT DISTINCT part_date FROM daily) AS a JOIN daily AS b "
+    "ON CAST(a.part_date AS DATE) - CAST(b.part_date AS DATE) BETWEEN 0 AND 6 GROUP BY ALL",
+)
+def _(t: Logs):
+    return actives.trailing_users(_bitmaps(t), 7)
+
+
 @query(
     "ads_user_retention",
     "SELECT i.install_date AS date, CAST(d.date - i.install_date AS BIGINT) AS retention_day, count(DISTINCT d.role_id) AS active_users "

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
-from rolemart.config import Game
+from rolemart.config import MAX_LATE_DAYS, Game, RunWindow
 from rolemart.functions.dates import month_of, month_text, months_from_to
 from rolemart.functions.money import LEDGER, minor_to_home, unit_price
 from rolemart.functions.text import part_of
 from rolemart.operators.details import newest_row_value
 from rolemart.operators.lookups import join_lookup
 from rolemart.operators.months import with_previous_month
+from rolemart.plans.state import Checkpoints
+from rolemart.session import settle
 from rolemart.sources.logs import since
 from rolemart.sources.lookups import token_price
 
@@ -70,14 +75,35 @@ def user_months(payments: DataFrame, tokens: DataFrame) -> DataFrame:
     )
 
 
-def month_totals(months: DataFrame, as_of: str) -> DataFrame:
-    """Month sums in which every user counts from the first paying month on, with the last known balance.
+FLOWS = ("money_rmb", "token_get_by_pay", "token_get", "token_cost")
+_COUNTS = ("pay_users", "token_users", "_joined", "_moved", "_holders")
+#: Closed months. Rows with ``role_id``: a user's last paying month in them and its balance. Rows without: a month's changes.
+CLOSED = (
+    "role_id string, month date, token_remain bigint, money_rmb decimal(38,4), token_get_by_pay bigint, token_get bigint, "
+    "token_cost bigint, pay_users bigint, token_users bigint, _joined bigint, _moved bigint, _holders bigint"
+)
 
-    Instead of one row per user and month up to ``as_of``, each user-month contributes the
-    change it makes (a user more, a balance moved). The changes are added up per month, and
-    only those few month rows are spread over the months that follow.
+
+def open_since(day: str) -> str:
+    """The first month that events arriving after ``day`` can still reach; the months before it are closed."""
+    return (date.fromisoformat(day) - timedelta(days=MAX_LATE_DAYS)).replace(day=1).isoformat()
+
+
+def in_time(log: DataFrame) -> DataFrame:
+    """Events whose date lies in the ``MAX_LATE_DAYS`` up to their partition day; others are wrong clocks."""
+    part = F.to_date("part_date")
+    return log.where(F.col("date").between(F.date_sub(part, MAX_LATE_DAYS), part))
+
+
+def month_changes(months: DataFrame, closed: DataFrame | None = None) -> DataFrame:
+    """Per month its sums, and what its users change: users more, balances moved.
+
+    ``closed`` gives the balance a user brings from the closed months, and the changes of these months as they were.
     """
-    months = months.where(F.col("role_id").isNotNull())
+    months = months.where(F.col("role_id").isNotNull()).withColumn("_new", F.lit(True))
+    if closed is not None:
+        brought = closed.where(F.col("role_id").isNotNull()).select("role_id", "month", "token_remain", F.lit(False).alias("_new"))
+        months = months.unionByName(brought, allowMissingColumns=True)
     order = Window.partitionBy("role_id").orderBy("month")
     before = F.lag("token_remain").over(order)
     balance, held = F.col("token_remain"), F.col("token_remain").isNotNull().cast("bigint")
@@ -86,26 +112,58 @@ def month_totals(months: DataFrame, as_of: str) -> DataFrame:
         (F.row_number().over(order) == 1).cast("bigint").alias("_joined"),
         (F.coalesce(balance, F.lit(0)) - F.coalesce(before, F.lit(0))).alias("_moved"),
         (held - before.isNotNull().cast("bigint")).alias("_holders"),
-    )
+    ).where("_new")
     active = (F.col("token_get") > 0) | (F.col("token_cost") > 0)
-    per_month = steps.groupBy("month").agg(
-        *[F.sum(c).alias(c) for c in ("money_rmb", "token_get_by_pay", "token_get", "token_cost")],
+    changes = steps.groupBy("month").agg(
+        *[F.sum(c).alias(c) for c in FLOWS],
         F.sum(F.when(F.col("money_rmb") > 0, 1).otherwise(0)).alias("pay_users"),
         F.sum(F.when(active, 1).otherwise(0)).alias("token_users"),
         *[F.sum(c).alias(c) for c in ("_joined", "_moved", "_holders")],
     )
+    if closed is None:
+        return changes
+    return changes.unionByName(closed.where(F.col("role_id").isNull()).select("month", *FLOWS, *_COUNTS))
+
+
+def close_months(months: DataFrame, closed: DataFrame | None, until: str) -> DataFrame:
+    """``closed`` with the months before ``until`` added to it."""
+    ended = months.where(F.col("month") < F.lit(until).cast("date"))
+    users = ended.where(F.col("role_id").isNotNull()).select("role_id", "month", "token_remain")
+    if closed is not None:
+        users = users.unionByName(closed.where(F.col("role_id").isNotNull()).select("role_id", "month", "token_remain"))
+    last = users.groupBy("role_id").agg(F.max("month").alias("month"), F.max_by("token_remain", "month").alias("token_remain"))
+    both = last.unionByName(month_changes(ended, closed), allowMissingColumns=True)
+    schema = StructType.fromDDL(CLOSED)
+    return both.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def month_totals(months: DataFrame, as_of: str, closed: DataFrame | None = None) -> DataFrame:
+    """Month sums in which every user counts from the first paying month on, with the last known balance.
+
+    Instead of one row per user and month up to ``as_of``, each user-month contributes the
+    change it makes (a user more, a balance moved). The changes are added up per month, and
+    only those few month rows are spread over the months that follow.
+    """
+    per_month = month_changes(months, closed)
     until = month_of(F.lit(as_of).cast("date"))
     spread = per_month.withColumn("cal_month", F.explode(months_from_to(F.col("month"), until)))
     own = F.col("month") == F.col("cal_month")
-    flows = ("money_rmb", "token_get_by_pay", "token_get", "token_cost")
     return spread.groupBy("cal_month").agg(
-        *[F.sum(F.when(own, F.col(c))).alias(c) for c in flows],
+        *[F.sum(F.when(own, F.col(c))).alias(c) for c in FLOWS],
         *[F.sum(F.when(own, F.col(c)).otherwise(0)).alias(c) for c in ("pay_users", "token_users")],
         F.sum("_joined").alias("users"),
         F.when(F.sum("_holders") > 0, F.sum("_moved")).alias("token_remain"),
     )
 
 
+def paying_months(payment_log: DataFrame, token_log: DataFrame, rates: DataFrame, game: Game, first_day: str, as_of: str) -> DataFrame:
+    """``user_months`` from the first day on, read from the partitions from that day on: no event arrives before its date."""
+    paid = token_payments(in_time(since(payment_log, first_day, as_of)), rates, game)
+    tokens = token_days(in_time(since(token_log, first_day, as_of)), game)
+    opened = F.col("date") >= F.lit(first_day).cast("date")
+    return user_months(paid.where(opened), tokens.where(opened))
+
+
 def token_monthly(
     payment_log: DataFrame,
     token_log: DataFrame,
@@ -113,10 +171,31 @@ def token_monthly(
     game: Game,
     as_of: str,
 ) -> DataFrame:
-    """The ledger. ``diff`` is what gains, spending and balances leave unexplained."""
-    paid = token_payments(since(payment_log, game.ledger_start, as_of), rates, game)
-    tokens = token_days(since(token_log, game.ledger_start, as_of), game)
-    totals = month_totals(user_months(paid, tokens), as_of)
+    """The ledger from its start on. ``diff`` is what gains, spending and balances leave unexplained.
+
+    Events dated before the ledger's first day, and wrong clocks (``in_time``), belong to no month of it.
+    """
+    return ledger_report(month_totals(paying_months(payment_log, token_log, rates, game, game.ledger_start, as_of), as_of))
+
+
+def token_monthly_continued(
+    payment_log: DataFrame, token_log: DataFrame, rates: DataFrame, game: Game, window: RunWindow, state: Checkpoints
+) -> DataFrame:
+    """The same ledger from the months closed before the window and the partitions since; closes months for the next run.
+
+    A closed month keeps the rates it was closed with.
+    """
+    base = state.newest(window.start_date, CLOSED)
+    first_day, closed = game.ledger_start, None
+    if base is not None:
+        first_day, closed = max(open_since(base[0]), game.ledger_start), base[1]
+    months = settle(paying_months(payment_log, token_log, rates, game, first_day, window.end_date))
+    report = settle(ledger_report(month_totals(months, window.end_date, closed)))  # before older checkpoints may go
+    state.store(close_months(months, closed, open_since(window.end_date)), window)
+    return report
+
+
+def ledger_report(totals: DataFrame) -> DataFrame:
     ledger = with_previous_month(totals, "cal_month", "token_remain", "token_remain_lastmonth")
     carried = F.when(F.col("has_previous"), F.col("token_remain_lastmonth")).otherwise(F.lit(0))
     left_over = (

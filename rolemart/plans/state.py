@@ -35,7 +35,7 @@ class Mergeable:
 class Checkpoints:
     """Folders ``as_of=<day>`` under ``folder``. One without a success mark was not completed and counts as absent."""
 
-    def __init__(self, spark: SparkSession, folder: str, spec: Mergeable, kept: int = _KEPT) -> None:
+    def __init__(self, spark: SparkSession, folder: str, spec: Mergeable | None, kept: int = _KEPT) -> None:
         self.spark, self.folder, self.spec, self.kept = spark, folder, spec, kept
 
     def _path(self, day: str) -> str:
@@ -70,6 +70,17 @@ class Checkpoints:
     def _base(self, first_day: str) -> str | None:
         return max((d for d in self.days() if d < first_day), default=None)
 
+    def newest(self, first_day: str, schema: str) -> tuple[str, DataFrame] | None:
+        """Day and rows of the newest checkpoint before ``first_day``."""
+        base = self._base(first_day)
+        return None if base is None else (base, self.spark.read.schema(schema).parquet(self._path(base)))
+
+    def store(self, rows: DataFrame, window: RunWindow) -> None:
+        """Write ``rows`` as the checkpoint of the window's end; those from the window's start on are dropped, and the oldest ones."""
+        self.forget(window.start_date)
+        rows.write.mode("overwrite").parquet(self._path(window.end_date))
+        self._drop(self.days()[: -self.kept])
+
     def before(self, rows: DataFrame, day: str) -> DataFrame:
         """One row per key over the partitions before ``day``; nothing is written."""
         return self._with_base(self._base(day), rows.where(F.col("part_date") < day))

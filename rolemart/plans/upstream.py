@@ -250,34 +250,84 @@ def core_by_reason(core: DataFrame, info: DataFrame, detail: str, value: str) ->
     return rows.groupBy("part_date", "reason").agg(F.sum(value).alias(value))
 
 
-def retention_daily(daily: DataFrame, info: DataFrame, window: RunWindow | None = None) -> DataFrame:
-    """Users active on a day who are active again ``retention_day`` days later (0: the day's active users).
+def _active_words(daily: DataFrame) -> DataFrame:
+    """A user's active days as bits, 64 days a row."""
+    seen = daily.select("role_id", F.unix_date(F.to_date("part_date")).alias("_day")).where(F.col("_day").isNotNull())
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_day").bitwiseAND(F.lit(63)))
+    return seen.groupBy("role_id", F.shiftright("_day", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+#: Per user and 64 days: one bit a day on which the user was active. Words of other days are merged by or.
+ACTIVE_DAYS = Mergeable(("role_id", "word"), _active_words, {"bits": "bit_or"})
+
 
-    ``window`` limits the days counted from; every later day in ``daily`` still counts as a
-    return. A user's history is the set of days they were active. Users with the same set are
-    counted together first, so the day pairs are formed once per set and not per user.
+def retention_of(words: DataFrame, info: DataFrame, touching: RunWindow | None = None) -> DataFrame:
+    """Pairs of days with the users active on both, from ``ACTIVE_DAYS`` rows; ``touching`` keeps pairs with a day in the window.
+
+    A user's bits are cut into groups of eight days. Users with the same pair of groups and the same bits in both are counted
+    together, and only the bits of such counted pairs are unfolded to days. So a user gives a row for each pair of groups and
+    not of days, and a pair of groups has at most 65,536 rows, however many users there are.
     """
-    if window is not None:
-        daily = daily.where(F.col("part_date") >= window.start_date)
-    history = (
-        with_user_attrs(daily.select("role_id", "part_date"), info, [])
-        .where(F.col("role_id").isNotNull())
-        .groupBy("role_id").agg(F.array_sort(F.collect_set(F.to_date("part_date"))).alias("days"))
-        .groupBy("days").agg(F.count(F.lit(1)).alias("users"))
+    cut = F.array(*[
+        F.struct((F.col("word") * 8 + n).alias("at"), F.shiftrightunsigned("bits", 8 * n).bitwiseAND(F.lit(255)).cast("int").alias("bits"))
+        for n in range(8)
+    ])
+    users = (
+        with_user_attrs(words, info, []).where(F.col("role_id").isNotNull())
+        .groupBy("role_id").agg(F.flatten(F.collect_list(F.filter(cut, lambda g: g["bits"] != 0))).alias("groups"))
+    )
+
+    def touched(first: Column, second: Column, days: int) -> Column:
+        if touching is None:
+            return F.lit(True)
+        start, end = (F.shiftright(F.unix_date(F.lit(d).cast("date")), days.bit_length() - 1) for d in (touching.start_date, touching.end_date))
+        return first.between(start, end) | second.between(start, end)
+
+    if touching is not None:  # most users have no day in a short window
+        users = users.where(F.exists("groups", lambda g: touched(g["at"], g["at"], 8)))
+    alike = (
+        users.select("groups", F.explode("groups").alias("a"))
+        .select("a", F.explode(F.filter("groups", lambda g: (g["at"] >= F.col("a.at")) & touched(F.col("a.at"), g["at"], 8))).alias("b"))
+        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("users"))
     )
-    starts = history.select("days", "users", F.posexplode("days").alias("nth", "day"))
-    if window is not None:
-        starts = starts.where(F.col("day") <= F.lit(window.end_date).cast("date"))
+
+    def days_of(group: str) -> Column:
+        bits = F.filter(F.array(*[F.lit(n) for n in range(8)]), lambda n: F.getbit(F.col(f"{group}.bits"), n) == 1)
+        return F.explode(F.transform(bits, lambda n: F.col(f"{group}.at") * 8 + n))
+
     return (
-        starts.select("users", "day", F.explode(F.slice("days", F.col("nth") + 1, F.size("days"))).alias("later"))
+        alike.select("users", "b", days_of("a").alias("day")).select("users", "day", days_of("b").alias("later"))
+        .where((F.col("later") >= F.col("day")) & touched(F.col("day"), F.col("later"), 1))
         .groupBy(
-            F.col("day").cast("string").alias("part_date"),
-            days_between(F.col("day"), F.col("later")).cast("bigint").alias("retention_day"),
+            F.date_from_unix_date("day").cast("string").alias("part_date"),
+            (F.col("later") - F.col("day")).cast("bigint").alias("retention_day"),
         )
         .agg(F.sum("users").alias("dau"))
     )
 
 
+def retention_daily(daily: DataFrame, info: DataFrame, window: RunWindow | None = None) -> DataFrame:
+    """Users active on a day who are active again ``retention_day`` days later (0: the day's active users).
+
+    ``window`` limits the days counted from; every later day in ``daily`` still counts as a return.
+    """
+    if window is None:
+        return retention_of(ACTIVE_DAYS.partial(daily), info)
+    words = ACTIVE_DAYS.partial(daily.where(F.col("part_date") >= window.start_date))
+    return retention_of(words, info, window).where(F.col("part_date").between(window.start_date, window.end_date))
+
+
+def retention_continued(stored: DataFrame, words: DataFrame, info: DataFrame, window: RunWindow) -> DataFrame:
+    """The stored report with all pairs that have a day in the window counted anew, from the bits of all days.
+
+    Pairs of two other days keep their stored count. A user listed as a test account later leaves the rows of a day when that
+    day is rerun, as in the other reports by day.
+    """
+    later = F.date_add(F.to_date("part_date"), F.col("retention_day").cast("int")).cast("string")
+    inside = F.col("part_date").between(window.start_date, window.end_date) | later.between(window.start_date, window.end_date)
+    return stored.where(~inside).unionByName(retention_of(words, info, window))
+
+
 def user_retention(daily: DataFrame, info: DataFrame) -> DataFrame:
     """Active users per install day and days since install."""
     rows = with_user_attrs(event_days(daily), info, ["install_date"]).withColumn(

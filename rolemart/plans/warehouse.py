@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolemart.config import TRAILING_DAYS, Game, RunWindow
-from rolemart.plans import distribution, holdings, kpi, ledger, snapshots, upstream
+from rolemart.plans import actives, distribution, holdings, kpi, ledger, snapshots, upstream
 from rolemart.plans.state import Checkpoints
+from rolemart.session import settle
 from rolemart.sources.logs import in_window
 from rolemart.sources.lookups import currency_rates
-from rolemart.sources.sinks import last_partition, read_table, write_table
+from rolemart.sources.sinks import last_partition, partition_span, read_table, write_table
 from rolemart.sources.tables import TABLES, conform
 
 
@@ -22,8 +23,13 @@ STATES = {
     "ads_flag": ("dws_flag_snapshot", holdings.FLAGS),
     "ads_artifact": ("dws_artifact_snapshot", holdings.ARTIFACTS),
     "ads_hero_upgrade": ("herosnap_log", holdings.FIRST_SEEN),
+    "ads_retention_daily": ("dws_user_daily", upstream.ACTIVE_DAYS),
+    "dws_token_monthly": ("token_log", None),  # closed months, from two logs; see the ledger
 }
 
+#: Models that take over stored rows and so replace more days than those of the window they are computed for.
+CONTINUED = ("ads_retention_daily",)
+
 
 class Warehouse:
     """``<root>/<game>_r`` holds the raw logs, ``<root>/<game>_w`` the tables built from them."""
@@ -56,10 +62,10 @@ class Warehouse:
 
     def compute(self, model: str, window: RunWindow) -> DataFrame:
         """The model's rows for the window, in the declared columns, not yet written."""
-        return self._rows(model, self.written(model, window))
+        return self._rows(model, window, self.written(model, window))
 
-    def _rows(self, model: str, written: RunWindow) -> DataFrame:
-        return conform(MODELS[model](self, written), TABLES[model])
+    def _rows(self, model: str, window: RunWindow, written: RunWindow) -> DataFrame:
+        return conform(MODELS[model](self, window if model in CONTINUED else written), TABLES[model])
 
     def refresh(self, model: str, window: RunWindow) -> DataFrame:
         """Compute the model, write it and return the stored table."""
@@ -67,7 +73,7 @@ class Warehouse:
         for name, (source, _) in STATES.items():
             if source == model:  # before the rows change: a checkpoint over them must not outlive them
                 self.state(name).forget(written.start_date)
-        write_table(self._rows(model, written), TABLES[model], self.path(model), written)
+        write_table(self._rows(model, window, written), TABLES[model], self.path(model), written)
         return self.table(model)
 
     def state(self, name: str) -> Checkpoints:
@@ -82,6 +88,10 @@ class Warehouse:
         if model == "dws_user_daily_derive":  # running totals and first days of all later rows follow from the window's
             last = last_partition(self.spark, self.path("dws_user_daily"), "part_date")
             return RunWindow(window.start_date, max(window.end_date, last or window.end_date))
+        if model in CONTINUED and TABLES[model].incremental:
+            spans = [partition_span(self.spark, self.path(m), "part_date") for m in (model, "dws_user_daily")]
+            days = [window.start_date, window.end_date, *(day for span in spans if span for day in span)]
+            return RunWindow(min(days), max(days))
         if model == "ads_kpi_daily" and self.late_days:
             return upstream.event_span(self.table("dws_user_daily"), window)
         return window
@@ -115,12 +125,19 @@ def _hero_upgrade(wh: Warehouse, w: RunWindow) -> DataFrame:
 
 
 def _token_monthly(wh: Warehouse, w: RunWindow) -> DataFrame:
-    return ledger.token_monthly(
+    return ledger.token_monthly_continued(
         wh.log("payment_log"), wh.log("token_log"), currency_rates(wh.log("currency_rate"), wh.game.currency),
-        wh.game, w.end_date,
+        wh.game, w, wh.state("dws_token_monthly"),
     )
 
 
+def _retention(wh: Warehouse, w: RunWindow) -> DataFrame:
+    words = _merged("ads_retention_daily", wh.table("dws_user_daily"), wh, w)
+    stored = wh.table("ads_retention_daily", may_be_absent=True)
+    # settled, since the write replaces the partitions it is read from
+    return settle(upstream.retention_continued(stored, words, wh.table("dws_user_info"), w))
+
+
 def _kpi_daily(wh: Warehouse, w: RunWindow) -> DataFrame:
     history = wh.table("ads_kpi_daily", may_be_absent=True) if wh.carry_history else None
     return kpi.kpi_daily(
@@ -167,15 +184,17 @@ MODELS: dict[str, Callable[[Warehouse, RunWindow], DataFrame]] = {
     "ads_artifact": lambda wh, w: _merged("ads_artifact", wh.table("dws_artifact_snapshot"), wh, w),
     "ads_hero_upgrade": _hero_upgrade,
     "ads_active_daily": lambda wh, w: upstream.active_daily(in_window(wh.table("dws_user_daily"), w)),
+    "dws_user_number": lambda wh, w: actives.number_users(
+        in_window(wh.table("dws_user_daily"), w), wh.table("dws_user_number", may_be_absent=True)
+    ),
+    "dws_active_bitmap": lambda wh, w: actives.day_bitmaps(in_window(wh.table("dws_user_daily"), w), wh.table("dws_user_number")),
     "ads_core_addreason": lambda wh, w: upstream.core_by_reason(
         in_window(wh.table("dws_core_snapshot"), w), wh.table("dws_user_info"), "coregain_detail", "core_add"
     ),
     "ads_core_costreason": lambda wh, w: upstream.core_by_reason(
         in_window(wh.table("dws_core_snapshot"), w), wh.table("dws_user_info"), "corecost_detail", "core_cost"
     ),
-    "ads_retention_daily": lambda wh, w: upstream.retention_daily(
-        wh.table("dws_user_daily"), wh.table("dws_user_info"), w
-    ),
+    "ads_retention_daily": _retention,
     "ads_user_retention": lambda wh, w: upstream.user_retention(wh.table("dws_user_daily"), wh.table("dws_user_info")),
     "ads_kpi_hourly_hi": lambda wh, w: upstream.kpi_hourly(
         in_window(wh.table("dws_user_hourly"), w), wh.table("dws_user_info")

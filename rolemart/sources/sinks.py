@@ -30,11 +30,17 @@ def _stored_days(spark: SparkSession, path: str, column: str, window: RunWindow)
     return found
 
 
-def last_partition(spark: SparkSession, path: str, column: str) -> str | None:
-    """The greatest partition value of a stored table, from the names of its folders."""
+def partition_span(spark: SparkSession, path: str, column: str) -> tuple[str, str] | None:
+    """The smallest and the greatest partition value of a stored table, from the names of its folders."""
     fs, root = file_system(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
-    return max((n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=") and "__HIVE_DEFAULT" not in n), default=None)
+    values = [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=") and "__HIVE_DEFAULT" not in n]
+    return (min(values), max(values)) if values else None
+
+
+def last_partition(spark: SparkSession, path: str, column: str) -> str | None:
+    span = partition_span(spark, path, column)
+    return span and span[1]
 
 
 def _list_files(spark: SparkSession, folder: str) -> set[str] | None:

@@ -189,6 +189,8 @@ TABLES = {
         Table("ads_active_daily", "di", "dau bigint, part_date string", "part_date"),
         Table("ads_core_addreason", "di", "reason string, core_add bigint, part_date string", "part_date"),
         Table("ads_core_costreason", "di", "reason string, core_cost bigint, part_date string", "part_date"),
+        Table("dws_user_number", "df", "role_id string, part int, nth bigint"),
+        Table("dws_active_bitmap", "di", "part int, bucket bigint, users binary, part_date string", "part_date"),
         Table("ads_retention_daily", "di", "retention_day bigint, dau bigint, part_date string", "part_date"),
         Table("ads_user_retention", "df", "date date, retention_day bigint, active_users bigint",
               stored_as="ads_user_retention_di"),
