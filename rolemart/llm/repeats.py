@@ -38,6 +38,7 @@ from rolemart.llm.exchange import batch_of, bucket_bits, cut, expected_units, sh
 
 _LAST = (1 << 63) - 1
 _HOT_BITS = 1 << 22
+_AT_ONCE = 16_384  # segments whose windows are looked up together
 _SENT = "bucket int, chunk long, addresses binary, docs binary, lengths binary, keys binary, segments binary"
 _ANSWER = "chunk long, addresses binary, starts binary, is_own boolean"
 
@@ -115,8 +116,8 @@ class RunIndex:
         return out
 
 
-def mark_bucket(segments: list[bytes], docs: list[int], keys: list[int], size: int) -> list[np.ndarray]:
-    """Per segment, the offsets of the windows that a smaller document of the bucket has.
+def mark_bucket(segments: list[bytes], docs: list[int], keys: list[int], size: int) -> np.ndarray:
+    """Rows (segment, first window, end) of the windows that a smaller document of the bucket has, in the segments' order.
 
     Windows can only be equal if their anchors are. Where all segments of an anchor are the same, so are their windows; the
     index is built over the others.
@@ -131,7 +132,11 @@ def mark_bucket(segments: list[bytes], docs: list[int], keys: list[int], size: i
             distinct[segment] = doc
     key_of = dict(zip(segments, keys, strict=True))
     texts = [t for t in distinct if variants[key_of[t]] > 1]
-    place: dict[bytes, np.ndarray] = {}
+    place = {t: n for n, t in enumerate(texts)}
+    which = np.array([place.get(t, -1) for t in segments], np.int64)
+    holder = np.array(docs, np.int64)
+    whole = np.flatnonzero((which < 0) & (np.array([distinct[t] for t in segments], np.int64) < holder))
+    found = [np.stack([whole, np.zeros_like(whole), np.array([len(segments[i]) for i in whole.tolist()], np.int64) - size + 1], 1)]
     if texts:
         lengths = np.array([len(t) for t in texts], np.int64)
         begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
@@ -141,15 +146,29 @@ def mark_bucket(segments: list[bytes], docs: list[int], keys: list[int], size: i
         owner = np.repeat(np.array([distinct[t] for t in texts], np.int64), counts)
         index = RunIndex(np.frombuffer(b"".join(texts), np.uint8), np.repeat(begins, counts) + within, owner, within == 0, size)
         smallest = index.smallest_documents()
-        place = {t: smallest[a : a + n] for t, a, n in zip(texts, firsts.tolist(), counts.tolist(), strict=True)}
-    none = np.empty(0, np.int64)
-    out = []
-    for segment, doc in zip(segments, docs, strict=True):
-        if (found := place.get(segment)) is not None:
-            out.append(np.flatnonzero(found < doc))
-        else:
-            out.append(np.arange(len(segment) - size + 1) if distinct[segment] < doc else none)
-    return out
+        contested = np.flatnonzero(which >= 0)
+        for at in range(0, len(contested), _AT_ONCE):
+            part = contested[at : at + _AT_ONCE]
+            n = counts[which[part]]
+            opens = np.cumsum(n) - n
+            window = np.repeat(firsts[which[part]] - opens, n) + np.arange(n.sum())
+            gone = smallest[window] < np.repeat(holder[part], n)
+            before, after = np.append(False, gone[:-1]), np.append(gone[1:], False)
+            before[opens] = after[opens + n - 1] = False  # ranges end with their segment
+            first, end = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
+            own = np.searchsorted(opens, first, "right") - 1
+            found.append(np.stack([part[own], first - opens[own], end - opens[own]], 1))
+    rows = np.concatenate(found)
+    return rows[np.argsort(rows[:, 0], kind="stable")]
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers as their steps; those of a chunk mostly rise by little, and steps pack to a fraction."""
+    return zstandard.compress(np.diff(numbers.astype(np.int64), prepend=0).tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zstandard.decompress(packed), np.int64))
 
 
 def merged_ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -215,7 +234,11 @@ class _Chunk:
             for start, key, segment in segments:
                 address, first = sent.get(segment, (len(sent), doc))
                 if first < doc:
-                    settled.append((number, start, start + len(segment)))
+                    end = start + len(segment)
+                    if settled and settled[-1][0] == number and start <= settled[-1][2]:  # segments come in order
+                        settled[-1] = number, settled[-1][1], max(end, settled[-1][2])
+                    else:
+                        settled.append((number, start, end))
                     continue
                 waiting.append((address, number, start))
                 if segment not in sent:
@@ -223,13 +246,13 @@ class _Chunk:
                     addresses, docs, keys, texts = out[key % self.buckets]
                     addresses.append(address), docs.append(doc), keys.append(key & 0xFFFFFFFF), texts.append(segment)
         owners = b"".join(owner for _, owner, _ in self.docs)
-        own = np.array(waiting, np.int64).tobytes(), np.array(settled, np.int64).tobytes()
+        own = (pickle.dumps([_pack(c) for c in np.array(r, np.int64).reshape(-1, 3).T]) for r in (waiting, settled))
         rows = [(self.number % self.buckets, self.number, owners, *own, None, None)]
         for bucket, (addresses, docs, keys, texts) in out.items():
             lengths = np.array([len(t) for t in texts], np.int32)
             # text packs to a fraction of what the shuffle's own codec leaves
-            numbers = (np.array(addresses, np.uint32), np.array(docs, np.int64), lengths, np.array(keys, np.uint32))
-            rows.append((bucket, self.number, *(x.tobytes() for x in numbers), zstandard.compress(b"".join(texts), 3)))
+            numbers = (_pack(np.array(addresses, np.int64)), _pack(np.array(docs, np.int64)), _pack(lengths), np.array(keys, np.uint32).tobytes())
+            rows.append((bucket, self.number, *numbers, zstandard.compress(b"".join(texts), 3)))
         return rows
 
 
@@ -282,24 +305,26 @@ def _answer_bucket(size: int):
     kinds, names = [pa.int64(), pa.binary(), pa.binary(), pa.bool_()], [c.split()[0] for c in _ANSWER.split(", ")]
 
     def answer(table: pa.Table) -> pa.Table:
-        rows, segments, docs, keys, source = [], [], [], [], []
+        rows, segments, docs, keys, chunks, addresses = [], [], [], [], [], [np.empty(0, np.int64)]
         for r in table.to_pylist():
             if r["segments"] is None:
                 rows.append((r["chunk"], r["addresses"], pickle.dumps((r["docs"], r["lengths"])), True))
                 continue
-            ends = np.cumsum(np.frombuffer(r["lengths"], np.int32)).tolist()
+            ends = np.cumsum(_unpack(r["lengths"])).tolist()
             text = zstandard.decompress(r["segments"], max_output_size=ends[-1])
             segments += [text[a:z] for a, z in zip([0, *ends], ends, strict=False)]
-            docs += np.frombuffer(r["docs"], np.int64).tolist()
+            docs += _unpack(r["docs"]).tolist()
             keys += np.frombuffer(r["keys"], np.uint32).tolist()
-            source += [(r["chunk"], a) for a in np.frombuffer(r["addresses"], np.uint32).tolist()]
-        found = defaultdict(lambda: ([], []))
+            addresses.append(_unpack(r["addresses"]))
+            chunks += [r["chunk"]] * len(ends)
         if segments:
-            for (chunk, address), windows in zip(source, mark_bucket(segments, docs, keys, size), strict=True):
-                if len(windows):
-                    addresses, starts = found[chunk]
-                    addresses.append(np.full(len(windows), address, np.uint32)), starts.append(windows.astype(np.int32))
-        rows += [(chunk, np.concatenate(a).tobytes(), np.concatenate(s).tobytes(), False) for chunk, (a, s) in found.items()]
+            found = mark_bucket(segments, docs, keys, size)
+            chunk, address = np.array(chunks, np.int64)[found[:, 0]], np.concatenate(addresses)[found[:, 0]]
+            order = np.lexsort((address, chunk))
+            chunk, address, found = chunk[order], address[order], found[order]
+            present, at = np.unique(chunk, return_index=True)
+            for c, a, z in zip(present.tolist(), at.tolist(), np.append(at[1:], len(chunk)).tolist(), strict=False):
+                rows.append((c, _pack(address[a:z]), pickle.dumps([_pack(found[a:z, 1]), _pack(found[a:z, 2])]), False))
         return pa.Table.from_batches([batch_of(rows, kinds, names)])
 
     return answer
@@ -310,18 +335,18 @@ def _settle_chunk(size: int):
         rows = table.to_pylist()
         mine = next(r for r in rows if r["is_own"])
         owners = [mine["addresses"][i : i + 16] for i in range(0, len(mine["addresses"]), 16)]
-        waiting, settled = (np.frombuffer(x, np.int64).reshape(-1, 3) for x in pickle.loads(mine["starts"]))
-        address = np.concatenate([np.empty(0, np.uint32), *(np.frombuffer(r["addresses"], np.uint32) for r in rows if not r["is_own"])]).astype(np.int64)
-        window = np.concatenate([np.empty(0, np.int32), *(np.frombuffer(r["starts"], np.int32) for r in rows if not r["is_own"])]).astype(np.int64)
-        # an address may stand at several places: repeat its windows for each
+        waiting, settled = (np.stack([_unpack(c) for c in pickle.loads(x)], 1) for x in pickle.loads(mine["starts"]))
+        answers = [(_unpack(r["addresses"]), *map(_unpack, pickle.loads(r["starts"]))) for r in rows if not r["is_own"]]
+        address, first, end = (np.concatenate([np.empty(0, np.int64), *column]) for column in (zip(*answers, strict=True) if answers else ((), (), ())))
+        # an address may stand at several places: repeat its ranges of windows for each
         order = np.argsort(address, kind="stable")
-        address, window = address[order], window[order]
+        address, first, end = address[order], first[order], end[order]
         low, high = np.searchsorted(address, waiting[:, 0]), np.searchsorted(address, waiting[:, 0], "right")
         n = high - low
         pick = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        starts = np.repeat(waiting[:, 2], n) + window[pick]
+        at = np.repeat(waiting[:, 2], n)
         number = np.concatenate([np.repeat(waiting[:, 1], n), settled[:, 0]])
-        starts, ends = np.concatenate([starts, settled[:, 1]]), np.concatenate([starts + size, settled[:, 2]])
+        starts, ends = np.concatenate([at + first[pick], settled[:, 1]]), np.concatenate([at + end[pick] - 1 + size, settled[:, 2]])
         order = np.argsort(number, kind="stable")
         number, starts, ends = number[order], starts[order], ends[order]
         present, at = np.unique(number, return_index=True)

@@ -111,3 +111,26 @@ def test_long_texts_of_little_variety(spark, often):
     docs = spark.createDataFrame([(i, t, "o", b"s", 1, None) for i, t in enumerate(texts)], "doc_id long, text string, owner string, shared binary, data int, marks string")
     got = sorted(tuple(r) for r in repeats.remove_repeats(docs, often=often).collect())
     assert got == sorted(brute.repeats([(i, t) for i, t in enumerate(texts)]))
+
+
+def test_ranges_of_a_bucket_equal_all_pairs(monkeypatch):
+    """Anchors with one and with several variants, the same segment in several documents, in blocks of few segments."""
+    monkeypatch.setattr(repeats, "_AT_ONCE", 3)
+    rng, size = np.random.default_rng(3), 9
+    for _ in range(40):
+        base = bytes(rng.integers(97, 99, 24, dtype=np.uint8))
+        pool = [base[a : a + n] + b"xy"[: k % 3] for k, (a, n) in enumerate(zip(rng.integers(0, 12, 8).tolist(), rng.integers(size, 13, 8).tolist(), strict=True))]
+        segments = [pool[i] for i in rng.integers(0, 8, 20)]
+        docs = rng.integers(0, 9, 20).tolist()
+        got = [[int(x) for x in r] for r in repeats.mark_bucket(segments, docs, [1] * 20, size)]
+        windows = {(i, j): s[j : j + size] for i, s in enumerate(segments) for j in range(len(s) - size + 1)}
+        want = {at for at, w in windows.items() if min(docs[i] for (i, _), v in windows.items() if v == w) < docs[at[0]]}
+        assert {(i, j) for i, first, end in got for j in range(first, end)} == want
+        assert got == sorted(got) and all(z < a or i != k for (i, _, z), (k, a, _) in zip(got, got[1:], strict=False))
+    alike = repeats.mark_bucket([b"abcdefghijk", b"abcdefghijk", b"zzzzzzzzzz"], [4, 2, 1], [1, 1, 2], size)
+    assert alike.tolist() == [[0, 0, 3]]
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([], [5], [7, 7, 9, 2, (1 << 63) - 1, -4]):
+        assert repeats._unpack(repeats._pack(np.array(numbers, np.int64))).tolist() == numbers
