@@ -32,6 +32,14 @@ SCHEMAS = {
 }
 
 
+#: The number column of each raw log in which some rows of odd days have no number.
+FAULTY = {
+    "base_log": "level", "payment_log": "money", "item_log": "item_remain", "core_log": "free_num",
+    "summon_log": "currency_num", "herosnap_log": "flag_level", "upgraderare_log": "costchip", "upgradehero_log": "tolv",
+    "token_log": "item_num",
+}
+
+
 class Logs:
     """Logs, lookups and user-level summaries of one scale factor."""
 
@@ -170,6 +178,38 @@ class Logs:
             F.expr("cast(k + 1 as bigint)").alias("tolv"),
         )
 
+    def raw(self, name: str) -> list[DataFrame]:
+        """A log as two versions of a game write it, with faulty rows (rules in FIXTURES.md).
+
+        Odd days: all text, blank for a number that is absent, no ``date``. Even days: whole numbers as floating ones,
+        ids as whole numbers.
+        """
+        log = getattr(self, name)
+        if name == "base_log":
+            log = log.withColumn("guild_id", F.col("zone_id"))
+        rest, odd = F.expr("cast(role_id as bigint) % 29"), F.expr("cast(substr(part_date, 9, 2) as int) % 2 = 1")
+        types = dict(log.dtypes)
+        text = {c: F.col(c).cast("string") for c in log.columns if c != "date"}
+        for c, kind in types.items():
+            if kind in ("int", "bigint") or kind.startswith("decimal"):
+                text[c] = F.coalesce(text[c], F.lit(" "))
+        text["role_id"] = F.when(rest != 11, text["role_id"])
+        text["event_time"] = F.when(rest != 7, text["event_time"]).otherwise(F.lit("no time"))
+        text[FAULTY[name]] = F.when(rest != 13, text[FAULTY[name]]).otherwise(F.lit("n/a"))
+        typed = {c: F.col(c).cast("double") if kind in ("int", "bigint") and not c.endswith("id") and c not in ("hero", "fromrare", "torare") else F.col(c)
+                 for c, kind in types.items()}
+        typed["role_id"] = F.when(rest != 11, F.col("role_id").cast("bigint"))
+        typed["event_time"] = F.when(rest != 7, F.col("event_time"))
+        if "guild_id" in typed:
+            typed["alliance_id"] = typed.pop("guild_id")
+        return [
+            log.where(odd).select(*[v.alias(c) for c, v in text.items()]),
+            log.where(~odd).select(*[v.alias(c) for c, v in typed.items()]),
+        ]
+
+    def raw_columns(self, name: str) -> list[str]:
+        return [*getattr(self, name).columns, *(["alliance_id"] if name == "base_log" else [])]
+
     @cached_property
     def accounts(self) -> DataFrame:
         return self.read("customer").select(F.col("c_custkey").cast("string").alias("role_id"), "c_acctbal")

@@ -24,7 +24,7 @@ def query(name: str, sql: str):
 
 
 def _load() -> None:
-    from harness import queries_checks, queries_functions, queries_models, queries_relational, queries_tables  # noqa: F401
+    from harness import queries_checks, queries_functions, queries_models, queries_raw, queries_relational, queries_tables  # noqa: F401
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -35,11 +35,11 @@ CHECKS: dict[str, Check] = {
     ),
     "9.1": lambda wh, day, now, only: checks.active_users(wh.table("dws_user_daily"), wh.table("ads_active_daily"), day),
     "10.1": lambda wh, day, now, only: checks.core_by_reason_total(
-        wh.table("dws_core_snapshot"), wh.table("ads_core_addreason"), wh.log("test_accounts"), "coregain_detail",
+        wh.table("dws_core_snapshot"), wh.table("ads_core_addreason"), wh.test_accounts(), "coregain_detail",
         "core_add", day,
     ),
     "11.1": lambda wh, day, now, only: checks.core_by_reason_total(
-        wh.table("dws_core_snapshot"), wh.table("ads_core_costreason"), wh.log("test_accounts"), "corecost_detail",
+        wh.table("dws_core_snapshot"), wh.table("ads_core_costreason"), wh.test_accounts(), "corecost_detail",
         "core_cost", day, missing_is_zero=False,
     ),
     "12.1": lambda wh, day, now, only: checks.retention_base(

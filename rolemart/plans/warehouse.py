@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rolemart.config import TRAILING_DAYS, Game, RunWindow
 from rolemart.plans import actives, distribution, holdings, kpi, ledger, snapshots, upstream
 from rolemart.plans.state import Checkpoints
 from rolemart.session import settle
 from rolemart.sources.logs import in_window
-from rolemart.sources.lookups import currency_rates
-from rolemart.sources.sinks import last_partition, partition_span, read_table, write_table
+from rolemart.sources.lookups import currency_rates, read_dimension
+from rolemart.sources.raw import QUARANTINE, RAW_LOGS, accepted_shapes, fault_counts, read_shapes, set_apart_shapes
+from rolemart.sources.sinks import file_system, last_partition, overwrite_range, partition_span, read_table, write_table
 from rolemart.sources.tables import TABLES, conform
 
 
@@ -49,12 +50,29 @@ class Warehouse:
     def path(self, model: str) -> str:
         return f"{self._mart}/{TABLES[model].name}"
 
-    def log(self, name: str) -> DataFrame:
-        """A raw log. Its partition column is text even though it looks like a date."""
-        files = self.spark.read.parquet(f"{self._raw}/{name}")
-        if "part_date" in files.columns:
-            files = files.withColumn("part_date", F.col("part_date").cast("string"))
-        return files
+    def log(self, name: str, window: RunWindow | None = None) -> DataFrame:
+        """A raw log in its declared columns, without the rows that do not parse; of a window, only its partitions are
+        looked at. What is not a log, such as rates, comes as it is stored."""
+        if name in RAW_LOGS:
+            return accepted_shapes(self.spark, self._shapes(name, window), RAW_LOGS[name])
+        return self.spark.read.parquet(f"{self._raw}/{name}")
+
+    def _shapes(self, name: str, window: RunWindow | None) -> list[DataFrame]:
+        return read_shapes(self.spark, f"{self._raw}/{name}", window)
+
+    def test_accounts(self) -> DataFrame:
+        """The uploaded list ``test_accounts.csv``, or the table of that name where there is none."""
+        path = f"{self._raw}/test_accounts.csv"
+        fs, uploaded = file_system(self.spark, path)
+        return read_dimension(self.spark, path, "test_accounts") if fs.exists(uploaded) else self.log("test_accounts")
+
+    def set_apart(self, name: str, window: RunWindow) -> DataFrame:
+        """Store the rows of a log's window that do not parse, and return their number per day and fault. A rerun
+        replaces its days, so rows that were mended leave the quarantine."""
+        rows = set_apart_shapes(self.spark, self._shapes(name, window), RAW_LOGS[name])
+        path = f"{self._mart}/{QUARANTINE.name}/{name}"
+        overwrite_range(rows, QUARANTINE, path, window)
+        return fault_counts(in_window(read_table(self.spark, QUARANTINE, path, may_be_absent=True), window))
 
     def table(self, model: str, *, may_be_absent: bool = False) -> DataFrame:
         """A built table. Only a model's own history may be absent, on its first run; an absent upstream table is an error."""
@@ -98,12 +116,12 @@ class Warehouse:
 
 
 def _snapshot(build, *logs: str) -> Callable[[Warehouse, RunWindow], DataFrame]:
-    return lambda wh, w: build(*[in_window(wh.log(name), w) for name in ("base_log", *logs)])
+    return lambda wh, w: build(*[wh.log(name, w) for name in ("base_log", *logs)])
 
 
 def _user_daily(wh: Warehouse, w: RunWindow) -> DataFrame:
     return upstream.user_daily(
-        in_window(wh.log("base_log"), w), in_window(wh.log("payment_log"), w), wh.log("test_accounts")
+        wh.log("base_log", w), wh.log("payment_log", w), wh.test_accounts()
     )
 
 
@@ -155,9 +173,9 @@ MODELS: dict[str, Callable[[Warehouse, RunWindow], DataFrame]] = {
     "dws_user_info": lambda wh, w: upstream.user_info_of(_merged("dws_user_info", wh.table("dws_user_daily"), wh, w)),
     "dws_user_daily_derive": _derive,
     "dws_user_hourly": lambda wh, w: upstream.user_hourly(
-        in_window(wh.log("base_log"), w), in_window(wh.log("payment_log"), w)
+        wh.log("base_log", w), wh.log("payment_log", w)
     ),
-    "dws_core_snapshot": lambda wh, w: upstream.core_snapshot(in_window(wh.log("core_log"), w), wh.game),
+    "dws_core_snapshot": lambda wh, w: upstream.core_snapshot(wh.log("core_log", w), wh.game),
     "dws_item_snapshot": _snapshot(snapshots.item_snapshot, "item_log"),
     "dws_summon_snapshot": _snapshot(snapshots.summon_snapshot, "summon_log"),
     "dws_hero_snapshot": _snapshot(snapshots.hero_snapshot, "upgraderare_log", "upgradehero_log"),

@@ -30,12 +30,17 @@ def _stored_days(spark: SparkSession, path: str, column: str, window: RunWindow)
     return found
 
 
-def partition_span(spark: SparkSession, path: str, column: str) -> tuple[str, str] | None:
-    """The smallest and the greatest partition value of a stored table, from the names of its folders."""
+def stored_partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Partition values of a stored table in order, from the names of its folders; rows without a value are not among them."""
     fs, root = file_system(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
-    values = [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=") and "__HIVE_DEFAULT" not in n]
-    return (min(values), max(values)) if values else None
+    return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=") and "__HIVE_DEFAULT" not in n)
+
+
+def partition_span(spark: SparkSession, path: str, column: str) -> tuple[str, str] | None:
+    """The smallest and the greatest partition value of a stored table."""
+    values = stored_partitions(spark, path, column)
+    return (values[0], values[-1]) if values else None
 
 
 def last_partition(spark: SparkSession, path: str, column: str) -> str | None:
@@ -52,6 +57,11 @@ def _list_files(spark: SparkSession, folder: str) -> set[str] | None:
     return {n for n in names if not n.startswith(("_", "."))}
 
 
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the data files of a folder."""
+    return sorted(f"{folder}/{name}" for name in _list_files(spark, folder) or ())
+
+
 def _rename(fs, source, target) -> bool:
     """File systems report a refused rename as False or by an error; both count, and a target that is there refuses."""
     if fs.exists(target):
