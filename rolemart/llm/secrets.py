@@ -11,9 +11,12 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
+import functools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,7 +51,7 @@ _HEX_LINE = re.compile(rf"([0-9A-Fa-f]+)()({_BREAK}?)")
 _URL_TO_PLAIN = str.maketrans("-_", "+/")
 
 _SEQUENCE, _INTEGER, _OCTETS, _OID = 0x30, 0x02, 0x04, 0x06
-_MAX_DEPTH = 12
+_SSH_MAGIC = b"openssh-key-v1\x00"
 
 
 def der_fields(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
@@ -72,12 +75,15 @@ def der_fields(data: bytes, start: int, end: int) -> list[tuple[int, int, int]]
     return fields
 
 
-def _tiles(data: bytes, start: int, end: int, depth: int = 0) -> bool:
-    """All constructed fields hold fields that fill them."""
-    fields = der_fields(data, start, end)
-    return fields is not None and depth < _MAX_DEPTH and all(
-        not tag & 0x20 or _tiles(data, a, b, depth + 1) for tag, a, b in fields
-    )
+def _tiles(data: bytes, start: int, end: int) -> bool:
+    """All constructed fields, at any depth, hold fields that fill them."""
+    open_fields = [(start, end)]
+    while open_fields:
+        fields = der_fields(data, *open_fields.pop())
+        if fields is None:
+            return False
+        open_fields += [(a, b) for tag, a, b in fields if tag & 0x20]
+    return True
 
 
 def is_der_key(data: bytes) -> bool:
@@ -105,35 +111,34 @@ def is_der_key(data: bytes) -> bool:
     return False
 
 
-def ssh_key_end(data: bytes) -> int | None:
-    """Where the OpenSSH private key container ends that ``data`` starts with.
+def ssh_key_end(peek: Callable[[int, int], bytes], size: int) -> int | None:
+    """Where the OpenSSH private key container ends that ``size`` bytes start with; ``peek(at, n)`` gives n of them.
 
-    It has: magic, cipher, KDF, options, number of keys, public part, private part.
+    It has: magic, cipher, KDF, options, number of keys, public parts, private part. Only lengths are looked at.
     """
-    magic = b"openssh-key-v1\x00"
-    if not data.startswith(magic):
+    if peek(0, len(_SSH_MAGIC)) != _SSH_MAGIC:
         return None
 
-    def field(at: int) -> int | None:
-        if at is None or at + 4 > len(data):
+    def field(at: int | None) -> int | None:
+        if at is None or at + 4 > size:
             return None
-        end = at + 4 + int.from_bytes(data[at : at + 4], "big")
-        return end if end <= len(data) else None
+        end = at + 4 + int.from_bytes(peek(at, 4), "big")
+        return end if end <= size else None
 
-    at = field(field(field(len(magic))))
-    if at is None or at + 4 > len(data):
+    at = field(field(field(len(_SSH_MAGIC))))
+    if at is None or at + 4 > size:
         return None
-    keys = int.from_bytes(data[at : at + 4], "big")
+    keys = int.from_bytes(peek(at, 4), "big")
     at += 4
-    for _ in range(min(keys, 64)):
+    for _ in range(keys):
         at = field(at)
         if at is None:
             return None
-    return field(at) if 1 <= keys <= 64 else None
+    return field(at) if keys else None
 
 
 def is_ssh_key(data: bytes) -> bool:
-    return ssh_key_end(data) == len(data)
+    return ssh_key_end(lambda at, n: data[at : at + n], len(data)) == len(data)
 
 
 def from_base64(text: str, url: bool = False) -> bytes | None:
@@ -187,40 +192,85 @@ def _der_size(data: bytes) -> int | None:
     return 2 + width + int.from_bytes(data[2 : 2 + width], "big") if 1 <= width <= 4 else None
 
 
-def _line_keys(text: str, start: re.Pattern, line: re.Pattern, decode, chars_of) -> Iterator[tuple[str, int, int]]:
-    """Keys that start with a line and end with a line, their lines joined. The key's own lengths say where it ends."""
-    at = 0
-    while m := start.search(text, at):
-        at = m.end()
-        head = decode(text[m.start() : m.start() + 16])
-        size = _der_size(head) if head and head[0] == _SEQUENCE else None
-        if head and head[0] == _SEQUENCE and size is None:
-            continue
-        lines, ends, total, place = [], {}, 0, m.start()
-        while (size is None or total < chars_of(size)) and (part := line.match(text, place)):
+def _plain_base64(text: str) -> bytes | None:
+    return from_base64(text.translate(_URL_TO_PLAIN))
+
+
+def _plain_hex(text: str) -> bytes | None:
+    return bytes.fromhex(text) if len(text) % 2 == 0 else None
+
+
+def _peek_hex(text: str, first: int, at: int, n: int) -> bytes:
+    return _plain_hex(text[first + 2 * at : first + 2 * (at + n)]) or b""
+
+
+def _peek_base64(text: str, first: int, at: int, n: int) -> bytes:
+    part = text[first + at // 3 * 4 : first + (at + n + 2) // 3 * 4]
+    return (_plain_base64(part if len(part) % 4 != 1 else part[:-1]) or b"")[at % 3 : at % 3 + n]
+
+
+@dataclass(frozen=True)
+class _Alphabet:
+    """How keys in lines are written: where one may start, what a line is, and the bytes of the joined lines."""
+
+    start: re.Pattern
+    line: re.Pattern
+    decode: Callable[[str], bytes | None]
+    peek: Callable[[str, int, int, int], bytes]
+    chars_of: Callable[[int], int]
+    bytes_of: Callable[[int], int]
+
+
+_ALPHABETS = (
+    _Alphabet(_BASE64_START, _BASE64_LINE, _plain_base64, _peek_base64, lambda n: (8 * n + 5) // 6, lambda n: n * 6 // 8),
+    _Alphabet(_HEX_START, _HEX_LINE, _plain_hex, _peek_hex, lambda n: 2 * n, lambda n: n // 2),
+)
+
+
+class _Run:
+    """Neighbouring lines of one alphabet, joined once for all the keys that may start in them."""
+
+    def __init__(self, text: str, line: re.Pattern, place: int) -> None:
+        lines: list[str] = []
+        self.starts: dict[int, int] = {}  # place of a line in the text -> its place in the joined lines
+        self.ends: dict[int, int] = {}  # end of a line in the joined lines -> its end in the text
+        total = 0
+        while part := line.match(text, place):
             lines.append(part[1])
+            self.starts[part.start()] = total
             total += len(part[1])
-            ends[total] = part.end(2)
+            self.ends[total] = part.end(2)
             place = part.end()
             if part[2] or not part[3]:
                 break
-        joined = "".join(lines)
-        if size is None:
-            # the container's end is found in what decodes
-            size = ssh_key_end(decode(joined) or decode(joined[:-1]) or b"")
-        if size is None or (need := chars_of(size)) not in ends:
-            continue
-        if (kind := key_kind(decode(joined[:need]))) and need >= chars_of(30):
-            yield kind, m.start(), ends[need]
-            at = ends[need]
+        self.joined = "".join(lines)
 
 
-def _plain_base64(text: str) -> bytes | None:
-    return from_base64(text.translate(_URL_TO_PLAIN))
-
-
-def _plain_hex(text: str) -> bytes | None:
-    return bytes.fromhex(text) if len(text) % 2 == 0 else None
+def _line_keys(text: str, alphabet: _Alphabet) -> Iterator[tuple[str, int, int]]:
+    """Keys that start with a line and end with a line, their lines joined. The key's own lengths say where it ends, and
+    only a key whose lines end there is decoded."""
+    at, run = 0, None
+    while m := alphabet.start.search(text, at):
+        at = m.end()
+        head = alphabet.decode(text[m.start() : m.start() + 16])
+        sequence = bool(head) and head[0] == _SEQUENCE
+        size = _der_size(head) if sequence else None
+        if sequence and size is None:
+            continue
+        if run is None or m.start() not in run.starts:
+            run = _Run(text, alphabet.line, m.start())
+        first = run.starts[m.start()]
+        if size is None:
+            peek = functools.partial(alphabet.peek, run.joined, first)
+            size = ssh_key_end(peek, alphabet.bytes_of(len(run.joined) - first))
+        if size is None:
+            continue
+        end = run.ends.get(first + alphabet.chars_of(size))
+        if end is None or alphabet.chars_of(size) < alphabet.chars_of(30):
+            continue
+        if kind := key_kind(alphabet.decode(run.joined[first : first + alphabet.chars_of(size)])):
+            yield kind, m.start(), end
+            at = end
 
 
 def _signed_tokens(text: str) -> Iterator[tuple[str, int, int]]:
@@ -246,16 +296,21 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         for m in _PEM.finditer(text):
             if _is_pem_key(m[2]):
                 found.append(("pem_key", m.start(), m.end()))
-    covered = [(s, e) for k, s, e in found if k == "pem_key"]
+    pem = [(s, e) for k, s, e in found if k == "pem_key"]  # in order, none overlaps another
+
+    def covered(place: int) -> bool:
+        before = bisect.bisect_right(pem, (place, len(text)))
+        return before > 0 and place < pem[before - 1][1]
+
     for m in _BASE64_RUN.finditer(text):
         # a key's first byte is that of a sequence, or the o of the OpenSSH magic
-        if m[0][0] in "Mb" and not any(s <= m.start() < e for s, e in covered) and (kind := key_kind(from_base64(m[0]))):
+        if m[0][0] in "Mb" and not covered(m.start()) and (kind := key_kind(from_base64(m[0]))):
             found.append((kind, m.start(), m.end()))
     for m in _HEX_RUN.finditer(text):
         if m[0][:2] in ("30", "6f", "6F") and len(m[0]) % 2 == 0 and (kind := key_kind(bytes.fromhex(m[0]))):
             found.append((kind, m.start(), m.end()))
-    for lines in ((_BASE64_START, _BASE64_LINE, _plain_base64, lambda n: (8 * n + 5) // 6), (_HEX_START, _HEX_LINE, _plain_hex, lambda n: 2 * n)):
-        found += [f for f in _line_keys(text, *lines) if not any(s <= f[1] < e for s, e in covered)]
+    for alphabet in _ALPHABETS:
+        found += [f for f in _line_keys(text, alphabet) if not covered(f[1])]
     found += _signed_tokens(text)
     return sorted(set(found), key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 

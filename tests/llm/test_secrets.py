@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import base64
 import json
+import textwrap
+import time
 
 from rolemart.llm import registry, secrets
 from tests.llm import brute
@@ -138,3 +140,38 @@ def test_query_on_odd_rows(spark, folder):
     rows = doc_rows(None, "", "secret: hunter2hunter2", "secret: hunter2hunter2") + [(None, "x", None, None, None)]
     got = registry.spark_queries()["op5_secret_scan"](spark, folder(documents=(DOCS, rows))).collect()
     assert sorted((tuple(r)[:5] for r in got), key=str) == sorted(((d, *brute.secrets(t)) for d, t, *_ in rows), key=str)
+
+
+def test_lines_that_claim_long_keys_take_linear_time():
+    """Each line starts a sequence longer than the text, or a container whose fields run to the end of it."""
+    der = base64.b64encode(bytes([0x30, 0x83, 0x7F, 0xFF, 0xFF]) + b"a" * 43).decode()
+    ssh = base64.b64encode(b"openssh-key-v1\0" + (4).to_bytes(4, "big") + b"none" * 7 + b"ab").decode()[:64]
+    for line in (der, ssh):
+        lines = [line] * 16_000
+        lines[8_000:8_000] = ["", *textwrap.wrap(base64.b64encode(_rsa_key()).decode(), 64), ""]
+        start = time.monotonic()
+        assert _kinds("\n".join(lines)) == ["der_key"]
+        assert time.monotonic() - start < 20
+
+
+def test_structures_of_any_depth_and_number_of_keys():
+    nested = b"\x02\x01\x00"
+    for _ in range(2_000):
+        nested = _der(0x30, nested)
+    assert not secrets.is_der_key(nested)
+    deep = _der(0x30, _der(2, b"\x01"), _der(4, bytes(32)), _der(0xA0, *[_deep(40)]))
+    assert secrets.is_der_key(deep) and not secrets.is_der_key(deep[:-1] + b"\xff" * 2)
+
+    def field(data):
+        return len(data).to_bytes(4, "big") + data
+
+    many = b"openssh-key-v1\0" + field(b"none") * 3 + (100).to_bytes(4, "big") + field(b"public") * 100 + field(b"private" * 9)
+    assert secrets.is_ssh_key(many) and not secrets.is_ssh_key(many[:-1])
+    assert _kinds("\n".join(textwrap.wrap(base64.b64encode(many).decode(), 70))) == ["ssh_key"]
+
+
+def _deep(levels):
+    inner = _der(2, b"\x01")
+    for _ in range(levels):
+        inner = _der(0x30, inner)
+    return inner
