@@ -18,6 +18,7 @@ import pickle
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,10 @@ from pyspark.sql import functions as F
 
 from rolemart.llm.common import landed, text_of
 
-_MEMO_ENTRIES = 700_000
+#: What remembered chunks may take, and the longest chunk worth remembering: text without spaces is one chunk.
+_MEMO_BYTES = 160 << 20
+_MEMO_CHUNK = 64
+_MEMO_SLOT = 104  # of the dictionary
 _GROUP = 128
 # Fixed value: the splitting of byte-level BPE files of this kind.
 _PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -60,6 +64,7 @@ class ChunkEncoder:
         bpe = tiktoken.Encoding(path, pat_str=_PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
         self.encode = bpe.encode_ordinary
         self.memo: dict[str, bytes] = {}
+        self.memo_bytes = 0
 
     def __call__(self, text: str) -> bytes:
         if "  " in text or any(s in text for s in self.special):
@@ -67,12 +72,18 @@ class ChunkEncoder:
         first, *rest = text.split(" ")
         memo = self.memo
         missing = set(rest).difference(memo)
-        if len(memo) + len(missing) > _MEMO_ENTRIES:
-            memo.clear()
-            missing = set(rest)
         for chunk in missing:
             memo[chunk] = np.array(self.encode(f" {chunk}"), "<u4").tobytes()
-        return np.array(self.encode(first), "<u4").tobytes() + b"".join(map(memo.__getitem__, rest))
+        ids = np.array(self.encode(first), "<u4").tobytes() + b"".join(map(memo.__getitem__, rest))
+        for chunk in missing:
+            if len(chunk) > _MEMO_CHUNK:
+                del memo[chunk]
+            else:
+                self.memo_bytes += getsizeof(chunk) + getsizeof(memo[chunk]) + _MEMO_SLOT
+        if self.memo_bytes > _MEMO_BYTES:
+            memo.clear()
+            self.memo_bytes = 0
+        return ids
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}

@@ -83,3 +83,18 @@ def test_equal_lengths_leave_no_slack():
     for r in packer.out:
         totals[r[5]] += r[2]
     assert sum(totals.values()) == 70_000 and sorted(totals.values())[0] >= 1 and sum(t < 100 for t in totals.values()) <= 1
+
+
+def test_encoder_remembers_a_bounded_number_of_bytes(tokenizer, monkeypatch):
+    """Text without spaces is one long chunk and is not remembered; many short ones are forgotten when they fill the bound."""
+    encode = packing.ChunkEncoder(tokenizer_path())
+    dense = ["".join(chr(0x4E00 + (7 * i + k) % 9000) for i in range(3_000)) for k in range(40)]
+    mixed = " ".join(dense) + " end"
+    want = np.array(tokenizer.encode(mixed, add_special_tokens=False).ids, "<u4").tobytes()
+    assert encode(mixed) == want and set(encode.memo) == {"end"}
+    assert encode(mixed) == want  # again, from what is remembered
+    monkeypatch.setattr(packing, "_MEMO_BYTES", 20_000)
+    for start in range(0, 2_000, 50):
+        text = " ".join(f"word{n}" for n in range(start, start + 50)) + " "
+        assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encode.memo_bytes <= 20_000 and len(encode.memo) <= 200
