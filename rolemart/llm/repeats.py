@@ -2,8 +2,10 @@
 
 A byte goes if a string of ``size`` bytes around it also starts in a document with a smaller id.
 
+0. Copies. Of equal texts only that with the smallest id takes part below: the others repeat it as a whole, and no string
+   starts in them that does not start in it.
 1. Anchors. In every window of ``size`` bytes, the position whose k-gram has the smallest hash is an anchor. Equal windows
-   have equal anchors at the same place, so only windows at anchors that another document has too can repeat; the packed
+   have equal anchors at the same place, so only windows at anchors that another text has too can repeat; the packed
    exchange finds those without a row per anchor.
 2. Segments. Each shared anchor is cut out with all windows it anchors. Segments with equal anchors meet in one bucket. A
    task sends a segment once, for the smallest document that has it there; for its other documents the segment is
@@ -30,7 +32,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rolemart.llm.common import bytes_of, landed, mixed, tidy
@@ -368,22 +370,34 @@ def remove_repeats(docs: DataFrame, size: int = 50, with_text: bool = False, oft
     anchoring = Anchoring(size, max(16, min(20, size - 8)))
     data = bytes_of(docs)
     doc_id = docs["doc_id"].cast("long")
-    # both parts have a fixed width, a NULL id none, so different rows never give the same string
-    id_bytes = F.coalesce(F.unhex(F.lpad(F.hex(doc_id), 16, "0")), F.lit(b""))
-    owner = F.coalesce(F.unhex(F.md5(F.concat(F.unhex(F.md5(data)), id_bytes))), F.lit(b""))
-    read = docs.select(owner.alias("owner"), doc_id.alias("doc_id"), data.alias("data"))
+
+    def owner(text_id: Column, doc: Column) -> Column:
+        # both parts have a fixed width, a NULL id none, so different rows never give the same string
+        id_bytes = F.coalesce(F.unhex(F.lpad(F.hex(doc), 16, "0")), F.lit(b""))
+        return F.coalesce(F.unhex(F.md5(F.concat(text_id, id_bytes))), F.lit(b""))
+
+    text_id = F.unhex(F.substring(F.sha2(data, 256), 1, 32))
+    read = docs.select(owner(text_id, doc_id).alias("owner"), doc_id.alias("doc_id"), data.alias("data"))
     n_bytes = expected_units(docs, 1)
     bits = bucket_bits(int(n_bytes * 0.065))
-    shared = landed(shared_hashes(read.select("owner", "data"), lambda x: anchoring.anchors(x)[0], bits), "shared-anchors")
-    hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(shared, often, 1 + n_bytes // 1_000_000_000))
+    texts = docs.select(F.coalesce(text_id, F.lit(b"")).alias("owner"), doc_id.alias("doc_id"), data.alias("data"))
+    shared = shared_hashes(texts.select("owner", "data"), lambda x: anchoring.anchors(x)[0], bits)
+    # per text the row it is judged by, and its anchors that other texts have; a text of several chunks has equal anchors in each
+    both = texts.select("owner", "doc_id", F.lit(None).cast("binary").alias("shared")).unionByName(shared.select("owner", F.lit(None).cast("long").alias("doc_id"), "shared"))
+    found = both.groupBy("owner").agg(F.min("doc_id").alias("doc_id"), F.first("shared", ignorenulls=True).alias("shared"))
+    firsts = landed(found.select(owner(found["owner"], found["doc_id"]).alias("owner"), "shared"), "shared-anchors")
+    sharing = firsts.where(F.col("shared").isNotNull())
+    hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(sharing, often, 1 + n_bytes // 1_000_000_000))
     buckets = max(16, n_bytes // 2_500_000)
     # both joins read the same exchange of the texts
-    held = read.join(shared.hint("shuffle_hash"), "owner", "left").select("owner", "doc_id", "data", "shared")
+    held = read.join(sharing.hint("shuffle_hash"), "owner", "left").select("owner", "doc_id", "data", "shared")
     marks = (
         held.mapInArrow(tidy(_segment_rows(anchoring, bits, buckets, hot, 12_000_000)), _SENT)
         .groupBy("bucket").applyInArrow(tidy(_answer_bucket(size)), _ANSWER)
         .groupBy("chunk").applyInArrow(tidy(_settle_chunk(size)), "owner binary, marks binary")
-        .groupBy("owner").agg(F.first("marks").alias("marks"))  # equal rows of two chunks have equal marks
+        .unionByName(firsts.select("owner", F.lit(None).cast("binary").alias("marks")))
+        .groupBy("owner").agg(F.first("marks", ignorenulls=True).alias("marks"))  # equal rows of two chunks have equal marks
+        .withColumn("is_first", F.lit(True))
     )
     out_kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * with_text
     out_names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
@@ -391,9 +405,11 @@ def remove_repeats(docs: DataFrame, size: int = 50, with_text: bool = False, oft
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text, found in zip(*batch.columns, strict=True):
+            for doc_id, text, found, is_first in zip(*batch.columns, strict=True):
                 text, kept, gone, spans = text.as_py(), [], 0, np.empty((0, 2), np.int64)
-                if found.is_valid:
+                if not is_first.is_valid and len(text) >= size:
+                    spans = np.array([[0, len(text)]], np.int64)
+                elif found.is_valid:
                     spans = np.frombuffer(found.as_py(), np.int64).reshape(-1, 2)
                 at = 0
                 for a, z in spans.tolist():
@@ -404,4 +420,4 @@ def remove_repeats(docs: DataFrame, size: int = 50, with_text: bool = False, oft
             yield batch_of(rows, out_kinds, out_names)
 
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return read.join(marks.hint("shuffle_hash"), "owner", "left").select("doc_id", "data", "marks").mapInArrow(tidy(finish), ddl)
+    return read.join(marks.hint("shuffle_hash"), "owner", "left").select("doc_id", "data", "marks", "is_first").mapInArrow(tidy(finish), ddl)

@@ -42,6 +42,23 @@ def test_made_up_texts(spark, frame, often):
     assert _rows(repeats.remove_repeats(docs, often=often)) == sorted(brute.repeats([r[:2] for r in rows]), key=str)
 
 
+def test_copies_share_no_anchors_and_go_as_a_whole(frame, monkeypatch):
+    """Equal texts are judged by their smallest id; they send no segments, however often they occur."""
+    kept, landed = [], repeats.landed
+    monkeypatch.setattr(repeats, "landed", lambda *a: kept.append(landed(*a)) or kept[-1])
+    rng = random.Random(12)
+    often, rare, short, alone = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (900, 300, 49, 400))
+    rows = [*((i, often) for i in range(40, 10, -1)), (17, often), (None, often), (9, alone), (None, rare), (None, rare), (5, short), (4, short), (3, None), (2, "")]
+    docs = frame(DOCS, *[(*r, None, None, None) for r in rows]).repartition(5)
+    assert _rows(repeats.remove_repeats(docs)) == sorted(brute.repeats(rows), key=str)
+    assert kept[0].where("shared IS NOT NULL").count() == 0
+    partly = rows + [(30, rare[:200] + alone[100:]), (8, often[:500])]
+    docs = frame(DOCS, *[(*r, None, None, None) for r in partly]).repartition(5)
+    out = repeats.remove_repeats(docs, with_text=True).collect()
+    assert sorted((tuple(r)[:5] for r in out), key=str) == sorted(brute.repeats(partly), key=str)
+    assert {bytes(r["kept"]) for r in out if r["doc_id"] in (12, 40)} == {b""}
+
+
 def test_texts_that_differ_by_their_ids_digits(frame):
     """Rows whose text and decimal id give the same string are still different documents."""
     rng = random.Random(11)
