@@ -23,9 +23,10 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,19 +42,20 @@ from rolemart.llm.exchange import batch_of, bucket_bits, cut, expected_units, sh
 _LAST = (1 << 63) - 1
 _HOT_BITS = 1 << 22
 _AT_ONCE = 16_384  # segments whose windows are looked up together
-_SENT = "bucket int, chunk long, addresses binary, docs binary, lengths binary, keys binary, segments binary"
-_ANSWER = "chunk long, addresses binary, starts binary, is_own boolean"
+_INDEXED = 1 << 18  # windows, about, that are indexed together
+_CHUNK_BYTES, _BUCKET_BYTES = 40_000_000, 8_000_000
+_SENT = "bucket int, chunk long, own binary, numbers binary, segments binary"
+_ANSWER = "chunk long, own binary, marks binary"
 
 
 def _words_at(data: np.ndarray, offset: int, n: int) -> np.ndarray:
     """The eight bytes at each of n places as one integer."""
-    windows = np.lib.stride_tricks.as_strided(data[offset:], (n, 8), (1, 1))
-    return np.ascontiguousarray(windows).view(np.uint64)[:, 0]
+    return np.ndarray((n,), np.uint64, data, offset, (1,)).copy()
 
 
 @dataclass(frozen=True)
 class Anchoring:
-    """Minimizers: in each window of ``size`` bytes the leftmost k-gram with the smallest hash."""
+    """Minimizers: in each window of ``size`` bytes the k-gram with the smallest hash."""
 
     size: int = 50
     k: int = 20
@@ -63,17 +65,17 @@ class Anchoring:
         n = len(data) - self.size + 1
         if n <= 0:
             return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        raw = np.frombuffer(data, np.uint8)
-        grams = len(data) - self.k + 1
-        least = mixed(mixed(mixed(_words_at(raw, 0, grams)) + _words_at(raw, 8, grams)) + _words_at(raw, self.k - 8, grams))
-        where, reach, width = np.arange(grams, dtype=np.int32), 1, self.size - self.k + 1
-        while reach < width:  # minima over spans that double in width; of equal ones the left stays
+        words, grams = _words_at(data, 0, len(data) - 7), len(data) - self.k + 1
+        least = mixed(mixed(mixed(words[:grams]) + words[8 : 8 + grams]) + words[self.k - 8 : self.k - 8 + grams])
+        reach, width = 1, self.size - self.k + 1
+        while reach < width:  # minima over spans that double in width
             step = min(reach, width - reach)
-            right = least[step:] < least[:-step]
-            least, where = np.where(right, least[step:], least[:-step]), np.where(right, where[step:], where[:-step])
+            least = np.minimum(least[step:], least[:-step])
             reach += step
         # neighbours with one hash are one anchor: a stretch of equal bytes has one, however long it is
-        first = np.flatnonzero(np.concatenate(([True], (where[1:] != where[:-1]) & (least[1:] != least[:-1]))))
+        new = np.ones(n, bool)
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        first = np.flatnonzero(new)
         return least[first], first, np.append(first[1:] - 1, n - 1)
 
 
@@ -121,56 +123,97 @@ class RunIndex:
 def mark_bucket(segments: list[bytes], docs: list[int], keys: list[int], size: int) -> np.ndarray:
     """Rows (segment, first window, end) of the windows that a smaller document of the bucket has, in the segments' order.
 
-    Windows can only be equal if their anchors are. Where all segments of an anchor are the same, so are their windows; the
-    index is built over the others.
+    Windows can only be equal if their anchors are. Where all segments of an anchor are the same, so are their windows; indexes
+    are built over the others, each over some anchors, so that they do not grow with the bucket.
     """
-    distinct: dict[bytes, int] = {}
-    variants: dict[int, int] = defaultdict(int)
-    for segment, doc, key in zip(segments, docs, keys, strict=True):
-        known = distinct.get(segment)
-        if known is None:
-            variants[key] += 1
-        if known is None or doc < known:
-            distinct[segment] = doc
-    key_of = dict(zip(segments, keys, strict=True))
-    texts = [t for t in distinct if variants[key_of[t]] > 1]
-    place = {t: n for n, t in enumerate(texts)}
-    which = np.array([place.get(t, -1) for t in segments], np.int64)
+    first = _first_places(segments)
+    distinct = np.flatnonzero(first == np.arange(len(segments)))
+    which = np.searchsorted(distinct, first)
     holder = np.array(docs, np.int64)
-    whole = np.flatnonzero((which < 0) & (np.array([distinct[t] for t in segments], np.int64) < holder))
-    found = [np.stack([whole, np.zeros_like(whole), np.array([len(segments[i]) for i in whole.tolist()], np.int64) - size + 1], 1)]
-    if texts:
-        lengths = np.array([len(t) for t in texts], np.int64)
-        begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        counts = lengths - size + 1
-        firsts = np.cumsum(counts) - counts
-        within = np.arange(counts.sum()) - np.repeat(firsts, counts)
-        owner = np.repeat(np.array([distinct[t] for t in texts], np.int64), counts)
-        index = RunIndex(np.frombuffer(b"".join(texts), np.uint8), np.repeat(begins, counts) + within, owner, within == 0, size)
+    smallest_of = np.full(len(distinct), _LAST)
+    np.minimum.at(smallest_of, which, holder)
+    lengths = np.fromiter(map(len, segments), np.int64, len(segments))
+    key = np.array(keys, np.int64)[distinct]
+    _, kind, variants = np.unique(key, return_inverse=True, return_counts=True)
+    alone = variants[kind] == 1
+    whole = np.flatnonzero(alone[which] & (smallest_of[which] < holder))
+    found = [np.stack([whole, np.zeros_like(whole), lengths[whole] - size + 1], 1)]
+    # variants in the order of their anchors, and segments in the order of their variants
+    texts = np.flatnonzero(~alone)
+    texts = texts[np.argsort(kind[texts], kind="stable")]
+    place = np.full(len(distinct), -1)
+    place[texts] = np.arange(len(texts))
+    contested = np.flatnonzero(place[which] >= 0)
+    contested = contested[np.argsort(place[which[contested]], kind="stable")]
+    counts = lengths[distinct[texts]] - size + 1
+    until = np.cumsum(counts)
+    ends = np.append(np.flatnonzero(np.diff(kind[texts])) + 1, len(texts))  # behind an anchor's last variant
+    low = 0
+    while low < len(texts):
+        full = np.searchsorted(until, until[low] - counts[low] + _INDEXED)
+        high = int(ends[min(np.searchsorted(ends, max(full, low + 1)), len(ends) - 1)])
+        here = texts[low:high]
+        n_windows, opens_at = counts[low:high], until[low:high] - counts[low:high] - until[low] + counts[low]
+        text = b"".join([segments[i] for i in distinct[here].tolist()])
+        within = np.arange(n_windows.sum()) - np.repeat(opens_at, n_windows)
+        begins = opens_at + np.arange(high - low) * (size - 1)
+        owner = np.repeat(smallest_of[here], n_windows)
+        index = RunIndex(np.frombuffer(text, np.uint8), np.repeat(begins, n_windows) + within, owner, within == 0, size)
         smallest = index.smallest_documents()
-        contested = np.flatnonzero(which >= 0)
-        for at in range(0, len(contested), _AT_ONCE):
-            part = contested[at : at + _AT_ONCE]
-            n = counts[which[part]]
+        asked = contested[slice(*np.searchsorted(place[which[contested]], [low, high]))]
+        for at in range(0, len(asked), _AT_ONCE):
+            part = asked[at : at + _AT_ONCE]
+            own_place = place[which[part]] - low
+            n = n_windows[own_place]
             opens = np.cumsum(n) - n
-            window = np.repeat(firsts[which[part]] - opens, n) + np.arange(n.sum())
+            window = np.repeat(opens_at[own_place] - opens, n) + np.arange(n.sum())
             gone = smallest[window] < np.repeat(holder[part], n)
             before, after = np.append(False, gone[:-1]), np.append(gone[1:], False)
             before[opens] = after[opens + n - 1] = False  # ranges end with their segment
-            first, end = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
-            own = np.searchsorted(opens, first, "right") - 1
-            found.append(np.stack([part[own], first - opens[own], end - opens[own]], 1))
+            begin, end = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
+            own = np.searchsorted(opens, begin, "right") - 1
+            found.append(np.stack([part[own], begin - opens[own], end - opens[own]], 1))
+        low = high
     rows = np.concatenate(found)
     return rows[np.argsort(rows[:, 0], kind="stable")]
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """Whole numbers as their steps; those of a chunk mostly rise by little, and steps pack to a fraction."""
-    return zstandard.compress(np.diff(numbers.astype(np.int64), prepend=0).tobytes(), 1)
+def _first_places(texts: list[bytes]) -> np.ndarray:
+    """For each text the place of the first that is equal."""
+    known: dict[bytes, int] = {}
+    return np.fromiter(map(known.setdefault, texts, range(len(texts))), np.int64, len(texts))
 
 
-def _unpack(packed: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zstandard.decompress(packed), np.int64))
+@cache
+def _packer(level: int) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=level)
+
+
+@cache
+def _unpacker() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
+def _squeezed(data: bytes, level: int) -> bytes:
+    return _packer(level).compress(data)
+
+
+def _plain(data: bytes) -> bytes:
+    return _unpacker().decompress(data)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers as their steps; those of a chunk mostly rise by little, and steps pack to a fraction."""
+    steps = np.empty((len(columns), len(columns[0])), np.int64)
+    for step, numbers in zip(steps, columns, strict=True):
+        step[:1] = numbers[:1]
+        np.subtract(numbers[1:], numbers[:-1], out=step[1:])
+    return _squeezed(steps.tobytes(), 1)
+
+
+def _unpack(packed: bytes, columns: int = 1) -> np.ndarray:
+    numbers = np.cumsum(np.frombuffer(_plain(packed), np.int64).reshape(columns, -1), axis=1)
+    return numbers if columns > 1 else numbers[0]
 
 
 def merged_ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -219,69 +262,81 @@ class _Chunk:
 
     def __init__(self, number: int, buckets: int) -> None:
         self.number, self.buckets = number, buckets
-        self.docs: list[tuple[int, bytes, list[tuple[int, int, bytes]]]] = []
+        self.docs: list[tuple[int, bytes, np.ndarray, np.ndarray, list[bytes]]] = []
         self.size = 0
 
-    def add(self, doc: int, owner: bytes, segments: list[tuple[int, int, bytes]]) -> None:
-        self.docs.append((doc, owner, segments))
-        self.size += sum(len(s) + 100 for _, _, s in segments)
+    def add(self, doc: int, owner: bytes, starts: np.ndarray, keys: np.ndarray, segments: list[bytes]) -> None:
+        """A document's segments in the order of their starts and ends."""
+        self.docs.append((doc, owner, starts, keys, segments))
+        self.size += sum(map(len, segments)) + 100 * len(segments)
 
-    def rows(self, size: int) -> list[tuple]:
+    def rows(self) -> list[tuple]:
+        """A row for each bucket that gets segments. There are as many as chunks times buckets, so both are large."""
         self.docs.sort(key=lambda d: d[0])
-        sent: dict[bytes, tuple[int, int]] = {}
-        waiting: list[tuple[int, int, int]] = []
-        settled: list[tuple[int, int, int]] = []
-        out = defaultdict(lambda: ([], [], [], []))
-        for number, (doc, _, segments) in enumerate(self.docs):
-            for start, key, segment in segments:
-                address, first = sent.get(segment, (len(sent), doc))
-                if first < doc:
-                    end = start + len(segment)
-                    if settled and settled[-1][0] == number and start <= settled[-1][2]:  # segments come in order
-                        settled[-1] = number, settled[-1][1], max(end, settled[-1][2])
-                    else:
-                        settled.append((number, start, end))
-                    continue
-                waiting.append((address, number, start))
-                if segment not in sent:
-                    sent[segment] = address, doc
-                    addresses, docs, keys, texts = out[key % self.buckets]
-                    addresses.append(address), docs.append(doc), keys.append(key & 0xFFFFFFFF), texts.append(segment)
-        owners = b"".join(owner for _, owner, _ in self.docs)
-        own = (pickle.dumps([_pack(c) for c in np.array(r, np.int64).reshape(-1, 3).T]) for r in (waiting, settled))
-        rows = [(self.number % self.buckets, self.number, owners, *own, None, None)]
-        for bucket, (addresses, docs, keys, texts) in out.items():
-            lengths = np.array([len(t) for t in texts], np.int32)
+        docs, owners, starts, keys, segments = zip(*self.docs, strict=True)
+        counts = [len(x) for x in segments]
+        number, doc = np.repeat(np.arange(len(docs)), counts), np.repeat(np.array(docs, np.int64), counts)
+        start, key, segments = np.concatenate(starts), np.concatenate(keys), list(chain.from_iterable(segments))
+        address = _first_places(segments)
+        lengths = np.fromiter(map(len, segments), np.int64, len(segments))
+        later = doc[address] < doc
+        waiting = ~later
+        owner, begin, end = number[later], start[later], start[later] + lengths[later]
+        apart = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (begin[1:] > end[:-1])))) if len(owner) else owner
+        settled = owner[apart], begin[apart], end[np.append(apart[1:] - 1, len(end) - 1)] if len(owner) else end
+        own = pickle.dumps((b"".join(owners), _pack(address[waiting], number[waiting], start[waiting]), _pack(*settled)))
+        rows = [(self.number % self.buckets, self.number, own, None, None)]
+        sent = np.flatnonzero(address == np.arange(len(segments)))
+        bucket = (key[sent] % np.uint64(self.buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        sent, bucket = sent[order], bucket[order]
+        present, at = np.unique(bucket, return_index=True)
+        low = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        for b, a, z in zip(present.tolist(), at.tolist(), np.append(at[1:], len(sent)).tolist(), strict=False):
+            part = sent[a:z]
+            numbers = pickle.dumps((_pack(part, doc[part], lengths[part]), low[part].tobytes()))
             # text packs to a fraction of what the shuffle's own codec leaves
-            numbers = (_pack(np.array(addresses, np.int64)), _pack(np.array(docs, np.int64)), _pack(lengths), np.array(keys, np.uint32).tobytes())
-            rows.append((bucket, self.number, *numbers, zstandard.compress(b"".join(texts), 3)))
+            rows.append((b, self.number, None, numbers, _squeezed(b"".join([segments[i] for i in part.tolist()]), 3)))
         return rows
 
 
-def _segment_rows(anchoring: Anchoring, bits: int, buckets: int, hot, chunk_bytes: int):
+def _spread(data: bytes, first: int, last: int, size: int) -> Iterator[tuple[int, int]]:
+    """Windows from ``first`` to ``last``; those of a stretch of one byte are all the same: one segment."""
+    start = first
+    while start <= last:
+        window, end = data[start : start + size], start + size
+        if window == window[:1] * size:
+            while end < last + size and data[end] == window[0]:
+                end += 1
+        yield start, end
+        start = end - size + 1
+
+
+def _segment_rows(anchoring: Anchoring, bits: int, buckets: int, hot, chunk_bytes: int = _CHUNK_BYTES):
     """Arrow function over (owner, doc_id, data, shared): cut the shared anchors' segments out and send them."""
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 3]
     names = [c.split()[0] for c in _SENT.split(", ")]
     size = anchoring.size
 
-    def segments_of(data: bytes, shared: np.ndarray) -> list[tuple[int, int, bytes]]:
+    def segments_of(data: bytes, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         hashes, first, last = anchoring.anchors(data)
-        keys = cut(hashes, bits)
-        at = np.flatnonzero(np.isin(keys, shared))
-        out = []
-        for key, a, z, spread in zip(keys[at].tolist(), first[at].tolist(), last[at].tolist(), _is_hot(hot.value, keys[at]).tolist(), strict=True):
-            if spread:
-                start = a
-                while start <= z:
-                    window, end = data[start : start + size], start + size
-                    if window == window[:1] * size:  # the windows of a stretch of one byte are all the same: one segment
-                        while end < z + size and data[end] == window[0]:
-                            end += 1
-                    out.append((start, xxhash.xxh3_64_intdigest(window), data[start:end]))
-                    start = end - size + 1
+        keys, known = cut(hashes, bits), np.sort(shared)
+        at = np.flatnonzero(known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys) if len(known) else np.empty(0, np.int64)
+        keys, start, end = keys[at], first[at], last[at] + size
+        spread = _is_hot(hot.value, keys)
+        if spread.any():
+            if (spread & (end - start >= 2 * size)).any():
+                spans = [[*_spread(data, a, z - size, size)] if s else [(a, z)] for a, z, s in zip(start.tolist(), end.tolist(), spread.tolist(), strict=True)]
+                counts = [len(x) for x in spans]
+                start, end = np.array([*chain.from_iterable(spans)], np.int64).T
             else:
-                out.append((a, key, data[a : z + size]))
-        return out
+                counts = np.where(spread, end - start - size + 1, 1)
+                opens = np.cumsum(counts) - counts
+                start = np.repeat(start - opens, counts) + np.arange(counts.sum())
+                end = np.where(np.repeat(spread, counts), start + size, np.repeat(end, counts))
+            keys, spread = np.repeat(keys, counts), np.flatnonzero(np.repeat(spread, counts))
+            keys[spread] = [xxhash.xxh3_64_intdigest(data[a : a + size]) for a in start[spread].tolist()]
+        return start, keys, [data[a:z] for a, z in zip(start.tolist(), end.tolist(), strict=True)]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, sequence = TaskContext.get().partitionId(), 0
@@ -292,41 +347,41 @@ def _segment_rows(anchoring: Anchoring, bits: int, buckets: int, hot, chunk_byte
                 if owner in seen or not shared.is_valid:
                     continue
                 seen.add(owner)
-                chunk.add(_LAST if doc is None else doc, owner, segments_of(data.as_py(), np.frombuffer(shared.as_py(), np.uint64)))
+                chunk.add(_LAST if doc is None else doc, owner, *segments_of(data.as_py(), np.frombuffer(shared.as_py(), np.uint64)))
                 if chunk.size >= chunk_bytes:
-                    yield batch_of(chunk.rows(size), kinds, names)
+                    yield batch_of(chunk.rows(), kinds, names)
                     sequence += 1
                     chunk, seen = _Chunk(task << 24 | sequence, buckets), set()
         if chunk.docs:
-            yield batch_of(chunk.rows(size), kinds, names)
+            yield batch_of(chunk.rows(), kinds, names)
 
     return send
 
 
 def _answer_bucket(size: int):
-    kinds, names = [pa.int64(), pa.binary(), pa.binary(), pa.bool_()], [c.split()[0] for c in _ANSWER.split(", ")]
+    kinds, names = [pa.int64(), pa.binary(), pa.binary()], [c.split()[0] for c in _ANSWER.split(", ")]
 
     def answer(table: pa.Table) -> pa.Table:
-        rows, segments, docs, keys, chunks, addresses = [], [], [], [], [], [np.empty(0, np.int64)]
+        rows, segments, numbers, keys, chunks = [], [], [], [], []
         for r in table.to_pylist():
             if r["segments"] is None:
-                rows.append((r["chunk"], r["addresses"], pickle.dumps((r["docs"], r["lengths"])), True))
+                rows.append((r["chunk"], r["own"], None))
                 continue
-            ends = np.cumsum(_unpack(r["lengths"])).tolist()
-            text = zstandard.decompress(r["segments"], max_output_size=ends[-1])
+            packed, key = pickle.loads(r["numbers"])
+            numbers.append(_unpack(packed, 3))
+            keys.append(np.frombuffer(key, np.uint32))
+            ends, text = np.cumsum(numbers[-1][2]).tolist(), _plain(r["segments"])
             segments += [text[a:z] for a, z in zip([0, *ends], ends, strict=False)]
-            docs += _unpack(r["docs"]).tolist()
-            keys += np.frombuffer(r["keys"], np.uint32).tolist()
-            addresses.append(_unpack(r["addresses"]))
-            chunks += [r["chunk"]] * len(ends)
+            chunks.append(np.full(len(ends), r["chunk"]))
         if segments:
-            found = mark_bucket(segments, docs, keys, size)
-            chunk, address = np.array(chunks, np.int64)[found[:, 0]], np.concatenate(addresses)[found[:, 0]]
+            addresses, docs, _ = np.concatenate(numbers, axis=1)
+            found = mark_bucket(segments, docs, np.concatenate(keys), size)
+            chunk, address = np.concatenate(chunks)[found[:, 0]], addresses[found[:, 0]]
             order = np.lexsort((address, chunk))
             chunk, address, found = chunk[order], address[order], found[order]
             present, at = np.unique(chunk, return_index=True)
             for c, a, z in zip(present.tolist(), at.tolist(), np.append(at[1:], len(chunk)).tolist(), strict=False):
-                rows.append((c, _pack(address[a:z]), pickle.dumps([_pack(found[a:z, 1]), _pack(found[a:z, 2])]), False))
+                rows.append((c, None, _pack(address[a:z], found[a:z, 1], found[a:z, 2])))
         return pa.Table.from_batches([batch_of(rows, kinds, names)])
 
     return answer
@@ -335,11 +390,11 @@ def _answer_bucket(size: int):
 def _settle_chunk(size: int):
     def settle(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        mine = next(r for r in rows if r["is_own"])
-        owners = [mine["addresses"][i : i + 16] for i in range(0, len(mine["addresses"]), 16)]
-        waiting, settled = (np.stack([_unpack(c) for c in pickle.loads(x)], 1) for x in pickle.loads(mine["starts"]))
-        answers = [(_unpack(r["addresses"]), *map(_unpack, pickle.loads(r["starts"]))) for r in rows if not r["is_own"]]
-        address, first, end = (np.concatenate([np.empty(0, np.int64), *column]) for column in (zip(*answers, strict=True) if answers else ((), (), ())))
+        told, waiting, settled = pickle.loads(next(r["own"] for r in rows if r["own"] is not None))
+        owners = [told[i : i + 16] for i in range(0, len(told), 16)]
+        waiting, settled = _unpack(waiting, 3).T, _unpack(settled, 3).T
+        answers = [_unpack(r["marks"], 3) for r in rows if r["own"] is None]
+        address, first, end = np.concatenate([np.empty((3, 0), np.int64), *answers], axis=1)
         # an address may stand at several places: repeat its ranges of windows for each
         order = np.argsort(address, kind="stable")
         address, first, end = address[order], first[order], end[order]
@@ -388,11 +443,11 @@ def remove_repeats(docs: DataFrame, size: int = 50, with_text: bool = False, oft
     firsts = landed(found.select(owner(found["owner"], found["doc_id"]).alias("owner"), "shared"), "shared-anchors")
     sharing = firsts.where(F.col("shared").isNotNull())
     hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(sharing, often, 1 + n_bytes // 1_000_000_000))
-    buckets = max(16, n_bytes // 2_500_000)
+    buckets = max(16, n_bytes // _BUCKET_BYTES)
     # both joins read the same exchange of the texts
     held = read.join(sharing.hint("shuffle_hash"), "owner", "left").select("owner", "doc_id", "data", "shared")
     marks = (
-        held.mapInArrow(tidy(_segment_rows(anchoring, bits, buckets, hot, 12_000_000)), _SENT)
+        held.mapInArrow(tidy(_segment_rows(anchoring, bits, buckets, hot)), _SENT)
         .groupBy("bucket").applyInArrow(tidy(_answer_bucket(size)), _ANSWER)
         .groupBy("chunk").applyInArrow(tidy(_settle_chunk(size)), "owner binary, marks binary")
         .unionByName(firsts.select("owner", F.lit(None).cast("binary").alias("marks")))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rolemart.llm import repeats, registry
@@ -148,6 +149,39 @@ def test_ranges_of_a_bucket_equal_all_pairs(monkeypatch):
     assert alike.tolist() == [[0, 0, 3]]
 
 
+def test_indexes_over_some_anchors_at_a_time(monkeypatch):
+    """A bucket of several anchors, indexed in blocks of few windows, gives what all pairs give."""
+    monkeypatch.setattr(repeats, "_INDEXED", 20, raising=False)
+    monkeypatch.setattr(repeats, "_AT_ONCE", 4)
+    rng, size = np.random.default_rng(6), 9
+    for _ in range(30):
+        bases = [bytes(rng.integers(97 + 2 * k, 99 + 2 * k, 24, dtype=np.uint8)) for k in range(5)]
+        keys = rng.integers(0, 5, 40).tolist()
+        segments = [bases[k][a : a + n] for k, a, n in zip(keys, rng.integers(0, 12, 40).tolist(), rng.integers(size, 13, 40).tolist(), strict=True)]
+        docs = rng.integers(0, 9, 40).tolist()
+        got = [[int(x) for x in r] for r in repeats.mark_bucket(segments, docs, keys, size)]
+        windows = {(i, j): s[j : j + size] for i, s in enumerate(segments) for j in range(len(s) - size + 1)}
+        want = {at for at, w in windows.items() if min(docs[i] for (i, _), v in windows.items() if v == w) < docs[at[0]]}
+        assert {(i, j) for i, first, end in got for j in range(first, end)} == want
+        assert got == sorted(got)
+
+
+def test_large_input_moves_in_large_rows(frame, monkeypatch):
+    """Rows between chunks and buckets are chunks times buckets; at 10 GB of text each must still hold many segments."""
+    made, real, n_bytes = [], repeats._segment_rows, 10_000_000_000
+    monkeypatch.setattr(repeats, "_segment_rows", lambda *a: made.append((real(*a), a[1])) or made[-1][0])
+    monkeypatch.setattr(repeats, "expected_units", lambda docs, bytes_per_unit: n_bytes)
+    repeats.remove_repeats(frame(DOCS, *doc_rows("x" * 60, "y" * 60)))
+    monkeypatch.setattr(repeats, "TaskContext", type("Task", (), {"get": classmethod(lambda c: c), "partitionId": classmethod(lambda c: 1)}))
+    (send, bits), rng = made[0], np.random.default_rng(2)
+    texts = [rng.integers(97, 123, 4000, dtype=np.uint8).tobytes() for _ in range(1000)]
+    shared = [repeats.cut(np.unique(repeats.Anchoring().anchors(t)[0]), bits) for t in texts]
+    owners = [i.to_bytes(16, "little") for i in range(len(texts))]
+    columns = [pa.array(owners, pa.binary()), pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.binary()), pa.array([x.tobytes() for x in shared], pa.binary())]
+    rows = sum(b.num_rows for b in send(iter([pa.RecordBatch.from_arrays(columns, names=["owner", "doc_id", "data", "shared"])])))
+    assert sum(map(len, shared)) > 64 * rows
+
+
 def test_packed_numbers_come_back():
     for numbers in ([], [5], [7, 7, 9, 2, (1 << 63) - 1, -4]):
         assert repeats._unpack(repeats._pack(np.array(numbers, np.int64))).tolist() == numbers
