@@ -43,7 +43,7 @@ _LAST = (1 << 63) - 1
 _HOT_BITS = 1 << 22
 _AT_ONCE = 16_384  # segments whose windows are looked up together
 _INDEXED = 1 << 18  # windows, about, that are indexed together
-_CHUNK_BYTES, _BUCKET_BYTES = 40_000_000, 8_000_000
+_CHUNK_BYTES, _BUCKET_BYTES = 40_000_000, 4_000_000
 _SENT = "bucket int, chunk long, own binary, numbers binary, segments binary"
 _ANSWER = "chunk long, own binary, marks binary"
 
@@ -441,6 +441,8 @@ def remove_repeats(docs: DataFrame, size: int = 50, with_text: bool = False, oft
     both = texts.select("owner", "doc_id", F.lit(None).cast("binary").alias("shared")).unionByName(shared.select("owner", F.lit(None).cast("long").alias("doc_id"), "shared"))
     found = both.groupBy("owner").agg(F.min("doc_id").alias("doc_id"), F.first("shared", ignorenulls=True).alias("shared"))
     firsts = landed(found.select(owner(found["owner"], found["doc_id"]).alias("owner"), "shared"), "shared-anchors")
+    # the exchanges behind it are done; their files else stay until the driver happens to collect its garbage
+    docs.sparkSession.sparkContext._jvm.System.gc()
     sharing = firsts.where(F.col("shared").isNotNull())
     hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(sharing, often, 1 + n_bytes // 1_000_000_000))
     buckets = max(16, n_bytes // _BUCKET_BYTES)
